@@ -6,7 +6,7 @@ The l-prefix of a document of n shingles that must share o = ceil(t * n) with a
 n - o + l first ones, and linked documents share at least l shingles of their l-prefixes.  Each
 document takes the l whose estimated cost is least: postings to read, plus candidates to verify,
 of which there are at most (postings read) / l.  A pair is verified only when it shares
-min(l_a, l_b) shingles in positions that both have within that level.
+l = min(l_a, l_b) shingles in places below n - o + l of both, with the o that this pair needs.
 
 Equal sets are one node.  Copies in large groups are not expanded into pairs: two rounds first
 verify each node against one pivot it shares most with; after that only pairs across different
@@ -121,63 +121,146 @@ def choose_level(df: np.ndarray, n: int, num: int, den: int) -> tuple[int, int]:
     return int(levels[best]), base + best
 
 
-def _postings(width: int, bits: int, sketch, num: int, den: int):
-    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("at", pa.int16()), ("level", pa.int16())])
+def _postings(width: int, bits: int, seed: int, sketch, num: int, den: int):
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("level", pa.int16())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         noise = float(np.median(counts))
+        done: set[int] = set()  # copies in one partition are listed once
+        cols: list[list] = [[], [], [], [], [], []]
+        rows = 0
         for batch in batches:
-            done: set[int] = set()
-            cols: list[list] = [[], [], [], [], [], []]
-            rows = 0
-            for data, node in zip(blobs(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                if node in done:
-                    continue
-                done.add(node)
+            for data in blobs(batch.column(0)):
                 s = text_set(data, width)
+                node = set_names(s, seed)[0]
                 n = len(s)
-                if not n:
+                if not n or node in done:
                     continue
+                done.add(node)
                 est = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
                 order = np.lexsort((s, est))
                 df = np.maximum(est[order].astype(np.float64) - noise, 1.0)
                 level, length = choose_level(df, n, num, den)
-                first = n - int(needed(n, num, den)) + 1
                 tokens = s[order[:length]]
                 blocks = np.ceil(est[order[:length]] / BLOCK).astype(np.int64)
-                at = np.maximum(np.arange(length) - first + 2, 1)
+                pos = np.arange(length)
                 hot = blocks > 1
                 if hot.any():
-                    t2, b2, a2 = [tokens[~hot]], [np.zeros(int((~hot).sum()), np.int32)], [at[~hot]]
-                    for t, k, a in zip(tokens[hot], blocks[hot], at[hot], strict=True):
+                    t2, b2, p2 = [tokens[~hot]], [np.zeros(int((~hot).sum()), np.int32)], [pos[~hot]]
+                    for t, k, at in zip(tokens[hot], blocks[hot], pos[hot], strict=True):
                         mine = int(np.uint64(node & (2**64 - 1)) % np.uint64(k))
                         other = np.arange(k)
                         with np.errstate(over="ignore"):
                             t2.append(mix(t + np.uint64(1) + np.minimum(mine, other).astype(np.uint64) * np.uint64(1000003) + np.maximum(mine, other).astype(np.uint64) * np.uint64(7919 * 65537)))
                         # a bucket of one block has 0 alone (all pairs count), one of two blocks has 1 and 2 (pairs across count)
                         b2.append(np.where(other == mine, 0, np.where(other > mine, 1, 2)).astype(np.int32))
-                        a2.append(np.full(k, a))
-                    tokens, block, at = np.concatenate(t2), np.concatenate(b2), np.concatenate(a2)
+                        p2.append(np.full(k, at))
+                    tokens, block, pos = np.concatenate(t2), np.concatenate(b2), np.concatenate(p2)
                 else:
                     block = np.zeros(length, np.int32)
                 m = len(tokens)
-                for c, v in zip(cols, (longs(tokens), block, np.full(m, node), np.full(m, n, np.int32), at.astype(np.int16), np.full(m, level, np.int16)), strict=True):
+                for c, v in zip(cols, (longs(tokens), block, np.full(m, node), np.full(m, n, np.int32), pos.astype(np.int32), np.full(m, level, np.int16)), strict=True):
                     c.append(v)
                 rows += m
                 if rows > 200_000:
                     yield record(schema, [np.concatenate(c) for c in cols])
                     cols, rows = [[], [], [], [], [], []], 0
-            if rows:
-                yield record(schema, [np.concatenate(c) for c in cols])
+        if rows:
+            yield record(schema, [np.concatenate(c) for c in cols])
 
-    return run, "bucket long, block int, node long, n int, at short, level short"
+    return run, "bucket long, block int, node long, n int, pos int, level short"
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("node", pa.int64()), ("packed", pa.binary())])
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket and node: those of buckets with two nodes or more, each node once."""
+    bucket, first, waiting, last = None, None, None, None
     for batch in batches:
-        yield record(schema, [batch.column(1), [zlib.compress(d.tobytes(), 1) for d in blobs(batch.column(0))]])
+        buckets, nodes = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        n = len(buckets)
+        if not n:
+            continue
+        before_b = np.concatenate([[bucket if bucket is not None else ~buckets[0]], buckets[:-1]])
+        before_n = np.concatenate([[last if last is not None else 0], nodes[:-1]])
+        start = buckets != before_b
+        fresh = start | (nodes != before_n)  # not a repeat of the row before
+        # a bucket is shared where a row that is no start is fresh
+        group = np.cumsum(start)
+        many = np.zeros(group[-1] + 1, dtype=bool)
+        many[group[fresh & ~start]] = True
+        open_before = waiting is not None and not start[0]
+        if first is False and not start[0]:
+            many[0] = True  # known already from the batch before
+        keep = fresh & many[group]
+        if open_before and many[0]:
+            yield waiting
+            waiting = None
+        tail = group == group[-1]
+        if many[group[-1]]:
+            waiting_now, first_now = None, False
+        elif start[tail].any():
+            waiting_now, first_now = batch.slice(int(np.flatnonzero(tail)[0]), 1), True
+        else:
+            waiting_now, first_now = waiting, True  # still the one node of an earlier batch
+        yield batch.filter(pa.array(keep))
+        waiting, first, bucket, last = waiting_now, first_now, buckets[-1], nodes[-1]
+
+
+def _bits(bits: int):
+    """A fixed-size bitmap of the values seen, in 16 chunks."""
+    schema = pa.schema([("chunk", pa.int32()), ("bitmap", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << bits, dtype=bool)
+        for batch in batches:
+            seen[batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)] = True
+        for c, part in enumerate(np.split(seen, 16)):
+            if part.any():
+                yield record(schema, [[c], [zlib.compress(np.packbits(part).tobytes(), 1)]])
+
+    return run
+
+
+def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk; the union of each chunk's bitmaps."""
+    schema = pa.schema([("chunk", pa.int32()), ("bitmap", pa.binary())])
+    at, total = None, None
+    for batch in batches:
+        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+            if chunk != at:
+                if at is not None:
+                    yield record(schema, [[at], [zlib.compress(total.tobytes(), 1)]])
+                at, total = chunk, part
+            else:
+                total = total | part
+    if at is not None:
+        yield record(schema, [[at], [zlib.compress(total.tobytes(), 1)]])
+
+
+def _texts(bits: int, bitmap):
+    schema = pa.schema([("key0", pa.int64()), ("key1", pa.int64()), ("packed", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(bitmap.value)
+        for batch in batches:
+            own = wanted[batch.column(2).to_numpy().view(np.uint64) >> np.uint64(64 - bits)] > 0
+            part = batch.filter(pa.array(own))
+            yield record(schema, [part.column(1), part.column(2), [zlib.compress(d.tobytes(), 1) for d in blobs(part.column(0))]])
+
+    return run
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, bits: int = 24) -> DataFrame:
+    """node, packed (compressed text) for each row of wanted (node, key0, key1).  A bitmap of fixed size
+    keeps most other texts out of the shuffle; the join is exact whatever the bitmap lets through."""
+    rows = wanted.select("key1").mapInArrow(_bits(bits), "chunk int, bitmap binary").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_either, "chunk int, bitmap binary").collect()  # 16 rows at most
+    full = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for r in rows:
+        full[r["chunk"] * (len(full) // 16) :][: len(full) // 16] = np.frombuffer(zlib.decompress(r["bitmap"]), dtype=np.uint8)
+    bitmap = docs.sparkSession.sparkContext.broadcast(full)
+    packed = docs.select(F.col("text").cast("binary").alias("data"), *row_key()).mapInArrow(_texts(bits, bitmap), "key0 long, key1 long, packed binary")
+    return packed.join(wanted, ["key0", "key1"]).groupBy("node").agg(F.min("packed").alias("packed"))
 
 
 def _verify(width: int, num: int, den: int):
@@ -204,7 +287,7 @@ def _verify(width: int, num: int, den: int):
     return run
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int, salt_rows: int = 1000) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int, salt_rows: int = 250) -> DataFrame:
     """pairs: a, b (distinct).  Returns those whose sets link.  A centre with many partners is split."""
     degree = pairs.groupBy("b").agg(F.count("*").alias("deg")).withColumn("salts", F.ceil(F.col("deg") / salt_rows).cast("int"))
     degree = materialize(degree, "degrees")
@@ -221,13 +304,14 @@ def _candidates(num: int, den: int):
 
     def pairs_of(v: np.ndarray) -> Iterator[tuple]:
         v = v[np.argsort(v["n"], kind="stable")]
-        n, root, block, at, level = v["n"].astype(np.int64), v["root"], v["block"], v["at"], v["level"]
+        n, root, block, pos, level = v["n"].astype(np.int64), v["root"], v["block"], v["pos"].astype(np.int64), v["level"]
         whole = not block.any()
         for i in range(1, len(v)):
             j0 = int(np.searchsorted(n[:i], -(-n[i] * num // den)))
             j = np.arange(j0, i)
             need = np.minimum(level[j], level[i])
-            ok = (root[j] != root[i]) & (np.maximum(at[j], at[i]) <= need)
+            overlap = -((-(n[j] + n[i]) * num) // (num + den))  # what this pair must share
+            ok = (root[j] != root[i]) & (pos[j] < n[j] - overlap + need) & (pos[i] < n[i] - overlap + need)
             if not whole:
                 ok &= (block[j] != block[i])
             j = j[ok]
@@ -236,7 +320,7 @@ def _candidates(num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        kinds = [("bucket", np.int64), ("block", np.int32), ("node", np.int64), ("n", np.int32), ("at", np.int16), ("level", np.int16), ("root", np.int64)]
+        kinds = [("bucket", np.int64), ("block", np.int32), ("node", np.int64), ("n", np.int32), ("pos", np.int32), ("level", np.int16), ("root", np.int64)]
 
         def flush(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.flatnonzero(np.diff(rows["bucket"])) + 1
@@ -289,17 +373,12 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     rows = seen.filter("chunk is not null").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_sum_counts, "chunk int, counts binary").collect()  # 64 rows: the sketch's fixed size
     sketch = spark.sparkContext.broadcast(load_sketch(rows, sketch_bits))
 
-    named_fn, named_kind = _named(width, seed)
-    named = data.select("data").mapInArrow(named_fn, named_kind)
-    fn, kind = _postings(width, sketch_bits, sketch, num, den)
-    lists = named.mapInArrow(fn, kind).distinct()
+    fn, kind = _postings(width, sketch_bits, seed, sketch, num, den)
+    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(_shared, kind)
     lists = materialize(lists, "postings")
-    # lists with one node can link nothing
-    shared = materialize(lists.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket"), "shared")
-    lists = materialize(lists.join(shared, "bucket", "left_semi"), "postings2")
-    wanted = materialize(lists.select("node").distinct(), "wanted")
-    texts = named.mapInArrow(_texts, "node long, packed binary").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("packed").alias("packed"))
-    texts = materialize(texts, "texts")
+    wanted = lists.select("node").distinct().join(members.select("node", F.coalesce("doc_id", F.lit(0)).alias("key0"), "key1"), "node", "left").groupBy("node").agg(F.min(F.struct("key0", "key1")).alias("k")).select("node", "k.*")
+    wanted = materialize(wanted, "wanted")
+    texts = materialize(texts_of(docs, wanted), "texts")
 
     links = None
     roots = None
@@ -307,14 +386,16 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
         now = lists if roots is None else lists.join(roots, "node", "left")
         now = now.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
         if turn < pivot_rounds:
-            pick = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n").alias("n")))
+            # first the node with the fewest rarer shingles, which among near copies is the one most others are made from
+            rarer = F.expr("cast(1000L * pos div n as int)") if not turn else F.lit(0)
+            pick = F.min(F.struct(rarer.alias("r"), F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n").alias("n")))
             centre = materialize(now.groupBy("bucket").agg(pick.alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket", "p"), "pivots")
             pairs = now.join(centre, "bucket").filter("root <> p.root").filter(f"least(n, p.n) * {den}L >= greatest(n, p.n) * {num}L")
             pairs = pairs.groupBy("node", F.col("p.node").alias("other")).agg(F.count("*").alias("shared"))
             pairs = pairs.groupBy("node").agg(F.max(F.struct("shared", "other")).alias("m")).select(F.greatest("node", "m.other").alias("a"), F.least("node", "m.other").alias("b")).distinct()
         else:
             fn, kind = _candidates(num, den)
-            cross = now.select("bucket", "block", "node", "n", "at", "level", "root").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
+            cross = now.select("bucket", "block", "node", "n", "pos", "level", "root").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
             pairs = cross.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b"))
         pairs = materialize(pairs, "pairs")
         new = materialize(verify(pairs, texts, width, num, den), "links")
@@ -323,16 +404,6 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     return members.select("doc_id", "key1", "n", "node"), roots
 
 
-def _named(width: int, seed: int):
-    schema = pa.schema([("data", pa.binary()), ("node", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield record(schema, [batch.column(0), [set_names(text_set(d, width), seed)[0] for d in blobs(batch.column(0))]])
-
-    return run, "data binary, node long"
-
-
 def component_rows(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, **options) -> DataFrame:
     """One row per row of docs: doc_id, key1, n_shingles, component_id, and keep (the row key of the component's first document)."""
     members, roots = link_components(docs, width, num, den, **options)
