@@ -8,9 +8,10 @@ document takes the l whose estimated cost is least: postings to read, plus candi
 of which there are at most (postings read) / l.  A pair is verified only when it shares
 l = min(l_a, l_b) shingles in places below n - o + l of both, with the o that this pair needs.
 
-Equal sets are one node.  Copies in large groups are not expanded into pairs: two rounds first
-verify each node against one pivot it shares most with; after that only pairs across different
-components are made, so no link between components is lost.  Shingles that the sketch finds in
+Equal sets are one node.  Copies in large groups are not expanded into pairs: first each node
+is verified against the one pivot it shares most with; after that only pairs across different
+components are made, and of them only those whose 256-bit parities do not rule a link out, so no
+link between components is lost.  Shingles that the sketch finds in
 very many documents have their posting lists split into pairs of blocks.
 
 Null and empty texts: an empty set, linked with nothing, alone in their component.
@@ -54,13 +55,19 @@ def set_names(s: np.ndarray, seed: int) -> tuple[int, int]:
         return tuple(int(x) for x in longs(mix(np.array([a, b], dtype=np.uint64))))
 
 
+def parity(s: np.ndarray) -> bytes:
+    """256 bits, each the parity of how many shingles fall on it.  Two sets differ in at least as many
+    shingles as their parities differ in bits, whatever the hash."""
+    return np.packbits(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).tobytes()
+
+
 def _members(width: int, bits: int, seed: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()), ("parity", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
-            sizes, nodes, seconds = [], [], []
+            sizes, nodes, seconds, parities = [], [], [], []
             for data in blobs(batch.column(1)):
                 s = text_set(data, width)
                 np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
@@ -68,16 +75,17 @@ def _members(width: int, bits: int, seed: int):
                 sizes.append(len(s))
                 nodes.append(a)
                 seconds.append(b)
+                parities.append(parity(s))
             k = len(sizes)
-            yield record(schema, [batch.column(0), batch.column(2), sizes, nodes, seconds, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())])
+            yield record(schema, [batch.column(0), batch.column(2), sizes, nodes, seconds, parities, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())])
         step = 1 << max(0, bits - 6)
         for c in range(0, len(counts), step):
             part = counts[c : c + step]
             if part.any():
                 small = np.minimum(part, 2**32 - 1).astype("<u4").tobytes()
-                yield record(schema, [[None], [None], [None], [None], [None], [c // step], [zlib.compress(small, 1)]])
+                yield record(schema, [[None], [None], [None], [None], [None], [None], [c // step], [zlib.compress(small, 1)]])
 
-    return run, "doc_id long, key1 long, n long, node long, second long, chunk int, counts binary"
+    return run, "doc_id long, key1 long, n long, node long, second long, parity binary, chunk int, counts binary"
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,37 +181,37 @@ def _postings(width: int, bits: int, seed: int, sketch, num: int, den: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket and node: those of buckets with two nodes or more, each node once."""
-    bucket, first, waiting, last = None, None, None, None
+    """Rows sorted by bucket, rank and node: those of buckets with two nodes or more, each node once, with
+    the bucket's first node (`pivot`)."""
+    bucket = last = pivot = None
+    known = False  # the open bucket has two nodes
+    waiting = None  # its only row so far
     for batch in batches:
-        buckets, nodes = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        buckets, nodes = batch.column("bucket").to_numpy(), batch.column("node").to_numpy()
         n = len(buckets)
         if not n:
             continue
-        before_b = np.concatenate([[bucket if bucket is not None else ~buckets[0]], buckets[:-1]])
-        before_n = np.concatenate([[last if last is not None else 0], nodes[:-1]])
-        start = buckets != before_b
-        fresh = start | (nodes != before_n)  # not a repeat of the row before
-        # a bucket is shared where a row that is no start is fresh
-        group = np.cumsum(start)
-        many = np.zeros(group[-1] + 1, dtype=bool)
+        goes_on = bucket is not None and buckets[0] == bucket
+        start = np.concatenate([[not goes_on], buckets[1:] != buckets[:-1]])
+        fresh = start | np.concatenate([[not goes_on or nodes[0] != last], nodes[1:] != nodes[:-1]])
+        group = np.cumsum(start) - start[0]
+        firsts = np.flatnonzero(start)
+        pivots = nodes[firsts] if start[0] else np.concatenate([[pivot], nodes[firsts]])
+        many = np.zeros(len(pivots), dtype=bool)
         many[group[fresh & ~start]] = True
-        open_before = waiting is not None and not start[0]
-        if first is False and not start[0]:
-            many[0] = True  # known already from the batch before
+        if goes_on:
+            many[0] |= known
+            if many[0] and waiting is not None:
+                yield waiting
         keep = fresh & many[group]
-        if open_before and many[0]:
-            yield waiting
+        own = batch.append_column("pivot", pa.array(pivots[group], pa.int64()))
+        yield own.filter(pa.array(keep))
+        at = group[-1]
+        if many[at]:
             waiting = None
-        tail = group == group[-1]
-        if many[group[-1]]:
-            waiting_now, first_now = None, False
-        elif start[tail].any():
-            waiting_now, first_now = batch.slice(int(np.flatnonzero(tail)[0]), 1), True
-        else:
-            waiting_now, first_now = waiting, True  # still the one node of an earlier batch
-        yield batch.filter(pa.array(keep))
-        waiting, first, bucket, last = waiting_now, first_now, buckets[-1], nodes[-1]
+        elif start[0] or at:
+            waiting = own.slice(int(firsts[-1]), 1)
+        bucket, last, pivot, known = buckets[-1], nodes[-1], pivots[at], bool(many[at])
 
 
 def _bits(bits: int):
@@ -304,7 +312,7 @@ def _candidates(num: int, den: int):
 
     def pairs_of(v: np.ndarray) -> Iterator[tuple]:
         v = v[np.argsort(v["n"], kind="stable")]
-        n, root, block, pos, level = v["n"].astype(np.int64), v["root"], v["block"], v["pos"].astype(np.int64), v["level"]
+        n, root, block, pos, level, bits = v["n"].astype(np.int64), v["root"], v["block"], v["pos"].astype(np.int64), v["level"], v["parity"]
         whole = not block.any()
         for i in range(1, len(v)):
             j0 = int(np.searchsorted(n[:i], -(-n[i] * num // den)))
@@ -314,13 +322,14 @@ def _candidates(num: int, den: int):
             ok = (root[j] != root[i]) & (pos[j] < n[j] - overlap + need) & (pos[i] < n[i] - overlap + need)
             if not whole:
                 ok &= (block[j] != block[i])
+            ok[ok] = np.bitwise_count(bits[j[ok]] ^ bits[i]).sum(axis=1) <= (n[j] + n[i] - 2 * overlap)[ok]
             j = j[ok]
             if len(j):
                 yield np.minimum(v["node"][j], v["node"][i]), np.maximum(v["node"][j], v["node"][i]), need[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        kinds = [("bucket", np.int64), ("block", np.int32), ("node", np.int64), ("n", np.int32), ("pos", np.int32), ("level", np.int16), ("root", np.int64)]
+        kinds = [("bucket", np.int64), ("block", np.int32), ("node", np.int64), ("n", np.int32), ("pos", np.int32), ("level", np.int16), ("root", np.int64), ("parity", np.uint64, 4)]
 
         def flush(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.flatnonzero(np.diff(rows["bucket"])) + 1
@@ -338,8 +347,9 @@ def _candidates(num: int, den: int):
 
         for batch in batches:
             rows = np.empty(batch.num_rows, dtype=kinds)
-            for name, _ in kinds:
+            for name in rows.dtype.names[:-1]:
                 rows[name] = batch.column(name).to_numpy(zero_copy_only=False)
+            rows["parity"] = np.frombuffer(b"".join(batch.column("parity").to_pylist()), dtype=np.uint64).reshape(-1, 4)
             if not len(rows):
                 continue
             held.append(rows)
@@ -355,7 +365,7 @@ def _candidates(num: int, den: int):
     return run, "a long, b long, need short"
 
 
-def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, sketch_bits: int = 22, pivot_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, sketch_bits: int = 22) -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, key1 (row_key), n, node; roots: node, root), roots only for nodes with a link to another set.
 
     docs needs doc_id (long) and text.  Two sets link when den * intersection >= num * union."""
@@ -365,7 +375,7 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     while True:
         fn, kind = _members(width, sketch_bits, seed)
         seen = materialize(data.mapInArrow(fn, kind), "members")
-        members = seen.filter("chunk is null").select("doc_id", "key1", "n", "node", "second")
+        members = seen.filter("chunk is null").select("doc_id", "key1", "n", "node", "second", "parity")
         clash = members.groupBy("node").agg((F.min("second") != F.max("second")).alias("c")).filter("c").limit(1).count()
         if not clash:
             break
@@ -374,33 +384,29 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     sketch = spark.sparkContext.broadcast(load_sketch(rows, sketch_bits))
 
     fn, kind = _postings(width, sketch_bits, seed, sketch, num, den)
-    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(_shared, kind)
+    # the node with the fewest rarer shingles, which among near copies is the one most others are made from, comes first
+    rank = F.expr("1000L * pos div n")
+    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", rank, "node").mapInArrow(_shared, kind + ", pivot long")
     lists = materialize(lists, "postings")
-    wanted = lists.select("node").distinct().join(members.select("node", F.coalesce("doc_id", F.lit(0)).alias("key0"), "key1"), "node", "left").groupBy("node").agg(F.min(F.struct("key0", "key1")).alias("k")).select("node", "k.*")
+    wanted = lists.select("node").distinct().join(members.select("node", F.coalesce("doc_id", F.lit(0)).alias("key0"), "key1", "n", "parity"), "node", "left").groupBy("node").agg(F.min(F.struct("key0", "key1", "n", "parity")).alias("k")).select("node", "k.*")
     wanted = materialize(wanted, "wanted")
-    texts = materialize(texts_of(docs, wanted), "texts")
-
-    links = None
-    roots = None
-    for turn in range(pivot_rounds + 1):
-        now = lists if roots is None else lists.join(roots, "node", "left")
-        now = now.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
-        if turn < pivot_rounds:
-            # first the node with the fewest rarer shingles, which among near copies is the one most others are made from
-            rarer = F.expr("cast(1000L * pos div n as int)") if not turn else F.lit(0)
-            pick = F.min(F.struct(rarer.alias("r"), F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n").alias("n")))
-            centre = materialize(now.groupBy("bucket").agg(pick.alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket", "p"), "pivots")
-            pairs = now.join(centre, "bucket").filter("root <> p.root").filter(f"least(n, p.n) * {den}L >= greatest(n, p.n) * {num}L")
-            pairs = pairs.groupBy("node", F.col("p.node").alias("other")).agg(F.count("*").alias("shared"))
-            pairs = pairs.groupBy("node").agg(F.max(F.struct("shared", "other")).alias("m")).select(F.greatest("node", "m.other").alias("a"), F.least("node", "m.other").alias("b")).distinct()
-        else:
-            fn, kind = _candidates(num, den)
-            cross = now.select("bucket", "block", "node", "n", "pos", "level", "root").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
-            pairs = cross.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b"))
-        pairs = materialize(pairs, "pairs")
-        new = materialize(verify(pairs, texts, width, num, den), "links")
-        links = new if links is None else links.unionByName(new)
-        roots = materialize(components(links), "roots")
+    texts = materialize(texts_of(docs, wanted.select("node", "key0", "key1")), "texts")
+
+    # first each node against the pivot it shares most postings with
+    sizes = wanted.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
+    counted = lists.filter("node <> pivot").groupBy("node", "n", "pivot").agg(F.count("*").alias("shared")).join(sizes, "pivot")
+    counted = counted.filter(f"least(n, m) * {den}L >= greatest(n, m) * {num}L").groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
+    pairs = materialize(counted.select(F.greatest("node", "best.pivot").alias("a"), F.least("node", "best.pivot").alias("b")).distinct(), "pairs")
+    links = materialize(verify(pairs, texts, width, num, den), "links")
+    # then all that can link across what that has joined
+    joined = components(links)
+    nodes = materialize(wanted.select("node", "parity").join(joined, "node", "left").select("node", "parity", F.coalesce("root", "node").alias("root")), "nodes")
+    fn, kind = _candidates(num, den)
+    cross = lists.drop("pivot").join(nodes, "node").select("bucket", "block", "node", "n", "pos", "level", "root", "parity")
+    cross = cross.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
+    pairs = cross.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    more = materialize(verify(materialize(pairs, "pairs"), texts, width, num, den), "links")
+    roots = materialize(components(links.unionByName(more)), "roots")
     return members.select("doc_id", "key1", "n", "node"), roots
 
 
