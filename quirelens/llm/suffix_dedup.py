@@ -95,18 +95,26 @@ def _scan(length: int, names_only: bool):
     return run, ", ".join(f"{n} {kinds[str(t)]}" for n, t in fields)
 
 
-def refine(data: np.ndarray, depth: int, q: int = 8, blocks: int = 4) -> np.ndarray:
-    """Positions of `data` ordered by their first `depth` bytes at least (ties: equal that far).
+def grams8(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at each position as one number (zeros after the end)."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    gram = np.zeros(n, dtype=np.uint64)
+    for k in range(8):
+        gram <<= np.uint64(8)
+        gram |= padded[k : k + n]
+    return gram
+
+
+def refine(gram: np.ndarray, depth: int, blocks: int = 4) -> np.ndarray:
+    """Positions of a text, given as its 8-grams, by their first `depth` bytes at least (ties: equal that far).
 
     pointer[p] is the last place of p's bucket; a bucket is refined by the pointers at p + h, which
     may already have been renewed in this pass."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(q, np.uint8)])
-    gram = np.zeros(n, dtype=np.uint64)
-    for k in range(q):
-        gram = (gram << np.uint64(8)) | padded[k : k + n].astype(np.uint64)
-    order = np.argsort(gram, kind="stable")
-    ends = np.flatnonzero(np.concatenate([gram[order][1:] != gram[order][:-1], [True]]))
+    n, q = len(gram), 8
+    order = np.argsort(gram)
+    ranked = gram[order]
+    ends = np.flatnonzero(np.concatenate([ranked[1:] != ranked[:-1], [True]]))
     pointer = np.full(n + depth + q + 1, -1, dtype=np.int64)
     pointer[order] = np.repeat(ends, np.diff(np.concatenate([[-1], ends])))
     h = q
@@ -122,7 +130,7 @@ def refine(data: np.ndarray, depth: int, q: int = 8, blocks: int = 4) -> np.ndar
                 continue
             p = order[part]
             own, later = pointer[p], pointer[p + h]
-            inner = np.lexsort((later, own))
+            inner = np.argsort(own * (n + 1) + later + 1)
             p, own, later = p[inner], own[inner], later[inner]
             order[part] = p
             last = np.concatenate([(own[1:] != own[:-1]) | (later[1:] != later[:-1]), [True]])
@@ -136,14 +144,14 @@ def repeated_starts(data: np.ndarray, starts: np.ndarray, length: int) -> np.nda
     """Which of `starts` (sorted) begin `length` bytes that begin at another of them too."""
     valid = np.zeros(len(data), dtype=bool)
     valid[starts] = True
-    order = refine(data, length)
+    gram = grams8(data)
+    order = refine(gram, length)
     order = order[valid[order]]
     same = np.zeros(len(order), dtype=bool)
     left, right = order[:-1], order[1:]
     live = np.arange(len(left))
-    for k in range(0, length, 8):  # byte by byte, only where all before were equal
-        step = np.arange(k, min(k + 8, length))
-        live = live[(data[left[live][:, None] + step] == data[right[live][:, None] + step]).all(axis=1)]
+    for k in [*range(0, length - 8, 8), length - 8]:  # all bytes, eight at a time, only where all before were equal
+        live = live[gram[left[live] + k] == gram[right[live] + k]]
     same[live] = True
     same[live + 1] = True
     out = np.zeros(len(data), dtype=bool)
@@ -164,13 +172,19 @@ _SPAN_KIND = "key0 long, key1 long, start int, stop int"
 def _contexts(length: int):
     """(packed, key0, key1, wanted: [(m, before, span, h, side, sub, n)]) to one row per wanted context, with its bytes."""
     schema = pa.schema([("h", pa.int64()), ("side", pa.int32()), ("sub", pa.int32()), ("n", pa.int64()), ("key0", pa.int64()), ("key1", pa.int64()), ("lo", pa.int32()), ("context", pa.binary())])
+    side = length * 3 // 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 data = zlib.decompress(batch.column(0)[i].as_py())
                 k0, k1 = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                rows = [(w["h"], w["side"], w["sub"], w["n"], k0, k1, w["m"] - w["before"], data[w["m"] - w["before"] : w["m"] - w["before"] + w["span"] + length]) for w in batch.column(3)[i].as_py()]
+                rows = []
+                for w in batch.column(3)[i].as_py():
+                    lo, hi = w["m"] - w["before"], w["m"] - w["before"] + w["span"]
+                    # windows that hold the left side start early enough, all others hold the right one
+                    lo, hi = (lo, min(hi, w["m"] - side)) if w["side"] == 0 else (max(lo, w["m"] - side + 1), hi)
+                    rows.append((w["h"], w["side"], w["sub"], w["n"], k0, k1, lo, data[lo : hi + length]))
                 yield record(schema, [list(c) for c in zip(*rows, strict=True)])
 
     return run, "h long, side int, sub int, n long, key0 long, key1 long, lo int, context binary"
@@ -206,7 +220,7 @@ def _refined(length: int):
                     if size > CHUNK_BYTES:
                         yield solve(chunk)
                         chunk, size = {}, 0
-                if (k0, k1, lo) not in chunk:  # it may have come by its other side
+                if (k0, k1, lo) not in chunk:  # repeated rows bring it more than once
                     chunk[k0, k1, lo] = (context, n)
                     size += len(context)
         if chunk:
