@@ -30,33 +30,46 @@ PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 
 # Fixed: the pre-tokenizer's pattern, as in the tokenizer's own file, written for plain Latin text.
-_PLAIN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+"
-_NOT_PLAIN = re.compile("[^\t-\r -\x84\x86-\u024f]|<\\|")
+_PLAIN_PIECES = r"[A-Za-zªµºÀ-ÖØ-öø-ɏ]+|'s|'t|'re|'ve|'m|'ll|'d|[\d²³¹¼½¾]|(?:[^\w\s]|_)+"
+_NOT_PLAIN = re.compile("[^\t-\r -\x84\x86-\u024f]")
+
+
+def byte_letters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in plain else next(rest)) for b in range(256)]
+
+
+class _Words(dict):
+    """Word to its ids' bytes; a word that is missing is encoded by the model and kept."""
+
+    def __init__(self, model) -> None:
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        out = self[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return out
 
 
 class Encoder:
-    """Token ids of whole texts.  Words are encoded once and kept; texts beyond plain Latin script,
-    or that spell a special token, go to the tokenizer whole."""
+    """Token ids of whole texts.  Words are encoded once and kept, `keep` of them at most; texts beyond
+    plain Latin script, or that spell a special token, go to the tokenizer whole."""
 
-    def __init__(self, path: str, keep: int = 500_000) -> None:
+    def __init__(self, path: str, keep: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keep, self.known = keep, {}
+        self.keep, self.known = keep, _Words(self.tokenizer.model)
         self.pieces = re.compile(_PLAIN_PIECES).findall
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [None if _NOT_PLAIN.search(t) else self.pieces(t.lower()) for t in texts]
-        known = self.known
-        new = set().union(*(w for w in words if w)).difference(known)
-        if len(known) + len(new) > self.keep:
-            known.clear()
-            new = set().union(*(w for w in words if w))
-        fresh = list(new)
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[w] = array("I", e.ids).tobytes()
-        get = known.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4") if w is None else np.frombuffer(b"".join(map(get, w)), dtype="<u4") for t, w in zip(texts, words, strict=True)]
+    def encode(self, text: str) -> np.ndarray:
+        if "<|" in text or _NOT_PLAIN.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if len(self.known) > self.keep:
+            self.known.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text.lower()))), dtype="<u4")
 
 
 def _encoder(path: str) -> Encoder:
@@ -80,8 +93,8 @@ def _cut(path: str, capacity: int, rows: int = 200):
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 cols: list[list] = [[], [], [], [], []]
-                for doc_id, ids in zip(part.column(0).to_pylist(), own.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids = np.concatenate([ids, end])
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = np.concatenate([own.encode(text or ""), end])
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         own_ids = ids[start : start + capacity]
                         for c, v in zip(cols, (doc_id, k, start, len(own_ids), zlib.crc32(own_ids.tobytes())), strict=True):
