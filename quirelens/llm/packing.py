@@ -175,22 +175,18 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 500_000) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 10_000) -> DataFrame:
     """parts (a written table with doc_id, piece, length) with sequence_id and offset."""
     spark = parts.sparkSession
     rows = parts.agg(F.count("*")).first()[0]
     salts = max(1, min(1024, -(-rows // salt_rows)))
     salted = parts.withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id, piece, ids_crc32), {salts}) as int)"))
-    # capacity * salts rows at most
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    table = sorted((r["length"], r["salt"], r["n"]) for r in sizes.collect())
-    counts: dict[int, int] = {}
-    bases = []
-    for length, salt, n in table:
-        bases.append((length, salt, counts.get(length, 0)))
-        counts[length] = counts.get(length, 0) + n
+    # capacity * salts rows at most; the driver takes the counts by length alone
+    sizes = materialize(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "sizes")
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = best_fit_plan(counts, capacity)
-    base = F.broadcast(spark.createDataFrame(bases, "length int, salt int, base long"))
+    before = F.expr("coalesce(sum(n) over (partition by length order by salt rows between unbounded preceding and 1 preceding), 0)")
+    base = F.broadcast(sizes.select("length", "salt", before.alias("base")))
     rank = F.expr("row_number() over (partition by length, salt order by doc_id, piece)") - 1
     ranked = salted.withColumn("i", rank).join(base, ["length", "salt"]).withColumn("i", F.col("i") + F.col("base"))
     # the plan has a few rows per length: kept sorted in one array per length and searched by its first piece
