@@ -27,6 +27,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -334,8 +335,6 @@ def span_digest(docs: DataFrame, length: int = 200) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """Rows and columns of docs, texts without their repeated spans (characters cut in two go whole), n_chars renewed if there is one."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or s is None else cut(t.encode(), list(s))[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)], dtype=object)

@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -153,8 +154,6 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
     """Rows of docs that are not predicted toxic; all columns.  Judged in the row: no shuffle."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def p_toxic(text: pd.Series) -> pd.Series:
         return pd.Series(np.concatenate([chain.predict(chain.features(list(text.iloc[a : a + 256])))[:, -1] for a in range(0, len(text), 256)]) if len(text) else [], dtype=float)
