@@ -182,8 +182,8 @@ def _postings(width: int, bits: int, seed: int, sketch, num: int, den: int):
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket, rank and node: those of buckets with two nodes or more, each node once, with
-    the bucket's first node (`pivot`)."""
-    bucket = last = pivot = None
+    the bucket's first node and its size (`pivot`, `m`)."""
+    bucket = last = pivot = size = None
     known = False  # the open bucket has two nodes
     waiting = None  # its only row so far
     for batch in batches:
@@ -196,7 +196,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = start | np.concatenate([[not goes_on or nodes[0] != last], nodes[1:] != nodes[:-1]])
         group = np.cumsum(start) - start[0]
         firsts = np.flatnonzero(start)
+        sizes = batch.column("n").to_numpy()
         pivots = nodes[firsts] if start[0] else np.concatenate([[pivot], nodes[firsts]])
+        pivot_sizes = sizes[firsts] if start[0] else np.concatenate([[size], sizes[firsts]])
         many = np.zeros(len(pivots), dtype=bool)
         many[group[fresh & ~start]] = True
         if goes_on:
@@ -204,14 +206,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if many[0] and waiting is not None:
                 yield waiting
         keep = fresh & many[group]
-        own = batch.append_column("pivot", pa.array(pivots[group], pa.int64()))
+        own = batch.append_column("pivot", pa.array(pivots[group], pa.int64())).append_column("m", pa.array(pivot_sizes[group], pa.int32()))
         yield own.filter(pa.array(keep))
         at = group[-1]
         if many[at]:
             waiting = None
         elif start[0] or at:
             waiting = own.slice(int(firsts[-1]), 1)
-        bucket, last, pivot, known = buckets[-1], nodes[-1], pivots[at], bool(many[at])
+        bucket, last, pivot, size, known = buckets[-1], nodes[-1], pivots[at], pivot_sizes[at], bool(many[at])
 
 
 def _bits(bits: int):
@@ -386,26 +388,35 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     fn, kind = _postings(width, sketch_bits, seed, sketch, num, den)
     # the node with the fewest rarer shingles, which among near copies is the one most others are made from, comes first
     rank = F.expr("1000L * pos div n")
-    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", rank, "node").mapInArrow(_shared, kind + ", pivot long")
+    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", rank, "node").mapInArrow(_shared, kind + ", pivot long, m int")
     lists = materialize(lists, "postings")
     wanted = lists.select("node").distinct().join(members.select("node", F.coalesce("doc_id", F.lit(0)).alias("key0"), "key1", "n", "parity"), "node", "left").groupBy("node").agg(F.min(F.struct("key0", "key1", "n", "parity")).alias("k")).select("node", "k.*")
     wanted = materialize(wanted, "wanted")
-    texts = materialize(texts_of(docs, wanted.select("node", "key0", "key1")), "texts")
-
-    # first each node against the pivot it shares most postings with
-    sizes = wanted.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
-    counted = lists.filter("node <> pivot").groupBy("node", "n", "pivot").agg(F.count("*").alias("shared")).join(sizes, "pivot")
-    counted = counted.filter(f"least(n, m) * {den}L >= greatest(n, m) * {num}L").groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
-    pairs = materialize(counted.select(F.greatest("node", "best.pivot").alias("a"), F.least("node", "best.pivot").alias("b")).distinct(), "pairs")
-    links = materialize(verify(pairs, texts, width, num, den), "links")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs that link; only texts of their nodes are moved."""
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        own = materialize(wanted.select("node", "key0", "key1").join(ends, "node", "left_semi"), "ends")
+        return materialize(verify(pairs, materialize(texts_of(docs, own), "texts"), width, num, den), "links")
+
+    # first each node against the pivot it shares most postings with, if sizes and parities let them link
+    near = lists.filter("node <> pivot").filter(f"least(n, m) * {den}L >= greatest(n, m) * {num}L")
+    counted = near.groupBy("node", "n", "pivot", "m").agg(F.count("*").alias("shared"))
+    counted = counted.groupBy("node", "n").agg(F.max(F.struct("shared", "pivot", "m")).alias("best")).select("node", "n", "best.*")
+    bits = wanted.select("node", F.col("parity").alias("own"))
+    counted = counted.join(bits, "node").join(bits.select(F.col("node").alias("pivot"), F.col("own").alias("other")), "pivot")
+    apart = " + ".join(f"bit_count(conv(hex(substring(own, {i}, 7)), 16, 10)::bigint ^ conv(hex(substring(other, {i}, 7)), 16, 10)::bigint)" for i in (1, 8, 15, 22, 29))
+    counted = counted.filter(f"{apart} <= n + m - 2 * (((n + m) * {num}L + {num + den - 1}) div {num + den})")
+    pairs = materialize(counted.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct(), "pairs")
+    links = linked(pairs)
     # then all that can link across what that has joined
     joined = components(links)
     nodes = materialize(wanted.select("node", "parity").join(joined, "node", "left").select("node", "parity", F.coalesce("root", "node").alias("root")), "nodes")
     fn, kind = _candidates(num, den)
-    cross = lists.drop("pivot").join(nodes, "node").select("bucket", "block", "node", "n", "pos", "level", "root", "parity")
+    cross = lists.drop("pivot", "m").join(nodes, "node").select("bucket", "block", "node", "n", "pos", "level", "root", "parity")
     cross = cross.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
     pairs = cross.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b"))
-    more = materialize(verify(materialize(pairs, "pairs"), texts, width, num, den), "links")
+    more = linked(materialize(pairs, "pairs"))
     roots = materialize(components(links.unionByName(more)), "roots")
     return members.select("doc_id", "key1", "n", "node"), roots
 
