@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of a sample: rows, and characters of a row (longer texts are not drawn for fitting; all are scored).
-MAX_ROWS = 6000
+MAX_ROWS = 4000
 MAX_CHARS = 20_000
 
 

@@ -59,11 +59,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25)
     return w
 
 
-def choose_terms(texts: list[list[str]], y: np.ndarray, most: int = 300, least_docs: int = 3) -> list[str]:
+def choose_terms(texts: list[str], y: np.ndarray, most: int = 300, least_docs: int = 3) -> list[str]:
     """Terms found far more often in texts of class 1, by smoothed log odds over its standard error."""
     pos, neg = Counter(), Counter()
     for t, label in zip(texts, y, strict=True):
-        (pos if label else neg).update(set(t))
+        (pos if label else neg).update(set(terms_of(t)))
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
     out = []
     for t, k in pos.items():
@@ -105,12 +105,10 @@ class Chain:
 
 
 def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
-    split = [terms_of(t) for t in texts]
     if not len(toxic) or toxic.min() == toxic.max():
         return Chain([], [])
-    chain = Chain(choose_terms(split, toxic), [])
+    chain = Chain(choose_terms(texts, toxic), [])
     x = chain.features(texts)
-    # out-of-fold everywhere: terms too are chosen without the fold they are judged on
     parts = np.arange(len(texts)) % folds
     n = np.expm1(x[:, -3])
     dense = x[:, -2] >= 0.5
