@@ -1,13 +1,13 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, only its text
-is trainable.  Turns after the last reply, and runs of over `inline_chars` without a reply, come as
-examples without a target, so that nothing is lost.  Texts are escaped, so that what looks like a marker inside a text is read back as text.
+is trainable.  Turns after the last reply come as an example without a target, so that nothing is
+lost.  Texts are escaped, so that what looks like a marker inside a text is read back as text.
 
-An example's text is the whole prefix and the reply.  Of conversations whose formatted text passes
-`inline_chars`, later examples hold what is new since the example named in `context` (-1: none) and
-continue its text; that keeps the output linear in the input, and `full_texts` joins them again.
-A conversation is streamed in turn order by one task, in memory of one example.
+An example's text is the whole prefix and the reply, at every size; of it, the first `context` code
+points are the text of the example before.  The examples of a conversation thus grow with its length
+times its replies; they are compressed on disk, and reading back moves only what is new in each.
+A conversation is streamed in turn order by one task, in memory of its formatted text.
 
 Null texts and roles: empty.  Null ids: one conversation.  Rows of one turn number: ordered by role
 and text, each a turn.  Null turns come first.  An empty table: no examples.
@@ -58,62 +58,82 @@ def turns_in(text: str) -> Iterator[tuple[str, str]]:
         at = body.end() + len(END)
 
 
-EXAMPLE = "conv_id long, example int, context int, text string, loss_start long, loss_stop long"
-_EXAMPLE = pa.schema([("conv_id", pa.int64()), ("example", pa.int32()), ("context", pa.int32()), ("text", pa.string()), ("loss_start", pa.int64()), ("loss_stop", pa.int64())])
+EXAMPLE = "conv_id long, example int, context long, text string, loss_start long, loss_stop long"
+_EXAMPLE = pa.schema([("conv_id", pa.int64()), ("example", pa.int32()), ("context", pa.int64()), ("text", pa.string()), ("loss_start", pa.int64()), ("loss_stop", pa.int64())])
+# Small row groups: a reader holds up to 4096 texts of one at once.
+_STORED = {"compression": "zstd", "parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "10"}
 
 
-def _format(inline_chars: int, out_rows: int = 500):
+def _format(batch_chars: int, out_rows: int = 500):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
         now: object = object()
-        prefix, new, example, length, fresh = "", [], 0, 0, 0
+        prefix, new, example, fresh = "", [], 0, 0
 
         def close(start: int, stop: int) -> None:
             nonlocal prefix, new, example, size, fresh
-            text = "".join(new)
-            if length <= inline_chars:
-                prefix += text
-                rows.append((now, example, -1, prefix, start + len(prefix) - len(text), stop + len(prefix) - len(text)))
-                size += len(prefix)
-            else:
-                prefix = ""
-                rows.append((now, example, example - 1, text, start, stop))
-                size += len(text)
+            context = len(prefix)
+            prefix += "".join(new)
+            rows.append((now, example, context, prefix, context + start, context + stop))
+            size += len(prefix)
             example += 1
             new, fresh = [], 0
 
+        def flush() -> pa.RecordBatch:
+            nonlocal rows, size
+            out = record(_EXAMPLE, [list(c) for c in zip(*rows, strict=True)])
+            rows, size = [], 0
+            return out
+
         for batch in batches:
             for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
                 if conv != now:
                     if new:
                         close(0, 0)
-                    now, prefix, new, example, length, fresh = conv, "", [], 0, 0, 0
+                    now, prefix, new, example, fresh = conv, "", [], 0, 0
                 role, body = role or "", escape(text or "")
                 head = MARK + escape(role, True) + COLON
                 before = fresh + len(head)
                 turn = head + body + END
                 new.append(turn)
-                length, fresh = length + len(turn), fresh + len(turn)
+                fresh += len(turn)
                 if role == TRAINED:
                     close(before, before + len(body))
-                elif fresh > inline_chars:  # context alone, so that one example's memory is enough
-                    close(0, 0)
-                if len(rows) >= out_rows or size > 1 << 24:
-                    yield record(_EXAMPLE, [list(c) for c in zip(*rows, strict=True)])
-                    rows, size = [], 0
+                if len(rows) >= out_rows or size > batch_chars:
+                    yield flush()
         if new:
             close(0, 0)
         if rows:
-            yield record(_EXAMPLE, [list(c) for c in zip(*rows, strict=True)])
+            yield flush()
 
     return run
 
 
-def examples(conversations: DataFrame, inline_chars: int = 1 << 16) -> DataFrame:
-    """conv_id, example, context, text, loss_start and loss_stop (code points of text under the loss mask)."""
+def examples(conversations: DataFrame, batch_chars: int = 1 << 24) -> DataFrame:
+    """conv_id, example, context, text, loss_start and loss_stop (code points of text under the loss mask).
+
+    Rows leave a task once `batch_chars` of text wait; that bounds memory and changes no row."""
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_format(inline_chars), EXAMPLE)
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_format(batch_chars), EXAMPLE)
+
+
+def _new_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each example what is new in it, with digests of its context and of all its text."""
+    schema = pa.schema([("conv_id", pa.int64()), ("example", pa.int32()), ("chars", pa.int64()), ("fresh", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("before", pa.binary()), ("after", pa.binary())])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 100):
+            rows = []
+            for conv, example, context, text, start, stop in zip(*(batch.slice(at, 100).column(c).to_pylist() for c in _EXAMPLE.names), strict=True):
+                fresh = text[context:]
+                digest = hashlib.sha256(text[:context].encode("utf-8"))
+                before = digest.digest()
+                digest.update(fresh.encode("utf-8"))
+                rows.append((conv, example, len(text), fresh, start - context, stop - context, before, digest.digest()))
+            yield record(schema, [list(c) for c in zip(*rows, strict=True)])
+
+
+_NEW = "conv_id long, example int, chars long, fresh string, start long, stop long, before binary, after binary"
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,21 +146,21 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         rows = []
-        for conv, example, context, text, start, stop in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "example", "context", "text", "loss_start", "loss_stop")), strict=True):
+        for conv, example, chars, fresh, start, stop, before, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if state is None or conv != now:
                 if state is not None:
                     rows.append(done())
-                now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, "", -1]
-            if example != state[6] + 1 or context not in (-1, example - 1) or context == -1 and not text.startswith(state[5]):
+                now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, hashlib.sha256().digest(), -1]
+            if example != state[6] + 1 or before != state[5]:
                 raise ValueError(f"example {example} of {conv} does not continue the one before it")
-            for role, body in turns_in(text[len(state[5]) :] if context == -1 else text):
+            for role, body in turns_in(fresh):
                 state[0] += 1
                 state[1].update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
-            target = unescape(text[start:stop])
+            target = unescape(fresh[start:stop])
             state[2] += len(target)
             state[3].update(target.encode("utf-8", "surrogatepass"))
-            state[4] += len(text)
-            state[5], state[6] = text if context == -1 else "", example
+            state[4] += chars
+            state[5], state[6] = after, example
         if rows:
             yield record(schema, [list(c) for c in zip(*rows, strict=True)])
     if state is not None:
@@ -148,27 +168,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from examples alone: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars (of all its examples)."""
-    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "example")
+    """Per conversation, from examples alone: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars (of all its examples).
+
+    Every example must begin with the whole text of the one before it."""
+    rows = formatted.mapInArrow(_new_parts, _NEW).repartition("conv_id").sortWithinPartitions("conv_id", "example")
     return rows.mapInArrow(_read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def full_texts(formatted: DataFrame) -> DataFrame:
-    """The examples with every context joined in: context is -1 everywhere.  For conversations that were
-    not inline this grows with the square of their length; use it on what a trainer can take."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = object(), ""
-        for batch in batches:
-            for conv, example, context, text, start, stop in zip(*(batch.column(c).to_pylist() for c in _EXAMPLE.names), strict=True):
-                if conv != now:
-                    now, before = conv, ""
-                shift = 0 if context == -1 else len(before)
-                before = text if context == -1 else before + text
-                yield record(_EXAMPLE, [[conv], [example], [-1], [before], [start + shift], [stop + shift]])
-
-    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "example").mapInArrow(run, EXAMPLE)
+    """The examples with all of their context, which they hold already."""
+    return formatted
 
 
-def round_trip(conversations: DataFrame, inline_chars: int = 1 << 16) -> DataFrame:
-    return read_back(materialize(examples(conversations, inline_chars), "examples"))
+def round_trip(conversations: DataFrame, batch_chars: int = 1 << 24) -> DataFrame:
+    return read_back(materialize(examples(conversations, batch_chars), "examples", _STORED))

@@ -21,10 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder; lost executors cannot lose it."""
     path = f"{shared_dir(df.sparkSession)}/quirelens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

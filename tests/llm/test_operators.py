@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quirelens.llm import chat, decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
 from quirelens.llm.queries import tokenizer_path
@@ -264,6 +265,27 @@ def test_chat(spark):
     assert chat.round_trip(df.limit(0)).count() == 0
 
 
+def test_chat_examples_hold_whole_prefixes(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} " + "word:# " * 900) for i in range(24)]
+    rows += [(2, 0, "user", "x" * 70_000), (2, 1, "assistant", "a"), (2, 2, "user", "y"), (2, 3, "assistant", "b"), (2, 4, "user", "tail")]
+    rows += [(3, i, "user", "no reply " * 20) for i in range(9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    want = {}
+    for conv in (1, 2, 3):
+        own = [(r[2], r[3]) for r in rows if r[0] == conv]
+        upto = ["".join(f"### {a}: {b}</turn>\n" for a, b in own[: k + 1]) for k in range(len(own))]
+        want[conv] = [upto[k] for k, (role, _) in enumerate(own) if role == "assistant" or k == len(own) - 1]
+    for made, back in ((chat.examples(df), chat.round_trip(df)), (chat.examples(df, 1), chat.round_trip(df, 1))):
+        got = defaultdict(list)
+        for r in made.orderBy("conv_id", "example").collect():
+            got[r["conv_id"]].append(r["text"])
+        assert got == want
+        assert {r["conv_id"]: r["formatted_chars"] for r in back.collect()} == {k: sum(map(len, v)) for k, v in want.items()}
+    other = chat.examples(df).withColumn("text", F.when(F.expr("conv_id = 1 and example = 3"), F.overlay("text", F.lit("?"), F.lit(9))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="does not continue"):
+        chat.read_back(other).collect()
+
+
 def test_classifiers(spark, docs, none):
     sf = "/root/testdata/sf0.01"
     all_docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
