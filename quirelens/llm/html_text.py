@@ -2,10 +2,13 @@
 
 Every text node has a root-to-leaf tag path.  Text length and punctuation are summed per path and
 divided by the path's nodes; both ratios are smoothed along the page, fused, and compared with a
-threshold from their spread: paths above it are content.  The content's container is the article
-(or main, or smallest element) that holds most of it, and the result is all of that container but
-what is marked as something else: menus, page headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments, by element, role or class words.
+threshold from their spread: paths above it are content.  The container is the smallest element
+with all content, all main and article elements and the titles; a page's only article, where nothing
+beside it is content, is its own container.  The result is all of the articles and mains, and of the
+rest of the container the content and headings, but without what is marked as something else: menus,
+page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, by
+element, role or class words.  Of pages without article and main it is all of the container, in the
+same way, less blocks of links.
 
 Null and empty pages: the empty text.  Pages without markup: their text.  Broken markup (tags left
 open, closed twice, cut off) is read to its end.  Repeated rows: each is returned.
@@ -48,13 +51,16 @@ OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "
 OUT_WORDS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation navigations breadcrumb breadcrumbs sidebar sidebars aside rail footer foot footers comment comments commentlist reply replies disqus discussion share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright disclaimer paywall skip".split()
 )
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# No containers: their siblings belong with them.
+PIECES = HEADINGS | {"p", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "figcaption"}
 HEADERS = {"header", "masthead", "topbar"}
 REPLIES = {"comment", "comments", "reply", "replies"}
 MAIN_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "path", "number", "key", "depth", "linked")
+    __slots__ = ("tag", "parent", "out", "path", "number", "key", "depth", "linked", "heading", "top")
 
     def __init__(self, tag: str, parent: Node | None, out: bool, number: int, names: tuple[str, ...] = ()) -> None:
         self.tag, self.parent, self.out, self.number = tag, parent, out, number
@@ -62,6 +68,9 @@ class Node:
         self.path = (parent.path + "/" if parent else "") + self.key
         self.depth = parent.depth + 1 if parent else 0
         self.linked = tag == "a" or bool(parent and parent.linked)
+        self.heading = tag if tag in HEADINGS else parent.heading if parent else ""
+        # the outermost article or main around it
+        self.top: Node | None = (parent.top if parent else None) or (self if tag in ("article", "main") and not out else None)
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -152,8 +161,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     return nodes, texts
 
 
-def path_scores(texts: list[tuple[Node, str, int]], radius: int = 2) -> list[float]:
-    """Fused, smoothed path ratio of each text node."""
+def path_ratios(texts: list[tuple[Node, str, int]]) -> list[tuple[float, float]]:
+    """Text and punctuation ratio of the path of each text node."""
     length: dict[str, float] = {}
     marks: dict[str, float] = {}
     count: dict[str, int] = {}
@@ -164,7 +173,11 @@ def path_scores(texts: list[tuple[Node, str, int]], radius: int = 2) -> list[flo
             length[p] = length.get(p, 0) + n * (0.2 if node.linked else 1)
             marks[p] = marks.get(p, 0) + len(_PUNCTUATION.findall(text))
             count[p] = count.get(p, 0) + 1
-    raw = [(length[n.path] / count[n.path], marks[n.path] / count[n.path]) if not n.out and n.path in count else (0.0, 0.0) for n, _, _ in texts]
+    return [(length[n.path] / count[n.path], marks[n.path] / count[n.path]) if not n.out and n.path in count else (0.0, 0.0) for n, _, _ in texts]
+
+
+def path_scores(texts: list[tuple[Node, str, int]], raw: list[tuple[float, float]], radius: int = 2) -> list[float]:
+    """Fused, smoothed path ratio of each text node."""
     weights = [2.0 ** -abs(k) for k in range(-radius, radius + 1)]
     out = []
     for i in range(len(raw)):
@@ -176,54 +189,66 @@ def path_scores(texts: list[tuple[Node, str, int]], radius: int = 2) -> list[flo
     return out
 
 
+def _common(found: list[Node]) -> Node:
+    """The lowest element that all of `found` are or are in."""
+    box = found[0]
+    for x in found[1:]:
+        while x is not box:
+            if x.depth >= box.depth:
+                x = x.parent
+            else:
+                box = box.parent
+    return box
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     nodes, texts = parse(page)
-    scores = path_scores(texts)
+    raw = path_ratios(texts)
+    scores = path_scores(texts, raw)
     live = [s for s in scores if s > 0]
     if not live:
         return ""
     mean = sum(live) / len(live)
     spread = (sum((s - mean) ** 2 for s in live) / len(live)) ** 0.5
     least = max(0.0, min(spread, 0.8 * mean))
-    weight = [s if s >= least else 0.0 for s in scores]
-
-    # what each element holds of the content
-    held = [0.0] * len(nodes)
-    for (node, text, _), w in zip(texts, weight, strict=True):
-        if w:
-            n = len(text.strip()) * (0.2 if node.linked else 1)
-            x: Node | None = node
-            while x is not None:
-                held[x.number] += n
-                x = x.parent
-    total = held[0]
-    marked = [x for x in nodes if not x.out and x.tag in ("article", "main")]
-    inner = [x for x in marked if x.tag == "article"]
-    box = max(inner, key=lambda x: held[x.number], default=None)
-    whole = max((x for x in marked if x.tag == "main"), key=lambda x: held[x.number], default=None)
-    if box is None or whole is not None and held[box.number] < 0.4 * held[whole.number]:
-        box = whole or box
-    if box is None or not held[box.number]:
-        # the smallest element with nearly all of the content
-        box = max((x for x in nodes if held[x.number] >= 0.85 * total and x.tag not in ("p", "b", "i", "em", "strong", "span", "a", "h1", "h2", "h3")), key=lambda x: (x.depth, x.number))
-        strict = True
-    else:
-        strict = False
+    shown = [bool(text.strip()) and not node.out for node, text, _ in texts]
+    marked = any(node.top is not None for (node, _, _), x in zip(texts, shown, strict=True) if x)
+    links: dict[int, list[int]] = {}
+    for node, text, block in texts:
+        if node.top is None:
+            n = links.setdefault(block, [0, 0])
+            n[node.linked] += len(text.strip())
+    menu = {block for block, n in links.items() if n[1] > 2 * n[0]}  # without an article around them, blocks of links alone are menus
+
+    anchors: list[Node] = []
+    content: set[int] = set()  # blocks
+    follows = False  # content comes next
+    for (node, _, block), (n, p), score, x in reversed(list(zip(texts, raw, scores, shown, strict=True))):
+        if not x or node.top is None and block in menu:
+            continue
+        # beside an article the path's own ratios count too, not its neighbours' alone
+        own = node.top is not None or score >= least and (not marked or n * (1 + p) >= least)
+        if own or node.heading == "h1" or node.heading and follows:
+            anchors.append(node.top or node)
+            content.add(block)
+        follows = own or bool(node.heading) and follows
+    if not anchors:
+        return ""
+    box = _common(anchors)
+    while box.parent is not None and box.top is None and (box.tag in PIECES or box.tag not in BLOCKS):
+        box = box.parent
 
     inside = [False] * len(nodes)
     for x in nodes:
         inside[x.number] = x is box or x.parent is not None and inside[x.parent.number]
     parts: list[str] = []
     last = None
-    links: dict[int, list[int]] = {}
-    if strict:  # without a marked article, blocks of links alone are menus
-        for node, text, block in texts:
-            n = links.setdefault(block, [0, 0])
-            n[node.linked] += len(text.strip())
     for node, text, block in texts:
-        if node.out or not inside[node.number] or strict and links[block][1] > 2 * links[block][0]:
+        if node.out or not inside[node.number]:
+            continue
+        if node.top is None and (block in menu or marked and block not in content and not node.heading):
             continue
         if block != last:
             parts.append(text)

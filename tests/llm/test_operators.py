@@ -208,6 +208,25 @@ def test_html_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A long paragraph of the article, with many words, and marks; it says a lot."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class=content><h1>T</h1><p>An intro, short.</p><div class=body>{f'<p>{LONG}</p>' * 9}</div></div>", f"T An intro, short. {' '.join([LONG] * 9)}"),
+        (f"<div id=top>Site</div><div class=x><h2>Part</h2><div class=b>{f'<p>{LONG}</p>' * 4}</div></div><div class=footer>f</div><ul><li><a href=x>more</a></ul>", f"Part {' '.join([LONG] * 4)}"),
+        (f"<main><h1>T</h1><p>Lead.</p><article><p>{LONG}</p></article></main><footer>f</footer>", f"T Lead. {LONG}"),
+        (f"<main><article><p>One: {LONG}</p></article><article><p>Two: {LONG}</p></article><article class=comment><p>{LONG}</p></article></main>", f"One: {LONG} Two: {LONG}"),
+        (f"<body><nav>n</nav><div><h1>T</h1><article><p>One: {LONG}</p></article><article><p>Two.</p></article></div></body>", f"T One: {LONG} Two."),
+        (f"<body><article><p>Teaser.</p></article><div class=text>{f'<p>{LONG}</p>' * 5}</div></body>", f"Teaser. {' '.join([LONG] * 5)}"),
+        (f"<body><div>Site</div><article><p>{LONG}</p><p>{LONG}</p></article><div>Made here</div></body>", f"{LONG} {LONG}"),
+    ],
+)
+def test_html_text_keeps_all_containers(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_packing(spark, docs, none):
     random.seed(2)
     for _ in range(100):
