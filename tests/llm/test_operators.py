@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quirelens.llm import chat, decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
+from quirelens.llm import chat, decontaminate, html_text, labelled, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
 from quirelens.llm.queries import tokenizer_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, key0 string, node string"
@@ -321,3 +321,14 @@ def test_classifiers(spark, docs, none):
     scores = quality_model.score(docs, forest).collect()
     assert len(scores) == docs.count() and all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in scores)
     assert quality_model.score(none, forest).count() == 0
+
+
+def test_samples_draw_long_texts(spark):
+    docs = spark.createDataFrame([(i, "ab " * (10_000 if i % 3 == 0 else 5)) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    rows = labelled.sample(docs, labels, "toxic")
+    assert sorted((r[1], len(r[2])) for r in rows) == [(i, 30_000 if i % 3 == 0 else 15) for i in range(30)]
+    rows = labelled.sample(docs, labels, "toxic", chars=20_300)
+    assert sorted((r[1], len(r[2])) for r in rows) == [(i, 2000 if i % 3 == 0 else 15) for i in range(30)]
+    assert labelled.MAX_ROWS == 6000 and labelled.longest([], 5) == 1 and labelled.longest([3, 9], 5) == 2
+    assert labelled.sample(docs.limit(0), labels, "toxic") == []
