@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset and Spark is local (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="quirelens-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -25,7 +27,27 @@ def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None)
     """Cut the lineage with a Parquet table in the shared folder; lost executors cannot lose it."""
     path = f"{shared_dir(df.sparkSession)}/quirelens-{name}-{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of `materialize` that nothing reads any more."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t._written)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """n column names that df does not have, whatever the case of its own."""
+    have, out, k = {c.lower() for c in df.columns}, [], 0
+    while len(out) < n:
+        if f"_q{k}" not in have:
+            out.append(f"_q{k}")
+        k += 1
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,13 +98,14 @@ def hot_lookup(big: DataFrame, small: DataFrame, keys: list[str], count: str, ho
     total = small.agg(F.sum(count)).first()[0] or 0
     least = max(1000.0, total * hot_share)
     payload = [c for c in small.columns if c not in keys]
-    hot = small.filter(F.col(count) > least).select(*keys, F.struct(*payload).alias("_hot"))
-    cold = small.filter(F.col(count) <= least).select(*keys, F.struct(*payload).alias("_cold"))
+    h, c = free_names(big, 2)
+    hot = small.filter(F.col(count) > least).select(*keys, F.struct(*payload).alias(h))
+    cold = small.filter(F.col(count) <= least).select(*keys, F.struct(*payload).alias(c))
     marked = big.join(F.broadcast(hot), keys, "left")
-    done = marked.filter(F.col("_hot").isNotNull()).withColumn("_cold", F.lit(None).cast(cold.schema["_cold"].dataType))
-    rest = marked.filter(F.col("_hot").isNull()).join(cold, keys, "left")
+    done = marked.filter(F.col(h).isNotNull()).withColumn(c, F.lit(None).cast(cold.schema[c].dataType))
+    rest = marked.filter(F.col(h).isNull()).join(cold, keys, "left")
     both = done.unionByName(rest)
-    return both.select(*[c for c in big.columns], *[F.coalesce(f"_hot.{c}", f"_cold.{c}").alias(c) for c in payload])
+    return both.select(*big.columns, *[F.coalesce(f"{h}.{x}", f"{c}.{x}").alias(x) for x in payload])
 
 
 _NO_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})

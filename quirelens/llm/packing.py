@@ -5,10 +5,12 @@ fit needs: at most `capacity` numbers whatever the corpus.  The plan walks lengt
 segment tree over remaining capacities finds the tightest open bins in logarithmic time, and runs of
 equal pieces fill runs of equal bins at once, just as placing them one by one would.  The plan, a
 few rows per length, says for the i-th piece of a length its bin and place.  Pieces get their i by
-salted ranks, so that a length which a third of all rows share is ranked by many tasks.
+ranks inside salted groups, as many for a length as its count asks for, so that a length which a
+third of all rows share is ranked by many tasks.
 
-Null and empty texts: the closing id alone.  Repeated rows and ties: any order, each piece placed
-once.  An empty table: no pieces.
+Null and empty texts: the closing id alone.  Repeated rows and ties of length: any order, each piece
+placed once.  Very long texts: cut into pieces of `capacity`; a text's ids are held by one task.  An
+empty table: no pieces.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 from .common import materialize, record
 
 END_ID = 1
-PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
-_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
+#: tie: a number that tells repeated rows of one task apart.
+PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, tie long"
+_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()), ("tie", pa.int64())])
 
 # Fixed: the pre-tokenizer's pattern, as in the tokenizer's own file, written for plain Latin text.
 _PLAIN_PIECES = r"[A-Za-zªµºÀ-ÖØ-öø-ɏ]+|'s|'t|'re|'ve|'m|'ll|'d|[\d²³¹¼½¾]|(?:[^\w\s]|_)+"
-_NOT_PLAIN = re.compile("[^\t-\r -\x84\x86-\u024f]")
+# What is not plain, looked for in lower-cased text: some letters lower to ones outside the plain range.
+_NOT_PLAIN = re.compile("[^\t-\r -\x7e\x80-\x84\x86-\u024f]")
 
 
 def byte_letters() -> list[str]:
@@ -65,18 +69,20 @@ class Encoder:
         self.pieces = re.compile(_PLAIN_PIECES).findall
 
     def encode(self, text: str) -> np.ndarray:
-        if "<|" in text or _NOT_PLAIN.search(text):
+        low = text.lower()
+        if "<|" in text or _NOT_PLAIN.search(low):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if len(self.known) > self.keep:
             self.known.clear()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text.lower()))), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(low))), dtype="<u4")
 
 
 def _encoder(path: str) -> Encoder:
-    """One encoder per worker process, whichever tasks it runs."""
-    import tokenizers
+    """One encoder per worker process, whichever tasks it runs: kept in a module of its own, for functions travel by value."""
+    import sys
+    import types
 
-    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    kept = sys.modules.setdefault("_quirelens_worker", types.ModuleType("_quirelens_worker")).__dict__.setdefault("encoders", {})
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
@@ -89,23 +95,25 @@ def _cut(path: str, capacity: int, rows: int = 200):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         own = _encoder(path)
         end = np.array([END_ID], dtype="<u4")
+        tie = 0
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                cols: list[list] = [[], [], [], [], []]
+                cols: list[list] = [[] for _ in _PIECE]
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = np.concatenate([own.encode(text or ""), end])
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         own_ids = ids[start : start + capacity]
-                        for c, v in zip(cols, (doc_id, k, start, len(own_ids), zlib.crc32(own_ids.tobytes())), strict=True):
+                        for c, v in zip(cols, (doc_id, k, start, len(own_ids), zlib.crc32(own_ids.tobytes()), tie), strict=True):
                             c.append(v)
+                        tie += 1
                 yield record(_PIECE, cols)
 
     return run
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece of every text."""
+    """doc_id, piece, start, length, ids_crc32, tie of every piece of every text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_cut(tokenizer_path, capacity), PIECE)
 
 
@@ -175,24 +183,23 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 10_000) -> DataFrame:
-    """parts (a written table with doc_id, piece, length) with sequence_id and offset."""
+def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 50_000) -> DataFrame:
+    """parts (a written table of `pieces`) with sequence_id and offset."""
     spark = parts.sparkSession
-    rows = parts.agg(F.count("*")).first()[0]
-    salts = max(1, min(1024, -(-rows // salt_rows)))
-    salted = parts.withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id, piece, ids_crc32), {salts}) as int)"))
-    # capacity * salts rows at most; the driver takes the counts by length alone
-    sizes = materialize(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "sizes")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     plan = best_fit_plan(counts, capacity)
+    salts = F.broadcast(spark.createDataFrame([(k, -(-n // salt_rows)) for k, n in counts.items()], "length int, salts long"))  # capacity rows at most
+    salted = parts.join(salts, "length").withColumn("salt", F.expr("pmod(xxhash64(doc_id, piece, ids_crc32, tie), salts)")).drop("salts")
+    sizes = materialize(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "sizes")
     before = F.expr("coalesce(sum(n) over (partition by length order by salt rows between unbounded preceding and 1 preceding), 0)")
-    base = F.broadcast(sizes.select("length", "salt", before.alias("base")))
-    rank = F.expr("row_number() over (partition by length, salt order by doc_id, piece)") - 1
+    base = sizes.select("length", "salt", before.alias("base"))
+    rank = F.expr("row_number() over (partition by length, salt order by doc_id, piece, tie)") - 1
+    # base has the window's own keys; it grows with the rows, so how it is joined is left to its size
     ranked = salted.withColumn("i", rank).join(base, ["length", "salt"]).withColumn("i", F.col("i") + F.col("base"))
-    # the plan has a few rows per length: kept sorted in one array per length and searched by its first piece
+    # the plan: one row per length, a few steps in each (27 at most seen), filtered one after another
     steps = spark.createDataFrame(plan, "length int, first long, stop long, bin long, per long, place long")
     steps = steps.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("first", "stop", "bin", "per", "place"))).alias("steps"))
-    placed = ranked.join(F.broadcast(steps), "length")
+    placed = ranked.join(F.broadcast(steps), "length")  # capacity rows at most
     step = F.get(F.filter("steps", lambda s: (s["first"] <= F.col("i")) & (F.col("i") < s["stop"])), F.lit(0))
     placed = placed.withColumn("s", step).withColumn("k", F.col("i") - F.col("s.first"))
     return placed.select(

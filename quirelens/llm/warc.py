@@ -7,9 +7,10 @@ rows by file and offset, merges neighbours with small gaps into ranges of bounde
 each range with one request through pyarrow's file systems (file, hdfs, s3, gs by URI).
 
 Of records with equal payloads, the one with the largest id holds the payload (response), the others
-revisit it.  Null html: an empty payload.  Null urls: written as an empty target URI and read back
-as null.  Null ids take part as the smallest.  Rows that repeat the largest id are all responses.
-An empty table: no files, no rows.
+revisit it.  Null html: an empty payload.  Null urls: no target URI.  Urls that a header cannot hold
+as they are (line ends, blanks at their ends) come back whole from a header of our own.  Null ids
+take part as the smallest.  Rows that repeat the largest id (ties) are all responses.  Very long
+pages: a record of its own range.  An empty table: no files, no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +33,8 @@ from .common import blobs, hot_lookup, materialize, record, shared_dir
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_FORM = "<urn:quirelens:record:{}>"
+#: Header of our own for urls that a target URI cannot hold: base64 of their UTF-8.
+WHOLE_URL = "X-Whole-URL"
 
 INDEX = "file string, offset long, length long, record_id long, url string, digest string, record_type string"
 _INDEX = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("record_id", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("record_type", pa.string())])
@@ -45,12 +49,13 @@ def encode_record(record_id: int | None, url: str | None, payload: bytes, refers
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http if refers_to is not None else http + payload
     name = "null" if record_id is None else record_id
-    uri = "".join(c for c in url or "" if c not in "\r\n")
+    uri = re.sub(r"[\r\n]", "", url or "").strip()
     head = [
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: {ID_FORM.format(name)}",
         f"WARC-Date: {date}",
-        f"WARC-Target-URI: {uri}",
+        *([f"WARC-Target-URI: {uri}"] if url is not None else []),
+        *([f"{WHOLE_URL}: {base64.b64encode(url.encode('utf-8', 'surrogatepass')).decode()}"] if url is not None and uri != url else []),
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(body)}",
@@ -75,6 +80,11 @@ def decode_record(raw: bytes) -> dict:
     return {"fields": fields, "payload": payload if fields["warc-type"] == "response" else None, "payload_bytes": size}
 
 
+def url_of(fields: dict[str, str]) -> str | None:
+    whole = fields.get(WHOLE_URL.lower())
+    return fields.get("warc-target-uri") if whole is None else base64.b64decode(whole).decode("utf-8", "surrogatepass")
+
+
 def _id(urn: str | None) -> int | None:
     name = (urn or "").rpartition(":")[2].rstrip(">")
     return int(name) if name and name != "null" else None
@@ -163,15 +173,22 @@ def _reader(folder: str, with_payload: bool):
                     raw = block[r["offset"] - start : r["offset"] - start + r["length"]]
                     x = decode_record(zlib.decompress(raw, 31))
                     f = x["fields"]
-                    rows.append((_id(f["warc-record-id"]), f["warc-target-uri"] or None, f["warc-payload-digest"].removeprefix("sha1:"), f["warc-type"], _id(f.get("warc-refers-to")), x["payload_bytes"], x["payload"] if with_payload else None))
+                    rows.append((_id(f["warc-record-id"]), url_of(f), f["warc-payload-digest"].removeprefix("sha1:"), f["warc-type"], _id(f.get("warc-refers-to")), x["payload_bytes"], x["payload"] if with_payload else None))
                 yield record(_RECORD, [list(c) for c in zip(*rows, strict=True)])
 
     return run
 
 
+def reading_tasks(size: int, cores: int, range_bytes: int = 8 << 20, task_bytes: int = 128 << 20) -> int:
+    """Tasks for `size` bytes of compressed records: enough for all cores, of `task_bytes` at most.  A count given to
+    repartition is not merged at run time, as tiny range rows would be, which say nothing of the bytes behind them."""
+    return max(1, -(-size // task_bytes), min(-(-size // range_bytes), 2 * cores))
+
+
 def read_records(spark: SparkSession, folder: str, index: DataFrame, with_payload: bool = True, **how) -> DataFrame:
-    """The records of the (selected) index rows, read by merged byte ranges."""
-    return ranges(index, **how).repartition("file", "start").mapInArrow(_reader(folder, with_payload), RECORD)
+    """The records of the (selected) index rows, read by merged byte ranges; as many tasks as their bytes ask for."""
+    size = index.agg(F.sum("length")).first()[0] or 0
+    return ranges(index, **how).repartition(reading_tasks(size, spark.sparkContext.defaultParallelism), "file", "start").mapInArrow(_reader(folder, with_payload), RECORD)
 
 
 def round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirelens.llm import chat, decontaminate, html_text, labelled, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
+from quirelens.llm.common import materialize
 from quirelens.llm.queries import tokenizer_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, key0 string, node string"
@@ -176,21 +178,33 @@ def test_quality_rules(docs, none):
 
 
 def test_warc_round_trip(spark, tmp_path):
-    rows = [(1, "u", "<p>a</p>"), (2, None, "<p>a</p>"), (3, "v\nw", None), (4, "é", ""), (5, "x", "ü" * 5000), (6, "u", "<p>a</p>"), (None, "n", "<p>a</p>"), (6, "u", "<p>a</p>")]
+    rows = [(1, "u", "<p>a</p>"), (2, None, "<p>a</p>"), (3, " v\r\nw\t", None), (4, "é", ""), (5, "x", "ü" * 5000), (6, "u", "<p>a</p>"), (None, "n", "<p>a</p>"), (6, "u", "<p>a</p>"), (7, "", "long " * 200_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    pages = pages.withColumn("record_id", F.lit("clash")).withColumn("sha", F.lit("clash")).withColumn("_q0", F.lit(1))
     got = warc.round_trip(pages).collect()
     by = {(r["page_id"], r["url"]): r for r in got}
     assert len(got) == len(rows)
-    assert by[6, "u"]["record_type"] == "response" and by[1, "u"]["refers_to"] == 6 and by[None, "n"]["refers_to"] == 6 and by[3, "vw"]["refers_to"] == 4
+    assert by[6, "u"]["record_type"] == "response" and by[1, "u"]["refers_to"] == 6 and by[None, "n"]["refers_to"] == 6 and by[3, " v\r\nw\t"]["refers_to"] == 4
     assert by[5, "x"]["payload_bytes"] == 10000 and by[5, "x"]["payload_digest"] == warc.digest_of(("ü" * 5000).encode())
     index = warc.write_archives(pages, str(tmp_path / "w"), min_payload=9, max_bytes=400)
     assert index.filter("record_type = 'revisit'").count() == 0 and index.select("file").distinct().count() > 2
     some = index.filter("record_id in (1, 5)")
     back = {r["record_id"]: r["payload"] for r in warc.read_records(spark, str(tmp_path / "w"), some, max_range=100, max_gap=0).collect()}
     assert bytes(back[5]) == ("ü" * 5000).encode() and bytes(back[1]) == b"<p>a</p>"
+    assert by[7, ""]["payload_bytes"] == 1_000_000
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_reading_tasks(spark, tmp_path):
+    assert [warc.reading_tasks(n, 6) for n in (0, 1, 30 << 20, 1 << 40)] == [1, 1, 4, 8192]
+    rows = [(i, f"u{i}", hashlib.sha256(str(i).encode()).hexdigest() * 4000) for i in range(100)]
+    index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), str(tmp_path / "w"))
+    size = index.agg(F.sum("length")).first()[0]
+    back = warc.read_records(spark, str(tmp_path / "w"), index)
+    assert back.rdd.getNumPartitions() == warc.reading_tasks(size, spark.sparkContext.defaultParallelism)
+    assert {r["record_id"]: bytes(r["payload"]).decode() for r in back.collect()} == {i: t for i, _, t in rows}
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
@@ -253,7 +267,21 @@ def test_packing(spark, docs, none):
     own, whole = packing.Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
     for t in [*(r["text"] or "" for r in docs.collect()), "<|endoftext|> a", "İstanbul ΣΑΣ", "a\x1cb\x85c\xa0d", "it's I'LL 12²ª", "ǅ ſ ß ẞ"]:
         assert list(own.encode(t)) == whole.encode(t, add_special_tokens=False).ids
+    for cp in range(0x3000):
+        c = chr(cp)
+        t = f"ab{c}cd {c} {c}{c}x The{c} 12{c}'s"
+        assert list(own.encode(t)) == whole.encode(t, add_special_tokens=False).ids, hex(cp)
     rows = packing.pack_documents(docs, tokenizer_path(), 64).collect()
+    want = Counter()
+    for r in docs.collect():
+        ids = [*whole.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k, a in enumerate(range(0, len(ids), 64)):
+            part = np.array(ids[a : a + 64], dtype="<u4")
+            want[(r["doc_id"], k, a, len(part), zlib.crc32(part.tobytes()))] += 1
+    assert Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows) == want
+    placed = packing.pack(materialize(packing.pieces(docs, tokenizer_path(), 64), "pieces"), 64, salt_rows=2).collect()
+    assert Counter((r["sequence_id"], r["offset"]) for r in placed).most_common(1)[0][1] == 1
+    assert len({r["sequence_id"] for r in placed}) == len({r["sequence_id"] for r in rows})
     by = defaultdict(list)
     for r in rows:
         by[r["sequence_id"]].append(r)
