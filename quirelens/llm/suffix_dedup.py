@@ -1,23 +1,33 @@
 """Exact removal of repeated passages (byte strings of 200 and more) by bucket-pointer refinement.
 
-A corpus of suffixes is never sorted as a whole.  Buckets start as q-grams and are refined, by what
-stands at later offsets, only where a bucket still holds more than one text:
+A corpus of suffixes is never sorted as a whole.  Buckets start as q-grams and are refined, by the
+bucket identifiers of later offsets, only where a bucket still holds more than one text:
 
-1. Every window of `length` bytes has one anchor: its least q-gram (q = length/4, leftmost on ties by
+1. Every window of `length` bytes has one anchor: its least q-gram (q = length/4 rounded up, leftmost on ties by
    hash).  Equal windows have equal anchors at equal offsets, so q-gram buckets of anchors hold all
-   that can repeat.  About one byte in 75 is an anchor.
-2. Buckets of one anchor go.  Buckets are split by their whole context (all windows of the anchor):
-   a context that stands twice repeats as a whole.
-3. Contexts that are still alone are split by the 3/8 length on the left and on the right of the
-   anchor; every window holds one of the two.  Buckets of one go again.
-4. What is left is sorted by bucket-pointer refinement (`refine`): positions start in 8-gram buckets
-   and each bucket is re-sorted on the bucket pointers of later offsets, pointers that the same pass
-   has already renewed included, so depth at least doubles per pass.  Neighbours in the resulting
-   order are compared byte by byte.  Sets too large for one task are refined to `length` by 128-bit
-   names of their windows in a shuffle instead.
-
-Null and empty texts have no bytes and lose none; texts under `length` bytes lose none.  Repeated
-rows repeat each other.  Overlapping repeats count.  Strings are judged on the input.
+   that can repeat.  About one byte in 75 is an anchor.  Buckets of one anchor go.
+2. First pass, over all partitions: buckets are sorted on the identifiers of the q-gram buckets at
+   the offsets that make up the anchor's context (all windows of the anchor).  Identifiers are those
+   of the one scan: the depth doubles by joining two of them, and twice the depth reuses what the
+   step before has made.  Contexts that stay together are equal as a whole and go on as one.
+3. Second pass: buckets are sorted on the identifiers of the 3/8 length before, and after, the
+   anchor; every window holds one of the two.  Buckets of one go again, and those of copies alone.
+4. Buckets too large for one task are refined further by the same means, again over all partitions:
+   the range of places that a window's anchor can have is halved, what all windows of a half share
+   is longer, and its identifier splits the bucket, down to single windows, which bytes decide.
+5. Other buckets are sorted inside a task (`refine`): positions start in 8-gram buckets and each
+   bucket is re-sorted on the bucket pointers of later offsets, pointers that the same pass has
+   already renewed included, so depth at least doubles per pass.  Neighbours in the resulting order
+   are compared byte by byte.
+
+Contexts count as equal by identifiers of 190 bits at least; everything else is decided on bytes.
+Buckets that very many anchors share are joined as plain exchanges, which Spark splits at run time.
+
+Null and empty texts have no bytes and lose none; texts under `length` bytes lose none.  Very long
+texts: about ten times their bytes in the one task that scans them.  Repeated rows repeat each
+other; ties have no order to decide.  Overlapping repeats count.  Strings are judged on the input.
+An empty table: no rows.  Extra columns: ignored by `span_digest`, kept by `remove_repeats`,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,11 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, longs, materialize, record, row_key
+from .common import blobs, forget, free_names, longs, materialize, record, row_key
 from .hashing import mix, prefix_sums, range_hash
 
 CHUNK_BYTES = 1 << 21
-HOT_CONTEXTS = 20_000
+#: Buckets of more contexts are refined over all partitions before a task takes them.
+TASK_CONTEXTS = 10_000
+#: No name: names have 31 bits and are never negative.
+NO_NAME = -1
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -47,31 +61,54 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(now[: len(values) - width + 1], now[width - size :]) if size < width else now
 
 
+def quarter(length: int) -> int:
+    return -(-length // 4)
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Identifier of a bucket refined by the identifier at a later offset."""
+    with np.errstate(over="ignore"):
+        return mix(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def names(grams: np.ndarray, at: np.ndarray, depth: int, q: int) -> np.ndarray:
+    """Identifiers of `depth` bytes (2q to 4q) at `at`, from those of q-grams: joined at q, and joined again."""
+    later = at + depth - 2 * q
+    return joined(joined(grams[at], grams[at + q]), joined(grams[later], grams[later + q]))
+
+
+def name31(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(33)).astype(np.int32)
+
+
+def gram_names(data: np.ndarray, q: int) -> np.ndarray:
+    at = np.arange(len(data) - q + 1)
+    return range_hash(prefix_sums(data), at, at + q)
+
+
 def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, ...] | None:
-    """Anchor position, bytes before it and windows after the first of its run, q-gram name, context name, left and right names (0: none)."""
+    """Anchor position, bytes before it and windows after the first of its run, names of its q-gram, of its context, of its left and right side."""
     n = len(data)
     if n < length:
         return None
-    q, side = length // 4, length * 3 // 8
-    sums = prefix_sums(data)
-    at = np.arange(n - q + 1)
-    grams = range_hash(sums, at, at + q)
-    best = sliding_min((grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64), length - q + 1)
+    q, side = quarter(length), length * 3 // 8
+    grams = gram_names(data, q)
+    best = sliding_min((grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), length - q + 1)
     chosen = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
     lo = np.concatenate([[0], np.flatnonzero(np.diff(chosen)) + 1])
     hi = np.concatenate([lo[1:], [len(chosen)]]) - 1
     m = chosen[lo]
     left, span = m - lo, hi - lo
     shape = mix((left.astype(np.uint64) << np.uint64(32)) | span.astype(np.uint64))
-    context = mix(range_hash(prefix_sums(data, 1), lo, hi + length) ^ shape)
-    has_left, has_right = left >= side, m - hi < side
-    name_left = np.where(has_left, range_hash(sums, np.maximum(m - side, 0), m + q), 0).astype(np.uint64)
-    name_right = np.where(has_right, range_hash(sums, m, np.minimum(m + q + side, n)), 0).astype(np.uint64)
-    return m, left, span, grams[m], context, (name_left >> np.uint64(33)).astype(np.int32), (name_right >> np.uint64(33)).astype(np.int32)
+    context = joined(joined(names(grams, lo, length, q), names(grams, hi, length, q)), shape)
+    sides = []
+    for has, at in ((left >= side, np.maximum(m - side, 0)), (m - hi < side, np.minimum(m, n - q - side))):
+        sides.append(np.where(has, name31(names(grams, at, q + side, q)), NO_NAME).astype(np.int32))
+    return m, left, span, grams[m], context, *sides
 
 
-def _scan(length: int, names_only: bool):
-    fields = [("h", pa.int64())] if names_only else [("key0", pa.int64()), ("key1", pa.int64()), ("m", pa.int32()), ("before", pa.int16()), ("span", pa.int16()), ("h", pa.int64()), ("ctx", pa.int64()), ("hl", pa.int32()), ("hr", pa.int32())]
+def _scan(length: int):
+    fields = [("key0", pa.int64()), ("key1", pa.int64()), ("m", pa.int32()), ("before", pa.int16()), ("span", pa.int16()), ("h", pa.int64()), ("ctx", pa.int64()), ("hl", pa.int32()), ("hr", pa.int32())]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,9 +120,6 @@ def _scan(length: int, names_only: bool):
                 if found is None:
                     continue
                 m, left, span, gram, context, hl, hr = found
-                if names_only:
-                    cols[0].append(longs(gram))
-                    continue
                 k = len(m)
                 for c, v in zip(cols, (np.full(k, keys[0][i]), np.full(k, keys[1][i]), m.astype(np.int32), left.astype(np.int16), span.astype(np.int16), longs(gram), longs(context), hl, hr), strict=True):
                     c.append(v)
@@ -170,10 +204,15 @@ _SPAN = pa.schema([("key0", pa.int64()), ("key1", pa.int64()), ("start", pa.int3
 _SPAN_KIND = "key0 long, key1 long, start int, stop int"
 
 
+# A context: the windows of one anchor whose anchor stands `a` to `b` bytes after their start, n equal
+# ones in all.  top: bytes of the context before the anchor.
+_CONTEXT = pa.schema([("h", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("sub", pa.int64()), ("n", pa.int64()), ("key0", pa.int64()), ("key1", pa.int64()), ("lo", pa.int32()), ("top", pa.int32()), ("context", pa.binary())])
+_CONTEXT_KIND = "h long, a int, b int, sub long, n long, key0 long, key1 long, lo int, top int, context binary"
+BUCKET = ["h", "a", "b", "sub"]
+
+
 def _contexts(length: int):
-    """(packed, key0, key1, wanted: [(m, before, span, h, side, sub, n)]) to one row per wanted context, with its bytes."""
-    schema = pa.schema([("h", pa.int64()), ("side", pa.int32()), ("sub", pa.int32()), ("n", pa.int64()), ("key0", pa.int64()), ("key1", pa.int64()), ("lo", pa.int32()), ("context", pa.binary())])
-    side = length * 3 // 8
+    """(packed, key0, key1, wanted: [(m, before, span, h, a, b, sub, n)]) to one row per wanted context, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,17 +221,37 @@ def _contexts(length: int):
                 k0, k1 = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
                 rows = []
                 for w in batch.column(3)[i].as_py():
-                    lo, hi = w["m"] - w["before"], w["m"] - w["before"] + w["span"]
-                    # windows that hold the left side start early enough, all others hold the right one
-                    lo, hi = (lo, min(hi, w["m"] - side)) if w["side"] == 0 else (max(lo, w["m"] - side + 1), hi)
-                    rows.append((w["h"], w["side"], w["sub"], w["n"], k0, k1, lo, data[lo : hi + length]))
-                yield record(schema, [list(c) for c in zip(*rows, strict=True)])
+                    first = w["m"] - w["before"]
+                    lo, hi = max(first, w["m"] - w["b"]), min(first + w["span"], w["m"] - w["a"])
+                    rows.append((w["h"], w["a"], w["b"], w["sub"], w["n"], k0, k1, lo, w["m"] - lo, data[lo : hi + length]))
+                yield record(_CONTEXT, [list(c) for c in zip(*rows, strict=True)])
+
+    return run
+
 
-    return run, "h long, side int, sub int, n long, key0 long, key1 long, lo int, context binary"
+def _halve(length: int):
+    """Contexts to those of both halves of their range, each with the name of what all windows of the half share."""
+    q = quarter(length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for h, a, b, n, k0, k1, lo, top, context in zip(*(batch.column(c).to_pylist() for c in ("h", "a", "b", "n", "key0", "key1", "lo", "top", "context")), strict=True):
+                grams = gram_names(np.frombuffer(context, dtype=np.uint8), q)
+                least = top - (len(context) - length)  # the least place of the anchor in a window here
+                for x, y in ((a, (a + b) // 2), ((a + b) // 2 + 1, b)):
+                    x1, y1 = max(x, least), min(y, top)
+                    if x1 > y1:
+                        continue
+                    sub = names(grams, np.array([top - x]), length - (y - x), q)
+                    rows.append((h, x, y, int(longs(sub)[0]), n, k0, k1, lo + top - y1, y1, context[top - y1 : top - x1 + length]))
+            yield record(_CONTEXT, [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in _CONTEXT])
+
+    return run
 
 
 def _refined(length: int):
-    """Rows sorted by bucket (h, side, sub); buckets are gathered to chunks and refined."""
+    """Rows sorted by bucket; buckets are gathered to chunks and refined."""
 
     def solve(chunk: dict) -> pa.RecordBatch:
         keys = list(chunk)
@@ -215,9 +274,9 @@ def _refined(length: int):
         chunk: dict = {}
         size, bucket = 0, None
         for batch in batches:
-            for h, side, sub, n, k0, k1, lo, context in zip(*(batch.column(c).to_pylist() for c in ("h", "side", "sub", "n", "key0", "key1", "lo", "context")), strict=True):
-                if (h, side, sub) != bucket:
-                    bucket = (h, side, sub)
+            for h, a, b, sub, n, k0, k1, lo, context in zip(*(batch.column(c).to_pylist() for c in (*BUCKET, "n", "key0", "key1", "lo", "context")), strict=True):
+                if (h, a, b, sub) != bucket:
+                    bucket = (h, a, b, sub)
                     if size > CHUNK_BYTES:
                         yield solve(chunk)
                         chunk, size = {}, 0
@@ -227,62 +286,76 @@ def _refined(length: int):
         if chunk:
             yield solve(chunk)
 
-    return run, _SPAN_KIND
-
-
-def _windows(length: int):
-    schema = pa.schema([("w0", pa.int64()), ("w1", pa.int64()), ("n", pa.int64()), ("key0", pa.int64()), ("key1", pa.int64()), ("at", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n, k0, k1, lo, context in zip(*(batch.column(c).to_pylist() for c in ("n", "key0", "key1", "lo", "context")), strict=True):
-                data = np.frombuffer(context, dtype=np.uint8)
-                at = np.arange(len(data) - length + 1)
-                names = [longs(range_hash(prefix_sums(data, t), at, at + length)) for t in (0, 1)]
-                yield record(schema, [*names, np.full(len(at), n), np.full(len(at), k0), np.full(len(at), k1), (at + lo).astype(np.int32)])
-
-    return run, "w0 long, w1 long, n long, key0 long, key1 long, at int"
+    return run
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts; of rows with one key, one in each task."""
     schema = pa.schema([("packed", pa.binary()), ("key0", pa.int64()), ("key1", pa.int64())])
+    seen: set = set()
     for batch in batches:
-        yield record(schema, [[zlib.compress(d.tobytes(), 1) for d in blobs(batch.column(0))], batch.column(1), batch.column(2)])
+        fresh = []
+        for key in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            fresh.append(key not in seen)
+            seen.add(key)
+        part = batch.filter(pa.array(fresh, pa.bool_()))
+        yield record(schema, [[zlib.compress(d.tobytes(), 1) for d in blobs(part.column(0))], part.column(1), part.column(2)])
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Buckets of two contexts or more, one of which stands alone."""
+    return rows.groupBy(*BUCKET).agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 and least = 1").select(*BUCKET, "k")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
-    """key0, key1 (row_key of the row), spans: array of start and stop bytes, to be united."""
+    """key0, key1 (row_key of the row), spans: array of start and stop bytes, to be united.  A written table."""
     data = docs.select(F.col("text").cast("binary").alias("data"), *row_key()).filter(F.octet_length("data") >= length)
-    fn, kind = _scan(length, True)
-    often = materialize(data.mapInArrow(fn, kind).groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"), "grams")
-    fn, kind = _scan(length, False)
+    fn, kind = _scan(length)
+    seen = materialize(data.mapInArrow(fn, kind), "seen")
+    often = seen.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
     # both sides are plain exchanges, so that a bucket with very many anchors is split at run time
-    found = materialize(data.mapInArrow(fn, kind).join(often, "h", "left_semi"), "anchors")
-    rep = F.min(F.struct("key0", "key1", "m", "before", "span", "hl", "hr")).alias("r")
-    classes = materialize(found.groupBy("h", "ctx").agg(F.count("*").alias("n"), rep).select("h", "ctx", "n", "r.*"), "contexts")
+    found = materialize(seen.join(often, "h", "left_semi"), "anchors")
+    forget(seen)
+    same = ["h", "ctx", "hl", "hr"]
+    rep = [F.first(c).alias(c) for c in ("key0", "key1", "m", "before", "span")]  # all of one row, whichever: its context is the others' too
+    classes = materialize(found.groupBy(*same).agg(F.count("*").alias("n"), *rep), "classes")
 
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("hl").alias("sub")), F.struct(F.lit(1).alias("side"), F.col("hr").alias("sub")))
-    halves = classes.select("*", F.explode(sides).alias("x")).select("h", "n", "key0", "key1", "m", "before", "span", "x.*").filter("sub <> 0")
-    open_ = materialize(halves.groupBy("h", "side", "sub").agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 and least = 1").select("h", "side", "sub", "k"), "open")
-    wanted = materialize(halves.join(open_, ["h", "side", "sub"]), "wanted")
-
-    lists = wanted.groupBy("key0", "key1").agg(F.collect_list(F.struct("m", "before", "span", "h", "side", "sub", "n")).alias("wanted"))
+    side = length * 3 // 8
+    halves = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(c).cast("long").alias("sub")) for a, b, c in ((side, length - quarter(length), "hl"), (0, side - 1, "hr"))])
+    halves = classes.select("*", F.explode(halves).alias("x")).select("h", "n", "key0", "key1", "m", "before", "span", "x.*").filter(F.col("sub") != NO_NAME)
+    open_ = materialize(_open(halves), "open")
+    wanted = halves.join(open_.drop("k"), BUCKET)
+    lists = wanted.groupBy("key0", "key1").agg(F.collect_list(F.struct("m", "before", "span", *BUCKET, "n")).alias("wanted"))
     packed = data.mapInArrow(_pack, "packed binary, key0 long, key1 long")
-    fn, kind = _contexts(length)
-    contexts = packed.join(lists, ["key0", "key1"]).select("packed", "key0", "key1", "wanted").mapInArrow(fn, kind)
-    contexts = materialize(contexts, "bytes")  # repeated rows give a context more than once; the next steps take it once
-    large = open_.filter(F.col("k") > HOT_CONTEXTS).select("h", "side", "sub")
-    fn, kind = _refined(length)
-    spans = contexts.join(large, ["h", "side", "sub"], "left_anti").repartition("h", "side", "sub").sortWithinPartitions("h", "side", "sub").mapInArrow(fn, kind)
+    contexts = packed.join(lists, ["key0", "key1"]).select("packed", "key0", "key1", "wanted").mapInArrow(_contexts(length), _CONTEXT_KIND)
+    contexts = materialize(contexts, "bytes")
+
+    large = open_.filter(F.col("k") > TASK_CONTEXTS).select(*BUCKET)
+    ready, spans, tables = contexts, [], [contexts, open_]
     if large.limit(1).count():
-        fn, kind = _windows(length)
-        each = materialize(contexts.join(large, ["h", "side", "sub"], "left_semi").dropDuplicates(["key0", "key1", "lo"]).mapInArrow(fn, kind), "windows")
-        twice = materialize(each.groupBy("w0", "w1").agg(F.count("*").alias("k")).filter("k > 1").select("w0", "w1"), "twice")
-        spans = spans.unionByName(each.filter("n = 1").join(twice, ["w0", "w1"], "left_semi").select("key0", "key1", F.col("at").alias("start"), (F.col("at") + length).alias("stop")))
-    many = materialize(classes.filter("n > 1").select("h", "ctx"), "repeated")
+        ready = contexts.join(large, BUCKET, "left_anti")
+        rest = contexts.join(large, BUCKET, "left_semi").dropDuplicates([*BUCKET, "key0", "key1", "lo"])
+        while True:  # eight times at most: the range of 76 places is halved down to one
+            split = materialize(rest.mapInArrow(_halve(length), _CONTEXT_KIND), "halves")
+            now = materialize(_open(split), "open")
+            tables += [split, now]
+            small = now.filter((F.col("k") <= TASK_CONTEXTS) & (F.col("a") < F.col("b"))).select(*BUCKET)
+            ready = ready.unionByName(split.join(small, BUCKET, "left_semi"))
+            single = split.filter("a = b").join(now.select(*BUCKET), BUCKET, "left_semi")
+            twice = single.groupBy("h", "a", "context").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
+            spans.append(single.filter("n = 1").join(twice, ["h", "a", "context"], "left_semi").select("key0", "key1", F.col("lo").alias("start"), (F.col("lo") + length).alias("stop")))
+            left = now.filter((F.col("k") > TASK_CONTEXTS) & (F.col("a") < F.col("b"))).select(*BUCKET)
+            if not left.limit(1).count():
+                break
+            rest = split.join(left, BUCKET, "left_semi")
+    spans.append(ready.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInArrow(_refined(length), _SPAN_KIND))
+    many = classes.filter("n > 1").select(*same)
     first = F.col("m") - F.col("before")
-    whole = found.join(many, ["h", "ctx"], "left_semi").select("key0", "key1", first.cast("int").alias("start"), (first + F.col("span") + length).cast("int").alias("stop"))
-    return spans.unionByName(whole).groupBy("key0", "key1").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans.append(found.join(many, same, "left_semi").select("key0", "key1", first.cast("int").alias("start"), (first + F.col("span") + length).cast("int").alias("stop")))
+    all_spans = reduce(DataFrame.unionByName, spans)
+    out = materialize(all_spans.groupBy("key0", "key1").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    forget(found, classes, *tables)
+    return out
 
 
 def united(spans: list) -> list[tuple[int, int]]:
@@ -327,7 +400,7 @@ def _pack_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def span_digest(docs: DataFrame, length: int = 200) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = materialize(repeated_spans(docs, length), "spans")
+    spans = repeated_spans(docs, length)
     rows = docs.select(F.col("text").cast("binary").alias("data"), F.col("doc_id").cast("long").alias("doc_id"), *row_key())
     rows = rows.mapInArrow(_pack_all, "doc_id long, key0 long, key1 long, packed binary")
     return rows.join(spans, ["key0", "key1"], "left").select("doc_id", "packed", "spans").mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -339,10 +412,10 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or s is None else cut(t.encode(), list(s))[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    spans = materialize(repeated_spans(docs, length), "spans")
-    keys = [k.alias(f"_{i}") for i, k in enumerate(row_key())]
-    rows = docs.select("*", *keys).join(spans.select(F.col("key0").alias("_0"), F.col("key1").alias("_1"), F.col("spans").alias("_spans")), ["_0", "_1"], "left")
-    rows = rows.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept("text", "_spans")))
+    k0, k1, own = free_names(docs, 3)
+    spans = repeated_spans(docs, length).select(F.col("key0").alias(k0), F.col("key1").alias(k1), F.col("spans").alias(own))
+    rows = docs.select("*", *[k.alias(n) for k, n in zip(row_key(), (k0, k1), strict=True)]).join(spans, [k0, k1], "left")
+    rows = rows.withColumn("text", F.when(F.col(own).isNull(), F.col("text")).otherwise(kept("text", own)))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        rows = rows.withColumn("n_chars", F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return rows.select(*docs.columns)

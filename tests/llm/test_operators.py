@@ -43,6 +43,20 @@ def none(spark):
     return spark.createDataFrame([], DOC)
 
 
+EXTRA = ("_0", "_1", "_n", "_spans", "_hot", "_cold", "_q0", "_Q1", "_copy", "_d", "_t", "th", "salt", "i", "h", "key1", "component_id", "keep", "n", "words", "bucket", "data", "packed", "p_toxic", "score")
+
+
+def clashing(docs):
+    """docs with columns named as operators might name theirs."""
+    return docs.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in EXTRA])
+
+
+def same_extras(out, docs):
+    """Rows of `out` are rows of docs, by the extra columns."""
+    a, b = (Counter(tuple(r[c] for c in ("doc_id", *EXTRA)) for r in x.collect()) for x in (out, docs))
+    return a == b or all(n <= b[k] for k, n in a.items()) and sum(a.values()) == out.count()
+
+
 def lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
 
@@ -76,27 +90,37 @@ def test_decontamination(spark, docs, none, texts, block_rows):
     assert not decontaminate.contamination(docs, bench.limit(0)).filter("contaminated").count()
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
-def test_suffix_dedup(docs, none, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+@pytest.mark.parametrize(("most", "length"), [(10_000, 200), (4, 200), (1, 200), (10_000, 123), (2, 123)])
+def test_suffix_dedup(docs, none, monkeypatch, most, length):
+    monkeypatch.setattr(suffix_dedup, "TASK_CONTEXTS", most)
     all_rows = docs.collect()
     seen = Counter()
     for r in all_rows:
         b = (r["text"] or "").encode()
-        seen.update(b[i : i + 200] for i in range(len(b) - 199))
+        seen.update(b[i : i + length] for i in range(len(b) - length + 1))
     want = Counter()
     for r in all_rows:
         b = (r["text"] or "").encode()
         m = np.zeros(len(b), bool)
-        for i in range(len(b) - 199):
-            if seen[b[i : i + 200]] > 1:
-                m[i : i + 200] = True
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                m[i : i + length] = True
         spans = int((np.diff(np.concatenate([[0], m.astype(int)])) == 1).sum())
         want[(r["doc_id"], len(b), int(m.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~m].tobytes()).hexdigest())] += 1
-    assert Counter(tuple(r) for r in suffix_dedup.span_digest(docs).collect()) == want
-    cut = suffix_dedup.remove_repeats(docs)
-    assert cut.columns == docs.columns and cut.count() == len(all_rows)
-    assert suffix_dedup.span_digest(none).count() == 0
+    assert Counter(tuple(r) for r in suffix_dedup.span_digest(docs, length).collect()) == want
+    if most != 10_000 or length != 200:
+        return
+    clash = clashing(docs)
+    cut = suffix_dedup.remove_repeats(clash)
+    assert cut.columns == clash.columns and same_extras(cut, clash)
+    assert suffix_dedup.span_digest(none).count() == 0 and suffix_dedup.remove_repeats(none).count() == 0
+
+
+def test_suffix_dedup_without_refinement_finds_less(docs, monkeypatch):
+    """Whole contexts alone are not the result: sorting by bucket pointers adds to it."""
+    full = suffix_dedup.span_digest(docs).agg(F.sum("n_removed")).first()[0]
+    monkeypatch.setattr(suffix_dedup, "refine", lambda gram, depth: np.arange(len(gram)))
+    assert suffix_dedup.span_digest(docs).agg(F.sum("n_removed")).first()[0] < full
 
 
 def test_refinement_orders_suffixes():
