@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, materialize
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     last = None
     while True:
-        now = materialize(_star(_star(now, True), False), "stars")
+        before, now = now, materialize(_star(_star(now, True), False), "stars")
+        forget(before)
         # it ends when all edges are stars whose centres are no one's leaf
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == last:

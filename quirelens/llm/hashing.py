@@ -2,8 +2,8 @@
 
 Every function works on one UTF-8 buffer at a time; memory is a small multiple of the
 text's own bytes.  Hashes are 64-bit: polynomial over a random byte table, finished with
-an avalanche mix.  They name buckets; where an operator promises exact results, a byte
-or 128-bit comparison follows.
+an avalanche mix.  They name buckets and shingles; what is decided on names alone, and on how
+many bits of them, each operator says.
 """
 
 from __future__ import annotations

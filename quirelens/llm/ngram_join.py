@@ -11,11 +11,21 @@ l = min(l_a, l_b) shingles in places below n - o + l of both, with the o that th
 Equal sets are one node.  Copies in large groups are not expanded into pairs: first each node
 is verified against the one pivot it shares most with; after that only pairs across different
 components are made, and of them only those whose 256-bit parities do not rule a link out, so no
-link between components is lost.  Shingles that the sketch finds in
-very many documents have their posting lists split into pairs of blocks.
+link between components is lost.
+
+Posting lists of over BLOCK entries are found by an exact count (of the shingles that the sketch,
+which never counts too little, doesn't clear).  They are never gathered: their pivots come from an
+aggregate, and only where two components meet in one is it split into pairs of blocks, nodes of
+the component that has most of it against the others and the others among themselves.
+
+Sets are of 64-bit shingle names; two given shingles share one by chance once in 2^64.  Nodes have
+128-bit names: 64 bits stand for them, and names that two sets share are replaced by the other half.
 
 Null and empty texts: an empty set, linked with nothing, alone in their component.
-Repeated rows: one node; each row is returned.  Extra columns are ignored by `component_table`.
+Repeated rows: one node; each row is returned.  Ties (equal counts, equal sizes): by shingle and node
+name, which changes no result.  Very long texts: their sets are held by the one task that reads them
+and by those that verify them.  An empty table: no rows.  Extra columns are ignored by
+`component_table` and kept by `keep_first`, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, longs, materialize, record, row_key
+from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key
 from .components import components
 from .hashing import IS_SPACE, LOWER, mix, window_hashes, word_hashes
 
@@ -47,73 +57,96 @@ def text_set(data: np.ndarray, width: int) -> np.ndarray:
     return np.unique(window_hashes(words, min(width, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
-def set_names(s: np.ndarray, seed: int) -> tuple[int, int]:
-    """Two hashes of a set: the node's name and a second one that tells colliding names apart."""
+def set_names(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit names of a set: the node's, and the one it takes where another set has the first one too."""
     with np.errstate(over="ignore"):
-        a = mix(s ^ np.uint64(0x1234567 + seed)).sum(dtype=np.uint64) + np.uint64(len(s))
+        a = mix(s ^ np.uint64(0x1234567)).sum(dtype=np.uint64) + np.uint64(len(s))
         b = mix(s * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
         return tuple(int(x) for x in longs(mix(np.array([a, b], dtype=np.uint64))))
 
 
-def parity(s: np.ndarray) -> bytes:
-    """256 bits, each the parity of how many shingles fall on it.  Two sets differ in at least as many
-    shingles as their parities differ in bits, whatever the hash."""
-    return np.packbits(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).tobytes()
+def node_of(s: np.ndarray, shared: frozenset) -> int:
+    first, second = set_names(s)
+    return second if first in shared else first
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """256 bits as four longs, each bit the parity of how many shingles fall on it.  Two sets differ in at least
+    as many shingles as their parities differ in bits, whatever the hash."""
+    return np.packbits(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
+
 
+PARITY = ["p0", "p1", "p2", "p3"]
 
-def _members(width: int, bits: int, seed: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()), ("parity", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
+
+def _members(width: int, bits: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()), *[(p, pa.int64()) for p in PARITY], ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
-            sizes, nodes, seconds, parities = [], [], [], []
+            sizes, nodes, parities = [], [], []
             for data in blobs(batch.column(1)):
                 s = text_set(data, width)
                 np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
-                a, b = set_names(s, seed)
                 sizes.append(len(s))
-                nodes.append(a)
-                seconds.append(b)
+                nodes.append(set_names(s))
                 parities.append(parity(s))
             k = len(sizes)
-            yield record(schema, [batch.column(0), batch.column(2), sizes, nodes, seconds, parities, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())])
+            if k:
+                yield record(schema, [batch.column(0), batch.column(2), sizes, *np.array(nodes, dtype=np.int64).T, *np.array(parities).T, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())])
         step = 1 << max(0, bits - 6)
         for c in range(0, len(counts), step):
             part = counts[c : c + step]
             if part.any():
-                small = np.minimum(part, 2**32 - 1).astype("<u4").tobytes()
-                yield record(schema, [[None], [None], [None], [None], [None], [None], [c // step], [zlib.compress(small, 1)]])
-
-    return run, "doc_id long, key1 long, n long, node long, second long, parity binary, chunk int, counts binary"
+                small = np.minimum(part, 2**31 - 1).astype("<i4").tobytes()
+                yield record(schema, [*[[None]] * (5 + len(PARITY)), [c // step], [zlib.compress(small, 1)]])
 
+    return run, f"doc_id long, key1 long, n long, node long, second long, {', '.join(f'{p} long' for p in PARITY)}, chunk int, counts binary"
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by chunk; sums one chunk at a time."""
-    schema = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
 
-    def done() -> pa.RecordBatch:
-        return record(schema, [[at], [zlib.compress(np.minimum(total, 2**31 - 1).astype("<i4").tobytes(), 1)]])
+def _fold(add):
+    """Rows sorted by chunk; the values of each chunk, one held at a time, put together by `add`."""
 
-    at, total = None, None
-    for batch in batches:
-        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(raw), dtype="<u4").astype(np.int64)
-            if chunk != at:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("chunk", pa.int32()), ("value", pa.binary())])
+        at, total = None, None
+        for batch in batches:
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if chunk == at:
+                    total = add(total, zlib.decompress(raw))
+                    continue
                 if at is not None:
-                    yield done()
-                at, total = chunk, part
-            else:
-                total += part
-    if at is not None:
-        yield done()
+                    yield record(schema, [[at], [zlib.compress(total, 1)]])
+                at, total = chunk, zlib.decompress(raw)
+        if at is not None:
+            yield record(schema, [[at], [zlib.compress(total, 1)]])
+
+    return run
+
+
+def fold_chunks(rows: DataFrame, add, salts: int = 256) -> list:
+    """rows: chunk, value.  One row per chunk, of which there are few, each of a fixed size.  What all tasks have
+    made is put together in salted groups first, so that no task reads the chunks of all of them."""
+    kind = "chunk int, value binary"
+    some = rows.withColumn("salt", F.expr(f"pmod(xxhash64(value), {salts})")).repartition("chunk", "salt").sortWithinPartitions("chunk").select("chunk", "value").mapInArrow(_fold(add), kind)
+    return some.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_fold(add), kind).collect()
+
+
+def _add_counts(a: bytes, b: bytes) -> bytes:
+    total = np.frombuffer(a, "<i4").astype(np.int64) + np.frombuffer(b, "<i4")
+    return np.minimum(total, 2**31 - 1).astype("<i4").tobytes()
+
+
+def _either(a: bytes, b: bytes) -> bytes:
+    return (np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes()
 
 
 def load_sketch(rows: list, bits: int) -> np.ndarray:
     step = 1 << max(0, bits - 6)
     out = np.zeros(1 << bits, dtype=np.int32)
     for r in rows:
-        part = np.frombuffer(zlib.decompress(r["counts"]), dtype="<i4")
+        part = np.frombuffer(zlib.decompress(r["value"]), dtype="<i4")
         out[r["chunk"] * step : r["chunk"] * step + len(part)] = part
     return out
 
@@ -129,55 +162,44 @@ def choose_level(df: np.ndarray, n: int, num: int, den: int) -> tuple[int, int]:
     return int(levels[best]), base + best
 
 
-def _postings(width: int, bits: int, seed: int, sketch, num: int, den: int):
-    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("level", pa.int16())])
+POSTING = "bucket long, node long, n int, pos int, level short"
+
+
+def _postings(width: int, bits: int, shared: frozenset, sketch, num: int, den: int, block: int):
+    """big: the sketch does not rule out that the shingle is in over `block` texts."""
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("level", pa.int16()), ("big", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         noise = float(np.median(counts))
         done: set[int] = set()  # copies in one partition are listed once
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[] for _ in schema]
         rows = 0
         for batch in batches:
             for data in blobs(batch.column(0)):
                 s = text_set(data, width)
-                node = set_names(s, seed)[0]
                 n = len(s)
-                if not n or node in done:
+                if not n:
+                    continue
+                node = node_of(s, shared)
+                if node in done:
                     continue
                 done.add(node)
                 est = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
                 order = np.lexsort((s, est))
                 df = np.maximum(est[order].astype(np.float64) - noise, 1.0)
                 level, length = choose_level(df, n, num, den)
-                tokens = s[order[:length]]
-                blocks = np.ceil(est[order[:length]] / BLOCK).astype(np.int64)
-                pos = np.arange(length)
-                hot = blocks > 1
-                if hot.any():
-                    t2, b2, p2 = [tokens[~hot]], [np.zeros(int((~hot).sum()), np.int32)], [pos[~hot]]
-                    for t, k, at in zip(tokens[hot], blocks[hot], pos[hot], strict=True):
-                        mine = int(np.uint64(node & (2**64 - 1)) % np.uint64(k))
-                        other = np.arange(k)
-                        with np.errstate(over="ignore"):
-                            t2.append(mix(t + np.uint64(1) + np.minimum(mine, other).astype(np.uint64) * np.uint64(1000003) + np.maximum(mine, other).astype(np.uint64) * np.uint64(7919 * 65537)))
-                        # a bucket of one block has 0 alone (all pairs count), one of two blocks has 1 and 2 (pairs across count)
-                        b2.append(np.where(other == mine, 0, np.where(other > mine, 1, 2)).astype(np.int32))
-                        p2.append(np.full(k, at))
-                    tokens, block, pos = np.concatenate(t2), np.concatenate(b2), np.concatenate(p2)
-                else:
-                    block = np.zeros(length, np.int32)
-                m = len(tokens)
-                for c, v in zip(cols, (longs(tokens), block, np.full(m, node), np.full(m, n, np.int32), pos.astype(np.int32), np.full(m, level, np.int16)), strict=True):
+                own = order[:length]
+                for c, v in zip(cols, (longs(s[own]), np.full(length, node), np.full(length, n, np.int32), np.arange(length, dtype=np.int32), np.full(length, level, np.int16), est[own] > block), strict=True):
                     c.append(v)
-                rows += m
+                rows += length
                 if rows > 200_000:
                     yield record(schema, [np.concatenate(c) for c in cols])
-                    cols, rows = [[], [], [], [], [], []], 0
+                    cols, rows = [[] for _ in schema], 0
         if rows:
             yield record(schema, [np.concatenate(c) for c in cols])
 
-    return run, "bucket long, block int, node long, n int, pos int, level short"
+    return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +240,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bits(bits: int):
     """A fixed-size bitmap of the values seen, in 16 chunks."""
-    schema = pa.schema([("chunk", pa.int32()), ("bitmap", pa.binary())])
+    schema = pa.schema([("chunk", pa.int32()), ("value", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << bits, dtype=bool)
@@ -231,23 +253,6 @@ def _bits(bits: int):
     return run
 
 
-def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by chunk; the union of each chunk's bitmaps."""
-    schema = pa.schema([("chunk", pa.int32()), ("bitmap", pa.binary())])
-    at, total = None, None
-    for batch in batches:
-        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
-            if chunk != at:
-                if at is not None:
-                    yield record(schema, [[at], [zlib.compress(total.tobytes(), 1)]])
-                at, total = chunk, part
-            else:
-                total = total | part
-    if at is not None:
-        yield record(schema, [[at], [zlib.compress(total.tobytes(), 1)]])
-
-
 def _texts(bits: int, bitmap):
     schema = pa.schema([("key0", pa.int64()), ("key1", pa.int64()), ("packed", pa.binary())])
 
@@ -264,10 +269,10 @@ def _texts(bits: int, bitmap):
 def texts_of(docs: DataFrame, wanted: DataFrame, bits: int = 24) -> DataFrame:
     """node, packed (compressed text) for each row of wanted (node, key0, key1).  A bitmap of fixed size
     keeps most other texts out of the shuffle; the join is exact whatever the bitmap lets through."""
-    rows = wanted.select("key1").mapInArrow(_bits(bits), "chunk int, bitmap binary").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_either, "chunk int, bitmap binary").collect()  # 16 rows at most
+    rows = fold_chunks(wanted.select("key1").mapInArrow(_bits(bits), "chunk int, value binary"), _either)  # 16 rows at most
     full = np.zeros((1 << bits) // 8, dtype=np.uint8)
     for r in rows:
-        full[r["chunk"] * (len(full) // 16) :][: len(full) // 16] = np.frombuffer(zlib.decompress(r["bitmap"]), dtype=np.uint8)
+        full[r["chunk"] * (len(full) // 16) :][: len(full) // 16] = np.frombuffer(zlib.decompress(r["value"]), dtype=np.uint8)
     bitmap = docs.sparkSession.sparkContext.broadcast(full)
     packed = docs.select(F.col("text").cast("binary").alias("data"), *row_key()).mapInArrow(_texts(bits, bitmap), "key0 long, key1 long, packed binary")
     return packed.join(wanted, ["key0", "key1"]).groupBy("node").agg(F.min("packed").alias("packed"))
@@ -316,14 +321,17 @@ def _candidates(num: int, den: int):
         v = v[np.argsort(v["n"], kind="stable")]
         n, root, block, pos, level, bits = v["n"].astype(np.int64), v["root"], v["block"], v["pos"].astype(np.int64), v["level"], v["parity"]
         whole = not block.any()
-        for i in range(1, len(v)):
-            j0 = int(np.searchsorted(n[:i], -(-n[i] * num // den)))
-            j = np.arange(j0, i)
+        roots, at, k = np.unique(root, return_inverse=True, return_counts=True)
+        main = at == k.argmax()  # no pairs inside the component that has most of the list
+        for i in np.flatnonzero(~main):
+            j0, j1 = np.searchsorted(n, -(-n[i] * num // den)), np.searchsorted(n, n[i] * den // num, "right")
+            j = np.arange(j0, j1)
+            j = j[main[j] | (j < i)]
             need = np.minimum(level[j], level[i])
             overlap = -((-(n[j] + n[i]) * num) // (num + den))  # what this pair must share
             ok = (root[j] != root[i]) & (pos[j] < n[j] - overlap + need) & (pos[i] < n[i] - overlap + need)
             if not whole:
-                ok &= (block[j] != block[i])
+                ok &= block[j] != block[i]
             ok[ok] = np.bitwise_count(bits[j[ok]] ^ bits[i]).sum(axis=1) <= (n[j] + n[i] - 2 * overlap)[ok]
             j = j[ok]
             if len(j):
@@ -351,7 +359,8 @@ def _candidates(num: int, den: int):
             rows = np.empty(batch.num_rows, dtype=kinds)
             for name in rows.dtype.names[:-1]:
                 rows[name] = batch.column(name).to_numpy(zero_copy_only=False)
-            rows["parity"] = np.frombuffer(b"".join(batch.column("parity").to_pylist()), dtype=np.uint64).reshape(-1, 4)
+            for k, name in enumerate(PARITY):
+                rows["parity"][:, k] = batch.column(name).to_numpy().view(np.uint64)
             if not len(rows):
                 continue
             held.append(rows)
@@ -367,57 +376,116 @@ def _candidates(num: int, den: int):
     return run, "a long, b long, need short"
 
 
+def name_nodes(seen: DataFrame, most: int = 1_000_000) -> tuple[DataFrame, frozenset]:
+    """(members with nodes that differ where sets do, first names that sets share).
+
+    Of n sets about n * n / 2^65 pairs share a first name: 70 of 5 * 10^10 sets.  Those alone come to the driver."""
+    shared: frozenset = frozenset()
+    for _ in range(4):
+        members = seen
+        if shared:
+            own = F.broadcast(seen.sparkSession.createDataFrame([(x,) for x in sorted(shared)], "node long").withColumn("renamed", F.lit(True)))
+            members = seen.join(own, "node", "left").withColumn("node", F.when(F.col("renamed"), F.col("second")).otherwise(F.col("node"))).drop("renamed")
+        clash = members.groupBy("node").agg(F.min("second").alias("a"), F.max("second").alias("b")).filter("a <> b").select("node").limit(most + 1).collect()
+        if not clash:
+            return members, shared
+        if len(clash) > most:
+            break
+        shared |= {r[0] for r in clash}
+    raise ValueError("names of sets clash again and again")
+
+
+def posting_lists(postings: DataFrame, block: int) -> DataFrame:
+    """postings (a written table) of shingles that two nodes or more have, each node once: bucket, node, n, pos, level,
+    pivot, m (the list's first node and its size), k (entries of a list of over `block`, else 0)."""
+    # the node with the fewest rarer shingles, which among near copies is the one most others are made from, comes first
+    rank = F.expr("1000L * pos div n")
+    hot = materialize(postings.filter("big").groupBy("bucket").agg(F.count("*").alias("k")).filter(F.col("k") > block), "hot")
+    n_hot = hot.count()
+    own = postings.drop("big")
+
+    def small(df: DataFrame) -> DataFrame:
+        """Broadcast while hot lists are few; beyond that a plain join, in which Spark splits large keys."""
+        return F.broadcast(df) if n_hot <= 200_000 else df
+
+    cold = own.join(small(hot), "bucket", "left_anti") if n_hot else own
+    lists = cold.repartition("bucket").sortWithinPartitions("bucket", rank, "node").mapInArrow(_shared, POSTING + ", pivot long, m int").withColumn("k", F.lit(0).cast("long"))
+    if n_hot:
+        rows = own.join(small(hot), "bucket").distinct()
+        first = rows.groupBy("bucket").agg(F.min(F.struct(rank.alias("r"), "node", "n")).alias("f")).select("bucket", F.col("f.node").alias("pivot"), F.col("f.n").alias("m"))
+        lists = lists.unionByName(rows.join(small(first), "bucket").select(*lists.columns))
+    return materialize(lists, "lists")
+
+
+def blocks_of(rows: DataFrame, block: int) -> DataFrame:
+    """Entries of large lists (bucket, node, root, ...) whose lists two components meet in, dealt to lists of blocks.
+
+    The nodes of the component that has most of a list are in one block each; all others are copied to each of
+    these, and to pairs of blocks among themselves.  Pairs count across blocks (1 and 2), in blocks of 0 all of them."""
+    per = rows.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("roots"))
+    per = per.filter("roots > 1").select("bucket", F.col("top.root").alias("most"), F.ceil(F.col("top.c") / block).alias("rb"), F.ceil((F.col("all") - F.col("top.c")) / block).alias("ob"))
+    own = rows.join(per, "bucket")
+    mine = F.expr("pmod(xxhash64(node), if(root = most, rb, ob))")
+    single = F.expr("array(named_struct('name', xxhash64(bucket, 1, mine), 'block', 1))")
+    toward = F.expr("transform(sequence(0L, rb - 1), x -> named_struct('name', xxhash64(bucket, 1, x), 'block', 2))")
+    among = F.expr("transform(sequence(0L, ob - 1), x -> named_struct('name', xxhash64(bucket, 2, least(mine, x), greatest(mine, x)), 'block', if(x = mine, 0, if(x > mine, 1, 2))))")
+    dealt = own.withColumn("mine", mine).withColumn("x", F.explode(F.when(F.col("root") == F.col("most"), single).otherwise(F.concat(toward, among))))
+    return dealt.withColumn("bucket", F.col("x.name")).withColumn("block", F.col("x.block"))
+
+
 def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, sketch_bits: int = 22) -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, key1 (row_key), n, node; roots: node, root), roots only for nodes with a link to another set.
 
     docs needs doc_id (long) and text.  Two sets link when den * intersection >= num * union."""
     spark = docs.sparkSession
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"), row_key()[1])
-    seed = 0
-    while True:
-        fn, kind = _members(width, sketch_bits, seed)
-        seen = materialize(data.mapInArrow(fn, kind), "members")
-        members = seen.filter("chunk is null").select("doc_id", "key1", "n", "node", "second", "parity")
-        clash = members.groupBy("node").agg((F.min("second") != F.max("second")).alias("c")).filter("c").limit(1).count()
-        if not clash:
-            break
-        seed += 1
-    rows = seen.filter("chunk is not null").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_sum_counts, "chunk int, counts binary").collect()  # 64 rows: the sketch's fixed size
+    fn, kind = _members(width, sketch_bits)
+    seen = materialize(data.mapInArrow(fn, kind), "members")
+    members, shared = name_nodes(seen.filter("chunk is null").drop("chunk", "counts"))
+    rows = fold_chunks(seen.filter("chunk is not null").select("chunk", F.col("counts").alias("value")), _add_counts)  # 64 rows: the sketch's fixed size
     sketch = spark.sparkContext.broadcast(load_sketch(rows, sketch_bits))
 
-    fn, kind = _postings(width, sketch_bits, seed, sketch, num, den)
-    # the node with the fewest rarer shingles, which among near copies is the one most others are made from, comes first
-    rank = F.expr("1000L * pos div n")
-    lists = data.select("data").mapInArrow(fn, kind).repartition("bucket").sortWithinPartitions("bucket", rank, "node").mapInArrow(_shared, kind + ", pivot long, m int")
-    lists = materialize(lists, "postings")
-    wanted = lists.select("node").distinct().join(members.select("node", F.coalesce("doc_id", F.lit(0)).alias("key0"), "key1", "n", "parity"), "node", "left").groupBy("node").agg(F.min(F.struct("key0", "key1", "n", "parity")).alias("k")).select("node", "k.*")
-    wanted = materialize(wanted, "wanted")
+    postings = materialize(data.select("data").mapInArrow(_postings(width, sketch_bits, shared, sketch, num, den, BLOCK), POSTING + ", big boolean"), "postings")
+    lists = posting_lists(postings, BLOCK)
+    # one row per node before anything is joined: a text that very many rows have is one of them
+    one = [F.first(c).alias(c) for c in ("key0", "key1", "n", *PARITY)]
+    per_node = members.filter("n > 0").withColumn("key0", F.coalesce("doc_id", F.lit(0))).groupBy("node").agg(*one)
+    wanted = materialize(per_node.join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
+    tables = [postings, lists, wanted]
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs that link; only texts of their nodes are moved."""
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         own = materialize(wanted.select("node", "key0", "key1").join(ends, "node", "left_semi"), "ends")
-        return materialize(verify(pairs, materialize(texts_of(docs, own), "texts"), width, num, den), "links")
+        texts = materialize(texts_of(docs, own), "texts")
+        links = materialize(verify(pairs, texts, width, num, den), "links")
+        forget(own, texts)
+        return links
 
     # first each node against the pivot it shares most postings with, if sizes and parities let them link
     near = lists.filter("node <> pivot").filter(f"least(n, m) * {den}L >= greatest(n, m) * {num}L")
     counted = near.groupBy("node", "n", "pivot", "m").agg(F.count("*").alias("shared"))
     counted = counted.groupBy("node", "n").agg(F.max(F.struct("shared", "pivot", "m")).alias("best")).select("node", "n", "best.*")
-    bits = wanted.select("node", F.col("parity").alias("own"))
-    counted = counted.join(bits, "node").join(bits.select(F.col("node").alias("pivot"), F.col("own").alias("other")), "pivot")
-    apart = " + ".join(f"bit_count(conv(hex(substring(own, {i}, 7)), 16, 10)::bigint ^ conv(hex(substring(other, {i}, 7)), 16, 10)::bigint)" for i in (1, 8, 15, 22, 29))
+    bits = wanted.select("node", *PARITY)
+    counted = counted.join(bits, "node").join(bits.select(F.col("node").alias("pivot"), *[F.col(p).alias(f"o{p}") for p in PARITY]), "pivot")
+    apart = " + ".join(f"bit_count({p} ^ o{p})" for p in PARITY)
     counted = counted.filter(f"{apart} <= n + m - 2 * (((n + m) * {num}L + {num + den - 1}) div {num + den})")
     pairs = materialize(counted.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct(), "pairs")
     links = linked(pairs)
     # then all that can link across what that has joined
     joined = components(links)
-    nodes = materialize(wanted.select("node", "parity").join(joined, "node", "left").select("node", "parity", F.coalesce("root", "node").alias("root")), "nodes")
+    nodes = materialize(wanted.select("node", *PARITY).join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")), "nodes")
+    cross = lists.drop("pivot", "m").join(nodes, "node")
+    columns = ["bucket", "block", "node", "n", "pos", "level", "root", *PARITY]
+    rows = cross.filter("k = 0").withColumn("block", F.lit(0)).select(*columns)
+    if lists.filter("k > 0").limit(1).count():
+        rows = rows.unionByName(blocks_of(cross.filter("k > 0"), BLOCK).select(*columns))
     fn, kind = _candidates(num, den)
-    cross = lists.drop("pivot", "m").join(nodes, "node").select("bucket", "block", "node", "n", "pos", "level", "root", "parity")
-    cross = cross.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
-    pairs = cross.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b"))
-    more = linked(materialize(pairs, "pairs"))
-    roots = materialize(components(links.unionByName(more)), "roots")
+    found = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fn, kind)
+    more = materialize(found.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("need").alias("need")).filter("k >= need").select(F.col("b").alias("a"), F.col("a").alias("b")), "pairs")
+    others = linked(more)
+    roots = materialize(components(links.unionByName(others)), "roots")
+    forget(*tables, pairs, more, links, others, nodes)
     return members.select("doc_id", "key1", "n", "node"), roots
 
 
@@ -425,12 +493,11 @@ def component_rows(docs: DataFrame, width: int = 4, num: int = 85, den: int = 10
     """One row per row of docs: doc_id, key1, n_shingles, component_id, and keep (the row key of the component's first document)."""
     members, roots = link_components(docs, width, num, den, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("key1").alias("key1"))).alias("first")
-    groups = members.filter("n > 0").groupBy("node").agg(first)
+    groups = members.filter("n > 0").groupBy("node").agg(first, F.count("*").alias("k"))
     linked = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    named = materialize(linked.join(least, "root").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.key1").alias("keep")), "component")
-    # both sides are plain exchanges: a text that very many documents share is split at run time
-    full = members.filter("n > 0").join(named, "node", "left").select("doc_id", "key1", F.col("n").alias("n_shingles"), "component_id", "keep")
+    named = materialize(linked.join(least, "root").select("node", "k", F.col("least.doc_id").alias("component_id"), F.col("least.key1").alias("keep")), "component")
+    full = hot_lookup(members.filter("n > 0"), named, ["node"], "k").select("doc_id", "key1", F.col("n").alias("n_shingles"), "component_id", "keep")
     bare = members.filter("n = 0").select("doc_id", "key1", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("key1").alias("keep"))
     return full.unionByName(bare)
 
@@ -444,9 +511,10 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     """Rows of docs, one of each component: that with the least doc_id.  Texts without words all stay;
     of rows that are equal in doc_id and text, one stays."""
     found = component_rows(docs, **options)
+    k0, k1, rank = free_names(docs, 3)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key1") == F.col("keep")))
-    stay = stay.select(F.coalesce("doc_id", F.lit(0)).alias("_0"), F.col("key1").alias("_1")).distinct()
-    keys = [k.alias(f"_{i}") for i, k in enumerate(row_key())]
-    kept = docs.select("*", *keys).join(stay, ["_0", "_1"], "left_semi")
-    kept = kept.withColumn("_n", F.expr("row_number() over (partition by _0, _1 order by _1)"))
-    return kept.filter("_n = 1").select(*docs.columns)
+    stay = stay.select(F.coalesce("doc_id", F.lit(0)).alias(k0), F.col("key1").alias(k1)).distinct()
+    kept = docs.select("*", *[k.alias(n) for k, n in zip(row_key(), (k0, k1), strict=True)]).join(stay, [k0, k1], "left_semi")
+    # of repeated rows each task passes on one (Spark limits the groups of such a window before it shuffles them)
+    kept = kept.withColumn(rank, F.expr(f"row_number() over (partition by {k0}, {k1} order by {k1})"))
+    return kept.filter(F.col(rank) == 1).select(*docs.columns)

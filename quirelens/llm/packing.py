@@ -183,7 +183,7 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 50_000) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = 4096, salt_rows: int = 2_000) -> DataFrame:
     """parts (a written table of `pieces`) with sequence_id and offset."""
     spark = parts.sparkSession
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most

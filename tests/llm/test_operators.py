@@ -166,26 +166,66 @@ def test_ngram_join(docs, none, width, num):
         for i in own:
             want[(rows[i]["doc_id"], len(sets[i]), min(ids, default=None))] += 1
     assert Counter(tuple(r) for r in ngram_join.component_table(docs, width, num, 100, sketch_bits=12).collect()) == want
-    kept = ngram_join.keep_first(docs, width=width, num=num, den=100, sketch_bits=12)
-    assert kept.columns == docs.columns
+    clash = clashing(docs)
+    kept = ngram_join.keep_first(clash, width=width, num=num, den=100, sketch_bits=12)
+    assert kept.columns == clash.columns and same_extras(kept, clash)
     assert kept.count() == len(groups)
-    assert ngram_join.component_table(none, sketch_bits=12).count() == 0
+    assert ngram_join.component_table(none, sketch_bits=12).count() == 0 and ngram_join.keep_first(none, sketch_bits=12).count() == 0
 
 
-def test_ngram_join_splits_hot_lists(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+@pytest.fixture(scope="module")
+def families(spark):
+    """Several groups of near copies that also share a long phrase, so that large lists hold several components."""
     random.seed(3)
-    base = [f"w{i}" for i in range(60)]
     rows = []
-    for i in range(60):
-        w = list(base)
-        for _ in range(random.choice([0, 1, 1, 2, 3])):
-            w[random.randrange(60)] = f"u{random.randrange(10**6)}"
-        rows.append((i, " ".join(w)))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    sets, groups = components_of(df.collect(), 4, 85, 100)
-    want = {i: min(g) for g in groups.values() for i in g}
-    assert {r["doc_id"]: r["component_id"] for r in ngram_join.component_table(df, sketch_bits=12).collect()} == want
+    for f in range(4):
+        base = [f"c{i}" for i in range(12)] + [f"w{f}x{i}" for i in range(50)]
+        for k in range(30 if f else 60):
+            w = list(base)
+            for _ in range(random.choice([0, 1, 1, 2, 3])):
+                w[random.randrange(len(w))] = f"u{random.randrange(10**6)}"
+            rows.append((1000 * f + k, " ".join(w)))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+@pytest.mark.parametrize("block", [2048, 8, 2])
+def test_ngram_join_splits_hot_lists(families, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = families.collect()
+    sets, groups = components_of(rows, 4, 85, 100)
+    want = {rows[i]["doc_id"]: min(rows[k]["doc_id"] for k in g) for g in groups.values() for i in g}
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.component_table(families, sketch_bits=12).collect()} == want
+
+
+def test_ngram_join_lists_do_not_grow_with_noise(families, monkeypatch):
+    """Entries are split by exact counts: a sketch of 16 cells, all of them overfull, makes no more lists than a wide one."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    made = []
+    true = ngram_join.posting_lists
+    monkeypatch.setattr(ngram_join, "posting_lists", lambda p, b: made.append((p.count(), true(p, b))) or made[-1][1])
+    for bits in (22, 6):
+        ngram_join.component_table(families, sketch_bits=bits)
+    assert made[1][0] <= 1.5 * made[0][0]
+    texts = {r["doc_id"]: r["text"].split() for r in families.collect()}
+    df = Counter(g for w in texts.values() for g in {tuple(w[i : i + 4]) for i in range(len(w) - 3)})
+    assert max(df.values()) > 64
+
+
+def test_ngram_join_tells_nodes_with_one_first_name_apart(families, monkeypatch):
+    true = ngram_join.set_names
+    monkeypatch.setattr(ngram_join, "set_names", lambda s: (true(s)[0] % 5, true(s)[1]))
+    rows = families.collect()
+    sets, groups = components_of(rows, 4, 85, 100)
+    want = {rows[i]["doc_id"]: min(rows[k]["doc_id"] for k in g) for g in groups.values() for i in g}
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.component_table(families, sketch_bits=12).collect()} == want
+
+
+def test_parities_bound_differences():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64)) for _ in range(2))
+        apart = np.bitwise_count((ngram_join.parity(a) ^ ngram_join.parity(b)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(a, b))
 
 
 def test_quality_rules(docs, none):
