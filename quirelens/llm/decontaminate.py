@@ -1,12 +1,19 @@
 """Benchmark decontamination with DataFrame functions alone.
 
-The benchmark's distinct windows of `width` words (an item with fewer words is one window) form a
-broadcast hash table; each document's words are scanned once, in one codegen span: explode with
-position, hash the next words, probe, and verify a probe's hit on the words themselves.  The table
-is broadcast in blocks of at most `block_rows` windows, whatever the size of the benchmark.
-
-Null texts and texts without words: no words, no hits, not contaminated.  Repeated rows: each row is
-returned.  Null doc_ids are kept apart by their texts.  Ties need no rule.  Null items have no windows.
+The benchmark's distinct windows of `width` words (an item with fewer words is one window) are written
+once as a table.  Each document's words are scanned once, in one codegen span: explode with position,
+hash the next words, probe a broadcast hash table, and verify a hit on the words themselves.
+
+While there are at most `table_rows` windows, the broadcast table holds their words and decides at
+once.  Beyond that it holds their 64-bit hashes alone, `hash_rows` of them at a time (each such pass is
+a job of its own, whose hits are written before the next table is sent), and the few positions that it
+lets through are joined with the windows by a shuffle.  Memory is bounded whatever the benchmark's size.
+
+Null texts and texts without words: no words, no hits, not contaminated.  Null items have no windows.
+Very long texts: one row a word inside the scan, never gathered again; only hits leave it.  Repeated
+rows and rows without id: each is returned; their equal hits are dropped before they meet.  Ties need
+no rule.  An empty table of documents: no rows; of items: nothing is contaminated.  Extra columns:
+ignored by `contamination`, kept by `drop_contaminated`, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, free_names, materialize
 
 #: Fixed: what separates words, as a Java pattern.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -28,60 +35,82 @@ def words_of(text: Column) -> Column:
 
 
 def window_table(items: DataFrame, width: int) -> DataFrame:
-    """Distinct windows: len, words (array), h, item_ids (sorted as strings)."""
+    """Distinct windows: len, window (words), h, items (ids as sorted strings)."""
     words = items.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words")).filter("size(words) > 0")
     starts = F.expr(f"sequence(0, greatest(size(words) - {width}, 0))")
     windows = words.select("item", F.explode(starts).alias("at"), "words").select("item", F.expr(f"slice(words, at + 1, {width})").alias("window"))
     return windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).select(F.size("window").alias("len"), "window", F.xxhash64(*[F.get("window", F.lit(i)) for i in range(width)]).alias("h"), "items")
 
 
-def hits(docs: DataFrame, items: DataFrame, width: int = 10, block_rows: int = 200_000) -> DataFrame:
-    """One row per document word in a window that occurs there, and one for each row's first word:
-    key (doc_id, text hash), n_words, pos (-1: no word), stop (end of the longest window here, else null), items."""
-    table = window_table(items, width)
-    sizes = {r["len"]: r["n"] for r in table.groupBy("len").agg(F.count("*").alias("n")).collect()}  # width rows at most
-    scanned = docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words"))
+def _scanned(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words")).select("doc_id", "th", "words", F.posexplode("words").alias("pos", "word"))
+
+
+def _key(length: int) -> Column:
+    return F.xxhash64(*[F.get("words", F.col("pos") + i) for i in range(length)])
+
+
+def _words_at(length: int) -> Column:
+    return F.slice("words", F.col("pos") + 1, F.lit(length))
+
+
+def _hits_at_once(docs: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
+    rows, stops, found = _scanned(docs), [], []
+    for n in lengths:
+        part = table.filter(F.col("len") == n).select(F.col("h").alias(f"h{n}"), F.col("window").alias(f"w{n}"), F.col("items").alias(f"i{n}"))
+        rows = rows.join(F.broadcast(part), (_key(n) == F.col(f"h{n}")) & F.coalesce(_words_at(n) == F.col(f"w{n}"), F.lit(False)), "left")
+        stops.append(F.when(F.col(f"h{n}").isNotNull(), F.col("pos") + n))
+        found.append(F.coalesce(f"i{n}", F.array().cast("array<string>")))
+    rows = rows.withColumn("stop", F.greatest(*stops, F.lit(None)).cast("int")).filter(F.col("stop").isNotNull())
+    return rows.select("doc_id", "th", "pos", "stop", F.array_distinct(F.concat(*found)).alias("items"))
+
+
+def _hits_by_hash(docs: DataFrame, table: DataFrame, sizes: dict[int, int], hash_rows: int) -> DataFrame:
     out = []
-    blocks = max([1, *(-(-n // block_rows) for n in sizes.values())])
-    for block in range(blocks):
-        rows = scanned.select("doc_id", "th", "words", F.posexplode_outer("words").alias("pos", "word"))
-        stops, found = [], []
-        for length in sorted(sizes, reverse=True):
-            part = table.filter(F.col("len") == length)
-            if blocks > 1:
-                part = part.filter(F.pmod(F.xxhash64(F.lit(7), "h"), F.lit(blocks)) == block)
-            part = part.select(F.col("h").alias(f"h{length}"), F.col("window").alias(f"w{length}"), F.col("items").alias(f"i{length}"))
-            key = F.xxhash64(*[F.get("words", F.col("pos") + i) for i in range(length)])
-            rows = rows.join(F.broadcast(part), (key == F.col(f"h{length}")) & F.coalesce(F.slice("words", F.col("pos") + 1, F.lit(length)) == F.col(f"w{length}"), F.lit(False)), "left")
-            stops.append(F.when(F.col(f"h{length}").isNotNull(), F.col("pos") + length))
-            found.append(F.coalesce(f"i{length}", F.array().cast("array<string>")))
-        stop = F.greatest(*stops, F.lit(None)) if stops else F.lit(None)
-        rows = rows.withColumn("stop", stop.cast("int")).withColumn("items", F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>"))
-        keep = F.col("stop").isNotNull() if block else F.col("stop").isNotNull() | F.coalesce(F.col("pos") == 0, F.lit(True))
-        out.append(rows.filter(keep).select("doc_id", "th", F.size("words").cast("long").alias("n_words"), F.coalesce("pos", F.lit(-1)).alias("pos"), "stop", "items", F.lit(not block).alias("first")))
-    return reduce(DataFrame.unionByName, out)
-
-
-def contamination(docs: DataFrame, items: DataFrame, width: int = 10, block_rows: int = 200_000) -> DataFrame:
+    for n, rows in sizes.items():
+        blocks = -(-rows // hash_rows)
+        for block in range(blocks):
+            hashes = table.filter((F.col("len") == n) & (F.pmod(F.xxhash64(F.lit(7), "h"), F.lit(blocks)) == block)).select(F.col("h").alias("wh")).distinct()
+            near = _scanned(docs).join(F.broadcast(hashes), _key(n) == F.col("wh"))
+            out.append(materialize(near.select("doc_id", "th", "pos", F.col("wh").alias("h"), _words_at(n).alias("window"), F.lit(n).alias("n")).filter(F.size("window") == n), "near"))
+    near = reduce(DataFrame.unionByName, out)
+    # plain exchanges on both sides: a window that very many documents hold is split at run time
+    found = near.join(table.select("h", F.col("window").alias("own"), "items"), "h").filter("window = own")
+    return found.select("doc_id", "th", "pos", (F.col("pos") + F.col("n")).alias("stop"), "items")
+
+
+def hits(docs: DataFrame, items: DataFrame, width: int = 10, table_rows: int = 200_000, hash_rows: int = 4_000_000) -> DataFrame:
+    """One row per document word at which a window occurs: doc_id, th (the text's hash), pos, stop (end of the longest window here), items."""
+    table = materialize(window_table(items, width), "windows")
+    sizes = {r["len"]: r["n"] for r in table.groupBy("len").agg(F.count("*").alias("n")).collect()}  # width rows at most
+    if not sizes:
+        return _hits_at_once(docs.limit(0), table, [width])
+    if sum(sizes.values()) <= table_rows:
+        return _hits_at_once(docs, table, sorted(sizes, reverse=True))
+    return _hits_by_hash(docs, table, sizes, hash_rows)
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = 10, **how) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (and th, the text's hash)."""
-    found = hits(docs, items, width, block_rows)
-    key = "partition by doc_id, th"
-    reach = F.expr(f"max(stop) over ({key} order by pos, first desc rows between unbounded preceding and 1 preceding)")
-    fresh = found.withColumn("reach", reach).withColumn("covered", F.when(F.col("stop").isNotNull(), F.greatest(F.col("stop") - F.greatest("pos", F.coalesce("reach", F.lit(0))), F.lit(0))).otherwise(0))
-    per = fresh.groupBy("doc_id", "th").agg(
-        F.max("n_words").alias("n_words"),
-        F.sum("covered").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        F.sum(F.when(F.col("first") & (F.col("pos") <= 0), 1).otherwise(0)).cast("int").alias("copies"),
-    )
-    per = per.select("*", F.explode(F.expr("sequence(1, copies)")).alias("_copy"))
-    return per.select("doc_id", "n_words", F.col("n_hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "th")
-
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    found = hits(docs, items, width, **how)
+    # equal hits of repeated rows and of rows without id become one, in each task before the shuffle
+    spots = found.groupBy("doc_id", "th", "pos").agg(F.max("stop").alias("stop"))
+    reach = F.expr("coalesce(max(stop) over (partition by doc_id, th order by pos rows between unbounded preceding and 1 preceding), 0)")
+    covered = spots.withColumn("covered", F.greatest(F.col("stop") - F.greatest("pos", reach), F.lit(0))).groupBy("doc_id", "th").agg(F.sum("covered").alias("n_hit"))
+    named = found.select("doc_id", "th", F.explode("items").alias("item")).distinct().groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    a, b = covered.alias("a"), named.alias("b")
+    per = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.th") == F.col("b.th"))).select(F.col("a.doc_id").alias("_d"), F.col("a.th").alias("_t"), "n_hit", "items")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = rows.join(per, rows["doc_id"].eqNullSafe(per["_d"]) & (rows["th"] == per["_t"]), "left")
+    n_hit, own = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(own).cast("long").alias("n_items"), F.sha2(F.array_join(own, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "th")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, **how) -> DataFrame:
     """Rows of docs whose text holds no window of an item; all columns."""
-    bad = contamination(docs, items, width).filter("contaminated").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_d"]) & (F.xxhash64(docs["text"]) == bad["_t"]), "left_anti")
+    d, t = free_names(docs, 2)
+    bad = hits(docs, items, width, **how).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[d]) & (F.xxhash64(docs["text"]) == bad[t]), "left_anti")
 
 
 CONTAMINATION_SQL = r"""

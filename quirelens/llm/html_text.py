@@ -1,17 +1,20 @@
 """Main text of web pages by tag-path ratios.
 
 Every text node has a root-to-leaf tag path.  Text length and punctuation are summed per path and
-divided by the path's nodes; both ratios are smoothed along the page, fused, and compared with a
-threshold from their spread: paths above it are content.  The container is the smallest element
-with all content, all main and article elements and the titles; a page's only article, where nothing
-beside it is content, is its own container.  The result is all of the articles and mains, and of the
-rest of the container the content and headings, but without what is marked as something else: menus,
-page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, by
-element, role or class words.  Of pages without article and main it is all of the container, in the
-same way, less blocks of links.
+divided by the path's nodes; both ratios are smoothed along the page and fused.  What the path says
+of itself is a factor of the fused ratio: 0 where it is marked as something else (menus, page
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, by element,
+role or class words), `IN_ARTICLE` inside an article or main element, 1 elsewhere.  Nodes whose score
+reaches a threshold from the spread of the ratios are content.  The container is the smallest element
+with all content and the titles before it.  The result is the container's nodes of a score above 0;
+on pages with an article or main, what stands beside them must be content or a heading, too.  Short
+titles and paragraphs thus come with the container that the scores choose, though their own paths
+have low ratios.  Blocks of links are no content unless an article is around them.
 
 Null and empty pages: the empty text.  Pages without markup: their text.  Broken markup (tags left
-open, closed twice, cut off) is read to its end.  Repeated rows: each is returned.
+open, closed twice, cut off) is read to its end.  Very long or deeply nested pages: time and memory
+grow with the page's length alone.  Ties of scores need no rule.  Repeated rows: each is returned.
+An empty table: no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -56,22 +59,29 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PIECES = HEADINGS | {"p", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "figcaption"}
 HEADERS = {"header", "masthead", "topbar"}
 REPLIES = {"comment", "comments", "reply", "replies"}
-MAIN_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
+#: Factor of scores inside an article or main element.
+IN_ARTICLE = 20.0
 
 
 class Node:
+    """An element.  path: number of its root-to-leaf path, the same for all nodes of that path."""
+
     __slots__ = ("tag", "parent", "out", "path", "number", "key", "depth", "linked", "heading", "top")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, number: int, names: tuple[str, ...] = ()) -> None:
+    def __init__(self, tag: str, parent: Node | None, out: bool, number: int, paths: dict, names: tuple[str, ...] = ()) -> None:
         self.tag, self.parent, self.out, self.number = tag, parent, out, number
         self.key = tag + ("." + names[0] if names else "")
-        self.path = (parent.path + "/" if parent else "") + self.key
+        self.path = paths.setdefault((parent.path if parent else -1, self.key), len(paths))
         self.depth = parent.depth + 1 if parent else 0
         self.linked = tag == "a" or bool(parent and parent.linked)
         self.heading = tag if tag in HEADINGS else parent.heading if parent else ""
         # the outermost article or main around it
         self.top: Node | None = (parent.top if parent else None) or (self if tag in ("article", "main") and not out else None)
 
+    @property
+    def factor(self) -> float:
+        return 0.0 if self.out else IN_ARTICLE if self.top is not None else 1.0
+
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw and "=" in raw or "hidden" in raw else {}
@@ -95,8 +105,10 @@ def _is_out(tag: str, at: dict[str, str], inside: bool) -> tuple[bool, tuple[str
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     """Elements, and text nodes as (element, decoded text, block number) in page order."""
-    root = Node("", None, False, 0)
+    paths: dict = {}
+    root = Node("", None, False, 0, paths)
     nodes, texts, stack = [root], [], [root]
+    open_: dict[str, int] = {}  # elements on the stack, so that it is searched only for what is there
     block, inside, at = 0, 0, 0
     size = len(page)
 
@@ -104,6 +116,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         nonlocal inside
         for x in stack[to:]:
             inside -= x.tag in ("article", "main")
+            open_[x.tag] -= 1
         del stack[to:]
 
     while at < size:
@@ -120,21 +133,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         tag = tag.lower()
         block += tag in BLOCKS
         if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in () if not open_.get(tag) else range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     pop(i)
                     break
                 if stack[i].tag in SCOPES and tag not in SCOPES and tag not in BLOCKS:
                     break
             continue
-        if tag == "p" or tag in CLOSE_P:
+        if open_.get("p") and (tag == "p" or tag in CLOSE_P):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
                     pop(i)
                     break
                 if stack[i].tag in SCOPES or stack[i].tag in ("li", "dd", "dt"):
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(open_.get(t) for t in CLOSES[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSES[tag]:
                     pop(i)
@@ -153,52 +166,54 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             continue
         parent = stack[-1]
         out, names = _is_out(tag, _attributes(attributes), inside > 0)
-        node = Node(tag, parent, out or parent.out, len(nodes), names)
+        node = Node(tag, parent, out or parent.out, len(nodes), paths, names)
         nodes.append(node)
         if not attributes.endswith("/") or tag in BLOCKS:
             stack.append(node)
+            open_[tag] = open_.get(tag, 0) + 1
             inside += tag in ("article", "main")
     return nodes, texts
 
 
 def path_ratios(texts: list[tuple[Node, str, int]]) -> list[tuple[float, float]]:
     """Text and punctuation ratio of the path of each text node."""
-    length: dict[str, float] = {}
-    marks: dict[str, float] = {}
-    count: dict[str, int] = {}
+    length: dict[int, float] = {}
+    marks: dict[int, float] = {}
+    count: dict[int, int] = {}
     for node, text, _ in texts:
         n = len(text.strip())
-        if n and not node.out:
+        if n:
             p = node.path
             length[p] = length.get(p, 0) + n * (0.2 if node.linked else 1)
             marks[p] = marks.get(p, 0) + len(_PUNCTUATION.findall(text))
             count[p] = count.get(p, 0) + 1
-    return [(length[n.path] / count[n.path], marks[n.path] / count[n.path]) if not n.out and n.path in count else (0.0, 0.0) for n, _, _ in texts]
+    return [(length[n.path] / count[n.path], marks[n.path] / count[n.path]) if n.path in count else (0.0, 0.0) for n, _, _ in texts]
 
 
-def path_scores(texts: list[tuple[Node, str, int]], raw: list[tuple[float, float]], radius: int = 2) -> list[float]:
-    """Fused, smoothed path ratio of each text node."""
+def path_scores(texts: list[tuple[Node, str, int]], raw: list[tuple[float, float]], radius: int = 2) -> list[tuple[float, float]]:
+    """Fused path ratios of each text node times its path's factor: smoothed along the page, and of the path alone."""
     weights = [2.0 ** -abs(k) for k in range(-radius, radius + 1)]
+    factors = [node.factor for node, _, _ in texts]
+    own = [r if f else (0.0, 0.0) for r, f in zip(raw, factors, strict=True)]
     out = []
-    for i in range(len(raw)):
+    for i, f in enumerate(factors):
         t = p = w = 0.0
-        for k in range(max(0, i - radius), min(len(raw), i + radius + 1)):
+        for k in range(max(0, i - radius), min(len(own), i + radius + 1)):
             x = weights[k - i + radius]
-            t, p, w = t + x * raw[k][0], p + x * raw[k][1], w + x
-        out.append(0.0 if texts[i][0].out else (t / w) * (1 + p / w))
+            t, p, w = t + x * own[k][0], p + x * own[k][1], w + x
+        out.append((f * (t / w) * (1 + p / w), f * own[i][0] * (1 + own[i][1])))
     return out
 
 
 def _common(found: list[Node]) -> Node:
-    """The lowest element that all of `found` are or are in."""
-    box = found[0]
-    for x in found[1:]:
-        while x is not box:
-            if x.depth >= box.depth:
-                x = x.parent
-            else:
-                box = box.parent
-    return box
+    """The lowest element that all of `found` are or are in: that of the first and the last, as nodes are numbered in page order."""
+    a, b = min(found, key=lambda x: x.number), max(found, key=lambda x: x.number)
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a
 
 
 def main_text(page: str | None) -> str:
@@ -207,13 +222,14 @@ def main_text(page: str | None) -> str:
     nodes, texts = parse(page)
     raw = path_ratios(texts)
     scores = path_scores(texts, raw)
-    live = [s for s in scores if s > 0]
+    # the threshold comes from the ratios themselves
+    live = [s / (node.factor or 1.0) for (s, _), (node, _, _) in zip(scores, texts, strict=True) if s > 0]
     if not live:
         return ""
     mean = sum(live) / len(live)
     spread = (sum((s - mean) ** 2 for s in live) / len(live)) ** 0.5
     least = max(0.0, min(spread, 0.8 * mean))
-    shown = [bool(text.strip()) and not node.out for node, text, _ in texts]
+    shown = [bool(text.strip()) and s > 0 for (_, text, _), (s, _) in zip(texts, scores, strict=True)]
     marked = any(node.top is not None for (node, _, _), x in zip(texts, shown, strict=True) if x)
     links: dict[int, list[int]] = {}
     for node, text, block in texts:
@@ -225,11 +241,11 @@ def main_text(page: str | None) -> str:
     anchors: list[Node] = []
     content: set[int] = set()  # blocks
     follows = False  # content comes next
-    for (node, _, block), (n, p), score, x in reversed(list(zip(texts, raw, scores, shown, strict=True))):
+    for (node, _, block), (score, alone), x in reversed(list(zip(texts, scores, shown, strict=True))):
         if not x or node.top is None and block in menu:
             continue
         # beside an article the path's own ratios count too, not its neighbours' alone
-        own = node.top is not None or score >= least and (not marked or n * (1 + p) >= least)
+        own = score >= least and (not marked or alone >= least)
         if own or node.heading == "h1" or node.heading and follows:
             anchors.append(node.top or node)
             content.add(block)
@@ -243,19 +259,18 @@ def main_text(page: str | None) -> str:
     inside = [False] * len(nodes)
     for x in nodes:
         inside[x.number] = x is box or x.parent is not None and inside[x.parent.number]
-    parts: list[str] = []
+    parts: list[list[str]] = []
     last = None
-    for node, text, block in texts:
-        if node.out or not inside[node.number]:
+    for (node, text, block), (score, _) in zip(texts, scores, strict=True):
+        if score <= 0 or not inside[node.number]:
             continue
         if node.top is None and (block in menu or marked and block not in content and not node.heading):
             continue
         if block != last:
-            parts.append(text)
+            parts.append([])
             last = block
-        else:
-            parts[-1] += text
-    return " ".join(x for x in (" ".join(p.split()) for p in parts) if x)
+        parts[-1].append(text)
+    return " ".join(x for x in (" ".join("".join(p).split()) for p in parts) if x)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

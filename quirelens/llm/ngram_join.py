@@ -44,7 +44,8 @@ from .hashing import IS_SPACE, LOWER, mix, window_hashes, word_hashes
 
 LEVELS = 6
 VERIFY_COST = 40.0
-BLOCK = 2048
+#: Longer posting lists are never gathered.
+BLOCK = 512
 
 
 def needed(n: np.ndarray | int, num: int, den: int):

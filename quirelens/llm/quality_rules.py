@@ -3,11 +3,15 @@
 Each text's histogram of character classes and its histogram of common words are compared with the
 references of its language by Jensen-Shannon distance (base 2).  References are sums over all texts
 of the language that pass the base rules; languages without a word list share one pooled reference.
-Texts under a minimum length are not judged by divergence.  One scan computes counts per text, in
-the row, without a shuffle; the second step reads the thin table of counts.
+So a verdict depends on the corpus.  A language whose reference has under `min_reference` words says
+nothing of its texts, least of all of those it is made of: their characters are compared with the sum
+over all languages, their words not at all.  Texts under a minimum length are not judged by divergence.
+One scan computes counts per text, in the row, without a shuffle; the second step reads the thin table
+of counts.
 
 Null and empty texts: no words, base_failed.  Repeated rows: each row is returned.  Null languages:
 pooled reference.  Ties need no rule.  Very long texts: all work is linear or n log n in the words.
+An empty table: no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -78,11 +82,11 @@ def text_counts(docs: DataFrame) -> DataFrame:
 
 
 def references(counts: DataFrame) -> DataFrame:
-    """Sums over all texts by language (five rows at most): lang, ref_chars, ref_common."""
+    """Sums over all texts by language (five rows at most): lang, ref_words, ref_chars, ref_common."""
     widths = {"chars": len(CLASSES), "common": 1 + max(len(_words(k)) for k in [*COMMON_WORDS, POOLED])}
     sums = [F.sum(F.coalesce(F.get(c, F.lit(i)), F.lit(0))).alias(f"{c}{i}") for c, w in widths.items() for i in range(w)]
-    per = counts.filter(~F.col("base_failed")).groupBy("lang").agg(*sums)
-    return per.select("lang", *[F.array(*[F.col(f"{c}{i}") for i in range(w)]).alias(f"ref_{c}") for c, w in widths.items()])
+    per = counts.filter(~F.col("base_failed")).groupBy("lang").agg(*sums, F.sum("n_words").alias("ref_words"))
+    return per.select("lang", "ref_words", *[F.array(*[F.col(f"{c}{i}") for i in range(w)]).alias(f"ref_{c}") for c, w in widths.items()])
 
 
 def js_distance(p: str, q: str) -> Column:
@@ -102,12 +106,17 @@ def js_distance(p: str, q: str) -> Column:
     return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(sum_ / 2, F.lit(0.0))))
 
 
-def judge(docs: DataFrame, min_words: int = 60, max_chars: tuple[float, float] = (0.15, 0.5), max_common: tuple[float, float] = (0.1, 2.0)) -> DataFrame:
+def judge(docs: DataFrame, min_words: int = 60, min_reference: int = 2_000, max_chars: tuple[float, float] = (0.15, 0.5), max_common: tuple[float, float] = (0.1, 2.0)) -> DataFrame:
     """Limits are a + b / sqrt(n_words): the distance of a sample from its own source falls like that.
 
     One row per row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, js_chars, js_common."""
     counts = materialize(text_counts(docs), "counts")
-    rows = counts.join(F.broadcast(references(counts)), "lang", "left")
+    by_lang = references(counts)
+    enough = F.col("ref_words") >= min_reference
+    every = by_lang.agg(F.array(*[F.sum(F.col("ref_chars")[i]) for i in range(len(CLASSES))]).alias("all_chars"))
+    refs = by_lang.crossJoin(every)  # five rows at most, and one
+    refs = refs.select("lang", F.when(enough, F.col("ref_chars")).otherwise(F.col("all_chars")).alias("ref_chars"), F.when(enough, F.col("ref_common")).alias("ref_common"))
+    rows = counts.join(F.broadcast(refs), "lang", "left")
     for c in ("chars", "common", "ref_chars", "ref_common"):
         rows = rows.withColumn(f"_n_{c}", F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x).cast("double"))
     rows = rows.withColumn("js_chars", js_distance("chars", "ref_chars")).withColumn("js_common", js_distance("common", "ref_common"))

@@ -1,16 +1,21 @@
 """Toxicity by a classifier chain of linear models.
 
-Categories are predicted in order, each by a logistic model over the text's terms and the
-probabilities of the categories before it.  For fitting, those probabilities are out-of-fold, so
-later models see earlier ones as they will be at scoring time.  The labels know one category
-(toxic); two weak ones are derived from it on the sample and come first: `abuse` (a labelled text
-with a term of the learned list) and `severe` (with at least one such term in forty words).
-
-Terms are whole words and five-letter stems, chosen on the sample by how far their document
-frequencies differ between labelled texts.  Scoring is one pass over whole texts, no shuffle.
-
-Null and empty texts: no terms; their probabilities are those of an empty text, never toxic.
-Repeated rows: each is returned.  No usable labels, or of one class alone: all probabilities are 0.
+Categories are predicted in order, each by a logistic model that is also given the probabilities of
+the categories before it.  The labels know one category (toxic), so two others are made from it and
+from the words that it sets apart, and come first: `abuse` (a toxic text with a listed word) and
+`severe` (with at least one in forty words).  They are predicted from the beginnings of words alone,
+so that they speak of words that no list has yet; the last model sees listed words, beginnings, and
+what the two have said.  For fitting, what they say is out-of-fold, and so are the lists: words and
+beginnings are chosen anew from the other folds, so that a later model meets earlier ones as they
+will be at scoring time.
+
+Words are chosen by how far their document frequencies differ between labelled texts.  Scoring is
+one pass over whole texts, no shuffle.
+
+Null and empty texts: no words; their probabilities are those of an empty text, never toxic.  Very
+long texts: read whole, in memory of their words.  Repeated rows: each is returned.  Ties among words
+to choose: by spelling.  No usable labels, or of one class alone: all probabilities are 0.  An empty
+table: no rows.  Extra columns: ignored by `score`, kept by `drop_toxic`, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,13 +35,10 @@ from .labelled import sample
 
 CATEGORIES = ("abuse", "severe", "toxic")
 _WORDS = re.compile(r"[^\W\d_]+")
-STEM = 5
-
-
-def terms_of(text: str) -> list[str]:
-    """Words, and stems (with a dash) of longer words, in order."""
-    words = _WORDS.findall(text.lower())
-    return words + [w[:STEM] + "-" for w in words if len(w) > STEM]
+#: Lengths of beginnings.
+STARTS = (3, 4, 5)
+LEAST_DOCS = 3
+MOST = 300
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -59,70 +61,125 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25)
     return w
 
 
-def choose_terms(texts: list[str], y: np.ndarray, most: int = 300, least_docs: int = 3) -> list[str]:
-    """Terms found far more often in texts of class 1, by smoothed log odds over its standard error."""
-    pos, neg = Counter(), Counter()
-    for t, label in zip(texts, y, strict=True):
-        (pos if label else neg).update(set(terms_of(t)))
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    out = []
-    for t, k in pos.items():
-        if k >= least_docs:
-            odds = np.log((k + 0.5) / (n1 + 1)) - np.log((neg[t] + 0.5) / (n0 + 1))
-            score = odds / np.sqrt(1 / (k + 0.5) + 1 / (neg[t] + 0.5))
-            if odds > 2.0 and score > 2.0:
-                out.append((-score, t))
-    return [t for _, t in sorted(out)[:most]]
+def predict_one(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return sigmoid(x @ w[:-1] + w[-1])
+
+
+def words_of(text: str | None) -> list[str]:
+    return _WORDS.findall((text or "").lower())
+
+
+def starts_of(words: set[str]) -> set[str]:
+    """Beginnings (with a dash) of words that are longer."""
+    return {w[:k] + "-" for w in words for k in STARTS if len(w) > k}
+
+
+class Table:
+    """Which of some words, and of some beginnings, labelled texts have, and how often they have a word.
+
+    Only what LEAST_DOCS toxic texts have can be chosen; nothing else is kept."""
+
+    def __init__(self, texts: list[str], toxic: np.ndarray) -> None:
+        often: list[Counter] = [Counter(), Counter()]
+        for t, y in zip(texts, toxic, strict=True):
+            if y:
+                own = set(words_of(t))
+                often[0].update(own)
+                often[1].update(starts_of(own))
+        self.names = [sorted(k for k, n in c.items() if n >= LEAST_DOCS) for c in often]
+        at = [{t: i for i, t in enumerate(n)} for n in self.names]
+        cells: list[list] = [[], []]
+        self.words = np.zeros(len(texts))
+        for i, t in enumerate(texts):
+            words = words_of(t)
+            self.words[i] = len(words)
+            found = Counter(at[0][w] for w in words if w in at[0])
+            cells[0].append((i, np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found))))
+            own = np.array(sorted(at[1][s] for s in starts_of(set(words)) if s in at[1]), dtype=np.int64)
+            cells[1].append((i, own, np.ones(len(own), np.int64)))
+        join = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
+        self.cells = [(join([np.full(len(c), i) for i, c, _ in v]), join([c for _, c, _ in v]), join([k for _, _, k in v])) for v in cells]
+
+    def choose(self, kind: int, rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """At most MOST columns found far more often in toxic ones of `rows` (a mask), by smoothed log odds over their standard error."""
+        row, col, _ = self.cells[kind]
+        size = len(self.names[kind])
+        own = rows[row]
+        pos, neg = (np.bincount(col[own & (toxic[row] == y)], minlength=size) for y in (1, 0))
+        n1, n0 = max(1, int((rows & (toxic == 1)).sum())), max(1, int((rows & (toxic == 0)).sum()))
+        odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
+        score = odds / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+        good = np.flatnonzero((pos >= LEAST_DOCS) & (odds > 2.0) & (score > 2.0))
+        return good[np.lexsort((good, -score[good]))][:MOST]
+
+    def dense(self, kind: int, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Presence of the columns in every text, and how often each text has one of them."""
+        row, col, k = self.cells[kind]
+        place = np.full(len(self.names[kind]) + 1, -1)
+        place[columns] = np.arange(len(columns))
+        at = place[col]
+        out = np.zeros((len(self.words), len(columns)))
+        out[row[at >= 0], at[at >= 0]] = 1
+        return out, np.bincount(row[at >= 0], weights=k[at >= 0], minlength=len(self.words))
+
+
+def density(n: np.ndarray, present: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Log count of listed words, their share (1: one in twenty), log number of different ones."""
+    return np.stack([np.log1p(n), np.minimum(1.0, 20 * n / np.maximum(20, words)), np.log1p(present.sum(axis=1))], axis=1)
 
 
 class Chain:
-    """Terms, and one weight vector per category."""
+    """Listed words and beginnings, and one weight vector per category."""
 
-    def __init__(self, terms: list[str], weights: list[np.ndarray]) -> None:
-        self.index = {t: i for i, t in enumerate(terms)}
+    def __init__(self, words: list[str], starts: list[str], weights: list[np.ndarray]) -> None:
+        self.words, self.starts = ({t: i for i, t in enumerate(v)} for v in (words, starts))
+        self.heads = {t[: STARTS[0]] for t in starts}
         self.weights = weights
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """Presence of each term; then log count, density and share of distinct terms."""
-        x = np.zeros((len(texts), len(self.index) + 3))
-        index = self.index
+    def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Listed words with their density; beginnings; how many listed words a text has."""
+        x, s = np.zeros((len(texts), len(self.words))), np.zeros((len(texts), len(self.starts)))
+        n, size = np.zeros(len(texts)), np.zeros(len(texts))
         for i, text in enumerate(texts):
-            words = _WORDS.findall((text or "").lower())
-            hits = [index[w] for w in words if w in index]
-            whole = len(hits)
-            stems = [index[s] for s in (w[:STEM] + "-" for w in words if len(w) > STEM) if s in index]
-            found = set(hits) | set(stems)
-            n = max(whole, len(stems))
-            x[i, list(found)] = 1
-            x[i, -3:] = np.log1p(n), min(1.0, 20 * n / max(20, len(words))), np.log1p(len(found))
-        return x
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
+            words = words_of(text)
+            size[i] = len(words)
+            hits = [self.words[w] for w in words if w in self.words]
+            n[i] = len(hits)
+            x[i, hits] = 1
+            likely = {w for w in words if w[: STARTS[0]] in self.heads}
+            s[i, [self.starts[b] for b in starts_of(likely) if b in self.starts]] = 1
+        return np.hstack([x, density(n, x, size)]), s, n
+
+    def predict(self, x: np.ndarray, s: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), len(CATEGORIES)))
         for k, w in enumerate(self.weights):
-            out[:, k] = sigmoid(np.hstack([x, out[:, :k]]) @ w[:-1] + w[-1])
+            out[:, k] = predict_one(np.hstack([s, out[:, :k]] if k < 2 else [x, s, out[:, :k]]), w)
         return out
 
 
 def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
+    """Texts must come in an order that their labels do not know: folds are taken in turn."""
     if not len(toxic) or toxic.min() == toxic.max():
-        return Chain([], [])
-    chain = Chain(choose_terms(texts, toxic), [])
-    x = chain.features(texts)
-    parts = np.arange(len(texts)) % folds
-    n = np.expm1(x[:, -3])
-    dense = x[:, -2] >= 0.5
-    y = np.stack([toxic * (n > 0), toxic * dense, toxic], axis=1).astype(float)
-    held = np.zeros((len(texts), 0))
-    for k in range(len(CATEGORIES)):
-        now = np.hstack([x, held])
+        return Chain([], [], [])
+    table = Table(texts, toxic)
+    every = np.ones(len(texts), dtype=bool)
+    words, starts = table.choose(0, every, toxic), table.choose(1, every, toxic)
+    x, n = table.dense(0, words)
+    x = np.hstack([x, density(n, x, table.words)])
+    s = table.dense(1, starts)[0]
+    y = np.stack([toxic * (n > 0), toxic * (x[:, -2] >= 0.5), toxic], axis=1).astype(float)
+    part = np.arange(len(texts)) % folds
+    views = [table.dense(1, table.choose(1, part != f, toxic))[0] for f in range(folds)]
+    held, weights = np.zeros((len(texts), 0)), []
+    for k in range(2):
         own = np.zeros(len(texts))
         for f in range(folds):
-            w = fit_logistic(now[parts != f], y[parts != f, k])
-            own[parts == f] = sigmoid(now[parts == f] @ w[:-1] + w[-1])
-        chain.weights.append(fit_logistic(now, y[:, k]))
+            now = np.hstack([views[f], held])
+            own[part == f] = predict_one(now[part == f], fit_logistic(now[part != f], y[part != f, k]))
+        weights.append(fit_logistic(np.hstack([s, held]), y[:, k]))
         held = np.hstack([held, own[:, None]])
-    return chain
+    weights.append(fit_logistic(np.hstack([x, s, held]), y[:, 2]))
+    return Chain([table.names[0][i] for i in words], [table.names[1][i] for i in starts], weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", **bounds) -> Chain:
@@ -137,15 +194,15 @@ def _score(chain: Chain, slice_rows: int = 256):
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)
-                x = chain.features(part.column(1).to_pylist())
-                p = chain.predict(x)
-                yield record(schema, [part.column(0), np.expm1(x[:, -3]).round().astype(np.int64), *[p[:, k] for k in range(len(CATEGORIES))]])
+                x, s, n = chain.features(part.column(1).to_pylist())
+                p = chain.predict(x, s)
+                yield record(schema, [part.column(0), n.astype(np.int64), *[p[:, k] for k in range(len(CATEGORIES))]])
 
     return run, "doc_id long, n_terms long, " + ", ".join(f"p_{c} double" for c in CATEGORIES)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
-    """One row per row of docs: doc_id, n_terms, p_abuse, p_severe, p_toxic, toxic."""
+    """One row per row of docs: doc_id, n_terms (listed words), p_abuse, p_severe, p_toxic, toxic."""
     fn, kind = _score(chain)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(fn, kind).withColumn("toxic", F.col("p_toxic") >= threshold)
 
@@ -154,6 +211,7 @@ def drop_toxic(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFra
     """Rows of docs that are not predicted toxic; all columns.  Judged in the row: no shuffle."""
     @F.pandas_udf("double")
     def p_toxic(text: pd.Series) -> pd.Series:
-        return pd.Series(np.concatenate([chain.predict(chain.features(list(text.iloc[a : a + 256])))[:, -1] for a in range(0, len(text), 256)]) if len(text) else [], dtype=float)
+        parts = [chain.predict(*chain.features(list(text.iloc[a : a + 256]))[:2])[:, -1] for a in range(0, len(text), 256)]
+        return pd.Series(np.concatenate(parts) if parts else [], dtype=float)
 
     return docs.filter(p_toxic(F.col("text")) < threshold)

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import tracemalloc
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -61,8 +63,8 @@ def lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
 
 
-@pytest.mark.parametrize("block_rows", [200_000, 3])
-def test_decontamination(spark, docs, none, texts, block_rows):
+@pytest.mark.parametrize(("table_rows", "hash_rows"), [(200_000, 4_000_000), (3, 4_000_000), (3, 20)])
+def test_decontamination(spark, docs, none, texts, table_rows, hash_rows):
     find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
     items = [(1, texts[-1]), (10, "The  OF"), (2, None), (3, ""), (4, texts[10][:200]), (5, texts[-1]), (6, "never said here at all")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -82,12 +84,29 @@ def test_decontamination(spark, docs, none, texts, block_rows):
                     hit.update(range(a, a + n))
                     own |= found
         want[(r["doc_id"], len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit))] += 1
-    got = decontaminate.contamination(docs, bench, block_rows=block_rows).drop("th")
+    got = decontaminate.contamination(docs, bench, table_rows=table_rows, hash_rows=hash_rows).drop("th")
     assert Counter(tuple(r) for r in got.collect()) == want
-    kept = decontaminate.drop_contaminated(docs, bench)
-    assert kept.columns == docs.columns and kept.count() == sum(n for k, n in want.items() if not k[-1])
+    clash = clashing(docs)
+    kept = decontaminate.drop_contaminated(clash, bench, table_rows=table_rows, hash_rows=hash_rows)
+    assert kept.columns == clash.columns and same_extras(kept, clash) and kept.count() == sum(n for k, n in want.items() if not k[-1])
     assert decontaminate.contamination(none, bench).count() == 0
     assert not decontaminate.contamination(docs, bench.limit(0)).filter("contaminated").count()
+    assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_decontamination_holds_one_table_at_a_time(spark, docs, monkeypatch):
+    """A large benchmark's hashes are sent block by block: every written pass has one broadcast, the last join none of windows."""
+    bench = spark.createDataFrame([(i, " ".join(f"b{i}w{k}" for k in range(30))) for i in range(20)], "item_id long, text string")
+    plans, true = [], decontaminate.materialize
+
+    def kept(df, name, *more):
+        if name == "near":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return true(df, name, *more)
+
+    monkeypatch.setattr(decontaminate, "materialize", kept)
+    decontaminate.contamination(docs, bench, table_rows=10, hash_rows=100).count()
+    assert len(plans) == 5 and all(p.count("BroadcastExchange") == 1 for p in plans)
 
 
 @pytest.mark.parametrize(("most", "length"), [(10_000, 200), (4, 200), (1, 200), (10_000, 123), (2, 123)])
@@ -188,7 +207,7 @@ def families(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
 
 
-@pytest.mark.parametrize("block", [2048, 8, 2])
+@pytest.mark.parametrize("block", [512, 8, 2])
 def test_ngram_join_splits_hot_lists(families, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     rows = families.collect()
@@ -228,16 +247,73 @@ def test_parities_bound_differences():
         assert apart <= len(np.setxor1d(a, b))
 
 
-def test_quality_rules(docs, none):
-    for r in quality_rules.judge(docs).join(docs.select("doc_id", "text"), "doc_id").dropDuplicates(["doc_id"]).collect():
-        t = r["text"] or ""
-        w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        c = Counter(zip(w, w[1:], w[2:], strict=False))
-        again = {k for i in range(len(w) - 2) if c[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
-        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again), len(w) < 50 or 100 * len(again) > 50 * len(w))
-        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == want
-        assert not (r["kept"] and r["base_failed"])
+def base_counts(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    c = Counter(zip(w, w[1:], w[2:], strict=False))
+    again = {k for i in range(len(w) - 2) if c[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return w, (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again), len(w) < 50 or 100 * len(again) > 50 * len(w))
+
+
+def histograms(t, w, lang):
+    upper, digit = sum(unicodedata.category(c) == "Lu" for c in t), sum(c in "0123456789" for c in t)
+    marks, symbols, space = sum(c in ".,;:!?'\"()-" for c in t), sum(c in "#*$%&|<>" for c in t), len(t) - sum(map(len, w))
+    words = Counter(x.rstrip(".,;:!?").lower() for x in w)
+    common = [words[x] for x in quality_rules._words(lang)]
+    return [upper, digit, marks, symbols, space, len(t) - upper - digit - marks - symbols - space], [*common, len(w) - sum(common)]
+
+
+def distance(p, q):
+    if not sum(p) or not sum(q):
+        return None
+    p, q = np.array(p) / sum(p), np.array(q) / sum(q)
+    m = (p + q) / 2
+    part = lambda x: sum(a * np.log2(a / b) for a, b in zip(x, m, strict=True) if a > 0)
+    return float(np.sqrt(max(0.0, (part(p) + part(q)) / 2)))
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Plain texts of three languages (one of them rare) and texts of other characters and words."""
+    random.seed(8)
+    words = {"en": "the of and to in is that it was house garden water".split(), "de": "der die und in den von zu haus wasser garten".split(), "fr": ["de", "la", "le"]}
+    say = lambda lang, n: " ".join(random.choice(words[lang]) + random.choice(["", "", str(random.randrange(500)), ","]) for _ in range(n))
+    rows = [(i, say("en", 150), "en") for i in range(60)] + [(100 + i, say("de", 150), "de") for i in range(60)] + [(200, say("fr", 90), "fr"), (201, say("en", 200).upper(), "en"), (202, say("en", 200), "de")]
+    rows += [(203, " ".join(f"{random.randrange(10**6)}" for _ in range(300)), "en"), (204, say("en", 80), None), (205, say("en", 55), "en"), (206, None, "en"), (207, "", None), (208, say("en", 9000), "en"), (208, "twice " + say("en", 70), "en")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+
+
+@pytest.mark.parametrize("least", [2_000, 500_000])
+def test_quality_rules(odd_docs, docs, none, least):
+    """Base counts, both distances, references and verdicts by brute force."""
+    own = [(r["doc_id"], r["text"] or "", r["lang"] if r["lang"] in quality_rules.COMMON_WORDS else quality_rules.POOLED) for r in odd_docs.collect()]
+    seen = [(i, *base_counts(t), *histograms(t, base_counts(t)[0], lang), lang) for i, t, lang in own]
+    refs = {}
+    for _, _, base, chars, common, lang in seen:
+        if not base[-1]:
+            r = refs.setdefault(lang, [0, np.zeros(len(chars)), np.zeros(len(common))])
+            r[0] += base[0]
+            r[1] += chars
+            r[2] += common
+    every = sum(r[1] for r in refs.values())
+    want = {}
+    for i, _, base, chars, common, lang in seen:
+        ref = refs.get(lang)
+        large = ref and ref[0] >= least
+        js = (distance(chars, ref[1] if large else every) if ref else None, distance(common, ref[2]) if large else None)
+        room = [a + b / max(1, base[0]) ** 0.5 for a, b in ((0.15, 0.5), (0.1, 2.0))]
+        kept = not base[-1] and (base[0] < 60 or all((d or 0) <= x for d, x in zip(js, room, strict=True)))
+        want[i, base[0]] = (*base, kept, *[None if d is None else round(d, 9) for d in js])
+    got = quality_rules.judge(odd_docs, min_reference=least).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert (*tuple(r)[1:8], *[None if d is None else round(d, 9) for d in tuple(r)[8:]]) == want[r["doc_id"], r["n_words"]]
+    if least == 2_000:
+        kept = {r["doc_id"]: r["kept"] for r in got}
+        assert not any(kept[i] for i in (201, 202, 203, 206, 207)) and all(kept[i] for i in [*range(60), *range(100, 160), 204, 205])
+        assert not {"fr"} & {k for k, r in refs.items() if r[0] >= least}
+    for r in quality_rules.judge(clashing(docs)).join(docs.select("doc_id", "text"), "doc_id").dropDuplicates(["doc_id"]).collect():
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == base_counts(r["text"] or "")[1]
     assert quality_rules.judge(docs).count() == docs.count() and quality_rules.judge(none).count() == 0
 
 
@@ -305,6 +381,63 @@ def test_html_text_keeps_all_containers(page, text):
     assert html_text.main_text(page) == text
 
 
+PAGES = [
+    f"<body><nav><a href=x>Menu</a> and more text here.</nav><div class=ad>Buy, now.</div><article><h1>T</h1>{f'<p>{LONG}</p>' * 3}<p>Short.</p></article><footer>Made, here.</footer></body>",
+    f"<body><div>Site name</div><div><h2>Part</h2>{f'<p>{LONG} <b>bold, too</b></p>' * 4}<ul><li>One, item.<li>Two</ul></div><div>Tiny</div></body>",
+    f"<div><span>a</span><div><p>{LONG}<p>{LONG}</div><table><tr><td>1, 2<td>3</table></div><ul><li><a href=y>other</a></ul>",
+]
+
+
+def test_html_text_ratios_by_brute_force():
+    """Ratios by whole path strings, smoothing and fusion written out."""
+    for page in PAGES:
+        _, texts = html_text.parse(page)
+
+        def whole(n):
+            return (whole(n.parent) if n.parent else ()) + (n.key,)
+
+        per = defaultdict(list)
+        for n, t, _ in texts:
+            if t.strip():
+                per[whole(n)].append((len(t.strip()) * (0.2 if "a" in whole(n) else 1), sum(c in ".,;:!?" for c in t)))
+        raw = [tuple(sum(x[k] for x in per[whole(n)]) / len(per[whole(n)]) for k in (0, 1)) if per.get(whole(n)) else (0, 0) for n, _, _ in texts]
+        assert np.allclose(html_text.path_ratios(texts), raw)
+        want = []
+        for i, (n, _, _) in enumerate(texts):
+            near = [(2.0 ** -abs(i - k), raw[k] if not texts[k][0].out else (0, 0)) for k in range(len(texts)) if abs(i - k) <= 2]
+            size, marks = (sum(w * r[j] for w, r in near) / sum(w for w, _ in near) for j in (0, 1))
+            factor = 0 if n.out else 20 if {"article", "main"} & {x.split(".")[0] for x in whole(n)} else 1
+            want.append((factor * size * (1 + marks), factor * raw[i][0] * (1 + raw[i][1])))
+        assert np.allclose(html_text.path_scores(texts, raw), want)
+
+
+def test_html_text_is_decided_by_scores(monkeypatch):
+    """Constant scores change the text of pages with and without an article; so does turning them round."""
+    want = [html_text.main_text(p) for p in PAGES]
+    assert want[0] == f"T {' '.join([LONG] * 3)} Short." and "Site" not in want[1] and "Tiny" not in want[1] and want[1].startswith("Part") and "Two" in want[1]
+    true = html_text.path_scores
+    for other in (lambda t, r: [(1.0, 1.0)] * len(t), lambda t, r: [(1 / (1 + a), 1 / (1 + b)) for a, b in true(t, r)]):
+        monkeypatch.setattr(html_text, "path_scores", other)
+        assert [html_text.main_text(p) != w for p, w in zip(PAGES[:2], want, strict=False)] == [True, True]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40_000 + "deep text, here." + "</div>" * 20_000 + "<p>x", "<b>" * 40_000 + "<p>word, more." * 5000, "<p>" + "<i>a" * 50_000, "<table>" + "<tr><td>x, y" * 20_000, "<p>" + "word, and more; " * 60_000])
+def test_html_text_of_deep_and_long_pages(page):
+    tracemalloc.start()
+    text = html_text.main_text(page)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text and most < 300 * len(page)
+
+
+def test_html_text_table(spark):
+    rows = [(1, "u", PAGES[0], "clash"), (2, None, None, "clash"), (None, "v", "", None), (1, "u", PAGES[0], "clash")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("n_chars", F.lit("clash"))
+    got = html_text.extract(pages).collect()
+    assert Counter(tuple(r) for r in got) == Counter((i, u, html_text.main_text(h), len(html_text.main_text(h))) for i, u, h, _ in rows)
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_packing(spark, docs, none):
     random.seed(2)
     for _ in range(100):
@@ -404,7 +537,9 @@ def test_classifiers(spark, docs, none):
     seen = toxicity.score(all_docs, chain).withColumnRenamed("toxic", "said").join(labels, "doc_id").toPandas()
     assert (seen["said"] == (seen["toxic"] == 1)).mean() > 0.95
     assert not toxicity.score(docs, chain).filter("toxic and n_terms = 0").count()
-    assert toxicity.drop_toxic(docs, chain).columns == docs.columns
+    clash = clashing(docs)
+    kept = toxicity.drop_toxic(clash, chain)
+    assert kept.columns == clash.columns and same_extras(kept, clash)
     assert toxicity.score(none, chain).count() == 0 and toxicity.drop_toxic(none, chain).count() == 0
     assert toxicity.score(docs, toxicity.fit_chain([], np.array([], dtype=int))).filter("toxic").count() == 0
     forest = quality_model.train(all_docs, labels)
@@ -415,6 +550,82 @@ def test_classifiers(spark, docs, none):
     assert quality_model.score(none, forest).count() == 0
 
 
+@pytest.fixture(scope="module")
+def labelled_texts():
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (pq.read_table(f"{sf}/{t}.parquet").to_pandas() for t in ("documents", "labels"))
+    rows = docs.merge(labels, on="doc_id").sample(frac=1, random_state=1)
+    return list(rows["text"]), rows["toxic"].to_numpy()
+
+
+def test_toxicity_chain_gains(labelled_texts):
+    """On held-out texts the chain is better than one model of the same features, and finds most toxic ones."""
+    texts, toxic = labelled_texts
+    half = len(texts) // 2
+    chain = toxicity.fit_chain(texts[:half], toxic[:half])
+    x, s, n = chain.features(texts[:half])
+    one = toxicity.fit_logistic(np.hstack([x, s]), toxic[:half])
+    zx, zs, _ = chain.features(texts[half:])
+    y = toxic[half:]
+    loss = lambda p: -np.mean(np.log(np.clip(np.where(y == 1, p, 1 - p), 1e-6, 1)))
+    with_chain, without = chain.predict(zx, zs), toxicity.predict_one(np.hstack([zx, zs]), one)
+    assert loss(with_chain[:, 2]) < loss(without)
+    found = [(p >= 0.5)[y == 1].mean() for p in (with_chain[:, 2], without)]
+    assert ((with_chain[:, 2] >= 0.5) == y).mean() > 0.98 and found[0] >= found[1] and found[0] > 0.87
+    assert np.abs(chain.weights[2][-3:-1]).max() > 0.1  # earlier categories count
+    assert len(chain.weights[1]) == len(chain.weights[0]) + 1 and not np.allclose(with_chain[:, 0], with_chain[:, 2])
+
+
+def test_toxicity_lists_come_from_the_other_folds():
+    """A word that only one fold's toxic texts have is not chosen for that fold's out-of-fold predictions."""
+    toxic = np.array([1, 0] * 40)
+    texts = [f"plain words here {'vile' if y else 'kind'} {'onlyhere' if y and i % 10 == 0 else ''}" for i, y in enumerate(toxic)]
+    table = toxicity.Table(texts, toxic)
+    part = np.arange(len(texts)) % 5
+    chosen = lambda rows: {table.names[0][i] for i in table.choose(0, rows, toxic)}
+    assert chosen(np.ones(len(texts), bool)) == {"vile", "onlyhere"} and chosen(part != 0) == {"vile"}
+    x, n = table.dense(0, table.choose(0, part != 0, toxic))
+    assert x.sum() == n.sum() == 40
+
+
+def exhaustive_split(x, g, h, least, l2):
+    """Best gain over every feature and every threshold between two values."""
+    best = (1e-3, -1, 0.0)
+    for j in range(x.shape[1]):
+        for cut in np.unique(x[:, j])[:-1]:
+            go = x[:, j] <= cut
+            if least <= go.sum() <= len(x) - least:
+                gain = sum(g[m].sum() ** 2 / (h[m].sum() + l2) for m in (go, ~go)) - g.sum() ** 2 / (h.sum() + l2)
+                if gain > best[0] + 1e-12:
+                    best = (gain, j, cut)
+    return best
+
+
+def test_forest_splits_and_walk():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 12, (300, 4)).astype(float)  # fewer values than bins: histograms see every threshold
+    y = ((x[:, 1] > 6) ^ (rng.random(300) < 0.15)).astype(float)
+    forest = quality_model.fit_forest(x, y, trees=25, depth=3, least=10)
+    p = 1 / (1 + np.exp(-forest.base))
+    gain, j, cut = exhaustive_split(x, p - y, np.full(300, p * (1 - p)), 10, 2.0)
+    root = forest.roots[0]
+    assert forest.feature[root] == j and np.array_equal(x[:, j] <= forest.threshold[root], x[:, j] <= cut)
+
+    def walk(at, row):
+        if forest.feature[at] < 0:
+            return forest.value[at]
+        return walk(forest.left[at] if row[forest.feature[at]] <= forest.threshold[at] else forest.right[at], row)
+
+    new = np.vstack([rng.normal(6, 5, (200, 4)), x[:50], np.full((1, 4), np.nan)])
+    want = [1 / (1 + np.exp(-(forest.base + sum(walk(r, row) for r in forest.roots)))) for row in new]
+    assert np.allclose(forest.predict(new), want) and len(forest.predict(new[:0])) == 0
+    assert np.allclose(quality_model.fit_forest(x, np.ones(300)).predict(new), 0.999) and quality_model.fit_forest(x[:0], y[:0]).predict(new)[0] == 0.5
+    assert quality_model.statistics(None) == quality_model.statistics("") == [0.0] * len(quality_model.STATISTICS)
+    assert all(np.isfinite(quality_model.statistics("word " * 300_000)))
+
+
 def test_samples_draw_long_texts(spark):
     docs = spark.createDataFrame([(i, "ab " * (10_000 if i % 3 == 0 else 5)) for i in range(30)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
