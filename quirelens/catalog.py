@@ -5,6 +5,7 @@ Every query runs its operator over whole tables; limits stand only where a top-k
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,17 @@ from .operators import elements as E
 from .operators import features as S
 from .operators import incremental as I
 from .operators import layout as L
+from .operators import plugins as P
 from .operators import sampling as Q
 from .operators import sinks as K
 from .operators.stressors import sampling_stressors, signature
-from .plans.tables import ANN, BOXES, ELEMENTS, SAMPLED, STRESSED, TAG_VALUES, annotations, boxes, read, table_elements
+from .plans.pipeline import Pipeline
+from .plans.tables import ANN, BOXES, ELEMENTS, SAMPLED, STRESSED, TAG_VALUES, annotations, boxes, contents, failing, metadata, model_documents, read, scratch, table_elements
 from .schema import ANSWER_CONSTRAINTS, BEHAVIOUR_MIX, EXPECTED_TYPES
+from .sources import backends as B
+from .sources.annotations import scan
+from .sources.documents import resolve
+from .sources.files import qualified
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,23 +159,23 @@ def high_complexity_docs(spark, sf):
 
 # --- buckets, gaps, advice ---------------------------------------------------------------------
 
-_IDS = "array_to_string(list(doc_id ORDER BY ordinal), ',')"
 _BUCKET = "array_to_string(list_sort(list_filter(['layout=' || coalesce(layout, 'single'), CASE WHEN has_table THEN 'has_table' END, CASE WHEN has_chart THEN 'has_chart' END, CASE WHEN has_image THEN 'has_image' END, CASE WHEN cross_page_table THEN 'cross_page_table' END, CASE WHEN long_table THEN 'long_table' END], lambda x: x IS NOT NULL)), ' | ')"
 _SPARSE = f"sp AS (SELECT 'file_type=' || file_type AS bucket, count(*) AS n FROM ann GROUP BY 1 HAVING count(*) < 3 UNION ALL SELECT 'pdf/' || b AS bucket, count(*) AS n FROM (SELECT {_BUCKET} AS b FROM ann WHERE file_type = 'pdf') GROUP BY 1 HAVING count(*) < 3)"
 
 
-def _ids(df: DataFrame) -> DataFrame:
-    return df.withColumn("doc_ids", F.array_join("doc_ids", ","))
-
-
-@query(f"WITH {ANN} SELECT file_type, count(*) AS n, min(ordinal) AS first_ordinal, {_IDS} AS doc_ids FROM ann GROUP BY 1")
+@query(f"WITH {ANN} SELECT file_type, count(*) AS n, min(ordinal) AS first_ordinal FROM ann GROUP BY 1")
 def bucket_level1(spark, sf):
-    return _ids(A.bucket_level1(annotations(spark, sf)))
+    return A.bucket_level1(annotations(spark, sf))
 
 
-@query(f"WITH {ANN} SELECT bucket, count(*) AS n, min(ordinal) AS first_ordinal, {_IDS} AS doc_ids FROM (SELECT *, {_BUCKET} AS bucket FROM ann WHERE file_type = 'pdf') GROUP BY 1")
+@query(f"WITH {ANN} SELECT bucket, count(*) AS n, min(ordinal) AS first_ordinal FROM (SELECT *, {_BUCKET} AS bucket FROM ann WHERE file_type = 'pdf') GROUP BY 1")
 def bucket_level2_pdf(spark, sf):
-    return _ids(A.bucket_level2(annotations(spark, sf)))
+    return A.bucket_level2(annotations(spark, sf))
+
+
+@query(f"WITH {ANN} SELECT 1 AS level, file_type AS bucket, ordinal, doc_id FROM ann UNION ALL SELECT 2, {_BUCKET}, ordinal, doc_id FROM ann WHERE file_type = 'pdf'")
+def bucket_members(spark, sf):
+    return A.bucket_members(annotations(spark, sf))
 
 
 @query(f"WITH {ANN}, {_SPARSE} SELECT bucket, n, 3 AS threshold FROM sp")
@@ -194,9 +201,10 @@ def gap_report(spark, sf):
     return A.gap_report(annotations(spark, sf))
 
 
-@query(f"WITH {ANN} SELECT folder AS file_type, count(*) AS n FROM ann GROUP BY 1 HAVING count(*) < 50")
+@query(f"WITH {SAMPLED} SELECT file_type || '|' || sig AS file_type, count(*) AS n FROM gs GROUP BY 1 HAVING count(*) < 5")
 def needs_replacement(spark, sf):
-    return A.needs_replacement(annotations(spark, sf).withColumn("file_type", F.col("folder")), 50)
+    rows = annotations(spark, sf)
+    return A.needs_replacement(rows.withColumn("file_type", F.concat_ws("|", "file_type", signature(sampling_stressors()))))
 
 
 @query(f"""WITH {STRESSED}, {_SPARSE}, p AS (SELECT file_type, count(*) AS n, min(ordinal) AS o FROM ann GROUP BY 1),
@@ -253,6 +261,11 @@ def cross_page_tables(spark, sf):
     return S.cross_page_charts(table_elements(spark, sf))
 
 
+@query("WITH p AS (SELECT DISTINCT l_orderkey AS doc_id, l_linenumber AS page FROM lineitem WHERE l_linestatus = 'O'), r AS (SELECT doc_id, page - row_number() OVER (PARTITION BY doc_id ORDER BY page) AS g FROM p), c AS (SELECT doc_id, g, count(*) AS n FROM r GROUP BY 1, 2) SELECT doc_id, max(n) >= 2 AS cross_page_chart FROM c GROUP BY 1")
+def cross_page_charts(spark, sf):
+    return S.cross_page_charts(boxes(spark, sf, "O"))
+
+
 @query(f"WITH {ELEMENTS} SELECT doc_id, bool_or(cols > 10 OR rows > 100 OR (cols >= 7 AND rows > 20)) AS has_complex_table FROM el GROUP BY 1")
 def complex_tables(spark, sf):
     return S.complex_tables(table_elements(spark, sf))
@@ -302,6 +315,7 @@ def elements_from_metadata(spark, sf):
         F.lit(2).alias("image_count"), F.lit(3).alias("table_count"), F.lit(2).alias("chart_count"),
         F.expr("sequence(0, page_count - 1)").alias("image_pages"), F.expr("sequence(0, page_count - 1)").alias("table_pages"),
         F.expr("cast(array() as array<struct<page:int,bbox:array<double>,rows:int,cols:int>>)").alias("tables_detail"),
+        F.expr("cast(array() as array<struct<index:int,page:int,bbox:array<double>>>)").alias("images_detail"),
     )
     rows = annotations(spark, sf).select("doc_id", meta.alias("metadata"))
     return E.from_metadata(rows).groupBy("doc_id", "kind", "page").agg(F.count("*").alias("n"))
@@ -371,7 +385,16 @@ def ext_type_lookup(spark, sf):
     return p.select("page_id", "name", X.file_type(F.col("name")).alias("file_type"), X.stem(F.col("name")).alias("stem"))
 
 
-@query()
+_WHITE = "' ' || " + " || ".join(f"chr({ord(c)})" for c in X.WHITE if c != " ")
+_VISIBLE = "html"
+for _p in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->"):
+    _VISIBLE = f"regexp_replace({_VISIBLE}, '{_p}', '', 'g')"
+_VISIBLE = f"regexp_replace({_VISIBLE}, '<[^>]*>', chr(10), 'g')"
+for _e, _c in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
+    _VISIBLE = f"replace({_VISIBLE}, '{_e}', {_c})"
+
+
+@query(f"SELECT page_id, array_to_string(list_filter(list_transform(string_split({_VISIBLE}, chr(10)), lambda x: trim(x, {_WHITE})), lambda x: x <> ''), chr(10)) AS text FROM pages")
 def html_text(spark, sf):
     return read(spark, sf, "pages").select("page_id", X.visible_text(F.col("html")).alias("text"))
 
@@ -482,18 +505,18 @@ def constraints_lookup(spark, sf):
     return read(spark, sf, "conversations").select("conv_id", "turn", F.array_join(c["must_mention"], "/").alias("must"), F.array_join(c["must_not_mention"], "/").alias("must_not"))
 
 
-@query(f"""WITH {ANN}, x AS (SELECT doc_id, unnest(['file_type', 'layout', 'has_image']) AS field, unnest([file_type, layout, CAST(has_image AS VARCHAR)]) AS v FROM ann WHERE doc_id % 7 <> 0),
-y AS (SELECT doc_id, unnest(['file_type', 'layout', 'has_image']) AS field, unnest([file_type, CASE WHEN doc_id % 3 = 0 THEN 'double' ELSE layout END, CAST(has_image OR doc_id % 5 = 0 AS VARCHAR)]) AS v FROM ann WHERE doc_id % 11 <> 0)
+@query(f"""WITH {ANN}, x AS (SELECT doc_id, unnest(['file_type', 'layout', 'has_image']) AS field, unnest([file_type, layout, CAST(has_image AS VARCHAR)]) AS v FROM ann WHERE has_image),
+y AS (SELECT doc_id, unnest(['file_type', 'layout', 'has_image']) AS field, unnest([file_type, CASE WHEN doc_id % 3 = 0 THEN 'double' ELSE layout END, CAST(has_image OR doc_id % 5 = 0 AS VARCHAR)]) AS v FROM ann WHERE NOT has_image OR has_table)
 SELECT coalesce(x.doc_id, y.doc_id) AS doc_id, coalesce(x.field, y.field) AS field, x.v AS a, y.v AS b, coalesce(x.v <> y.v, false) AS differs FROM x FULL OUTER JOIN y ON x.doc_id = y.doc_id AND x.field = y.field""")
 def parser_comparison(spark, sf):
-    ann = annotations(spark, sf).select("doc_id", "file_type", F.col("profile.layout").alias("layout"), F.col("profile.has_image").alias("has_image"))
+    ann = annotations(spark, sf).select("doc_id", "file_type", F.col("profile.layout").alias("layout"), F.col("profile.has_image").alias("has_image"), F.col("profile.has_image").alias("_i"), F.col("profile.has_table").alias("_t"))
     other = ann.withColumn("layout", F.when(F.col("doc_id") % 3 == 0, "double").otherwise(F.col("layout"))).withColumn("has_image", F.col("has_image") | (F.col("doc_id") % 5 == 0))
-    return I.compare(ann.filter("doc_id % 7 <> 0"), other.filter("doc_id % 11 <> 0"), "doc_id", ["file_type", "layout", "has_image"])
+    return I.compare(ann.filter("_i"), other.filter("not _i or _t"), "doc_id", ["file_type", "layout", "has_image"])
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, try_cast(json_extract_string(props, '$.page') AS BIGINT) AS page FROM events")
 def json_props_extract(spark, sf):
-    return read(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.page").try_cast("bigint").alias("page"))
+    return read(spark, sf, "events").select("event_id", X.json_field(F.col("props"), "$.k").alias("k"), X.json_field(F.col("props"), "$.page", "bigint").alias("page"))
 
 
 @query(f"{_QUESTIONS} SELECT substr(sha256(string_agg(id || '|' || query || '|' || expected_behavior || chr(10), '' ORDER BY id)), 1, 16) AS hash16 FROM qs")
@@ -505,3 +528,147 @@ def manifest_hash(spark, sf):
 @query(f"WITH {STRESSED} SELECT count(*) AS total, count(*) FILTER (k >= 1) AS success, count(*) FILTER (k < 1) AS failed FROM st")
 def run_counters(spark, sf):
     return I.run_counters(A.with_stressors(annotations(spark, sf)).withColumn("success", F.col("stressor_count") >= 1))
+
+
+# --- annotation of documents -------------------------------------------------------------------
+
+_TABLES = """CASE WHEN n % 4 = 0 THEN 2 WHEN has_table THEN least(page_count, 3) ELSE 0 END AS nt, CASE WHEN n % 4 = 0 THEN n_lines ELSE 0 END AS max_rows, CASE WHEN n % 4 = 0 THEN n_lines + 2 ELSE 0 END AS sum_rows,
+  CASE WHEN n % 4 = 0 THEN least(page_count, 2) ELSE least(page_count, 3) END AS np, CASE WHEN n % 4 = 0 THEN CASE WHEN page_count = 2 THEN 2 ELSE 1 END ELSE least(page_count, 3) END AS run"""
+_DONE = f"""{ANN}, a1 AS (SELECT *, {_TABLES} FROM ann), a2 AS (SELECT *, nt > 0 AS tables, nt > 0 AND (run >= 2 OR max_rows > 50) AS cross_page, CASE WHEN max_rows > 0 THEN greatest(1, max_rows // 50) ELSE 0 END AS single,
+  CASE WHEN sum_rows > 0 THEN greatest(1, sum_rows // 50) ELSE 0 END AS est FROM a1),
+a3 AS (SELECT *, nt > 0 AND ((np > 1 AND run >= 3) OR single >= 3) AS long_one, nt > 0 AND (np / page_count >= 0.6 OR est / page_count >= 0.6 OR np = page_count OR nt >= page_count) AS main_one, file_type IN ('pdf', 'doc', 'ppt') AS paged FROM a2),
+done AS (SELECT doc_id AS number, '/corpus/' || folder || '/' || doc_id || '/d' || (n % 50) AS file_path, 'd' || (n % 50) AS doc_id, file_type, folder, text, has_image, tables, n % 17 = 0 AS has_image_table, n % 19 = 0 AS has_complex_table, has_formula, coalesce(has_chart, false) AS has_chart, image_text_mixed,
+  CASE WHEN NOT paged THEN 'single' WHEN (cross_page OR long_one) AND (has_image OR length(trim(text, {_WHITE})) > 0) THEN 'mixed' WHEN cross_page OR long_one THEN 'double' ELSE 'single' END AS layout,
+  CASE WHEN paged AND tables THEN long_one END AS long_table, CASE WHEN paged AND tables THEN cross_page END AS cross_page_table, CASE WHEN paged AND tables THEN main_one END AS table_dominant,
+  CASE WHEN paged AND has_chart THEN false END AS cross_page_chart, nt, n, page_count FROM a3)"""
+_DONE_COLUMNS = "file_path, doc_id, file_type, layout, has_image, tables AS has_table, has_image_table, has_complex_table, has_formula, has_chart, image_text_mixed, long_table, cross_page_table, table_dominant, cross_page_chart"
+
+
+def _flat_profile(rows: DataFrame, profile: str = "doc_profile") -> DataFrame:
+    p = f"{profile}."
+    names = ("layout", "has_image", "has_table", "has_image_table", "has_complex_table", "has_formula", "has_chart", "image_text_mixed", "table_profile.long_table", "table_profile.cross_page_table", "table_profile.table_dominant", "chart_profile.cross_page_chart")
+    return rows.select("file_path", "doc_id", "file_type", *[F.col(p + n).alias(n.split(".")[-1]) for n in names])
+
+
+@query(f"WITH {_DONE} SELECT {_DONE_COLUMNS} FROM done")
+def annotate_documents(spark, sf):
+    """Many files share a stem: fifty doc_ids for all documents."""
+    return _flat_profile(L.annotate(contents(spark, sf)))
+
+
+@query(f"WITH {_DONE} SELECT {_DONE_COLUMNS} FROM done")
+def annotation_files(spark, sf):
+    """One JSON file per document, written and scanned again."""
+    at = qualified(spark, f"{scratch(spark)}/annotations")
+    rows = L.annotate(contents(spark, sf))
+    K.write_one_per_document(K.canonical(rows).withColumn("out_path", F.concat(F.lit(at), "file_path", F.lit(".json"))))
+    return _flat_profile(scan(spark, at.removeprefix("file:").replace("///", "/"), "strict"), "profile")
+
+
+@query(f"WITH {_DONE} SELECT file_path, CASE WHEN file_type = 'pdf' THEN 'single' ELSE layout END AS layout, CAST(NULL AS BOOLEAN) AS reading_order_sensitive, table_dominant FROM done")
+def annotate_with_model(spark, sf):
+    """A model without opinion: its first option is the layout of PDF files, and rules stand elsewhere."""
+    rows = L.annotate(contents(spark, sf), llm=P.mock_model)
+    return rows.select("file_path", "doc_profile.layout", "doc_profile.reading_order_sensitive", F.col("doc_profile.table_profile.table_dominant").alias("table_dominant"))
+
+
+@query(f"WITH {_DONE} SELECT count(*) FILTER (has_image) AS has_image, count(*) FILTER (tables) AS has_table, count(*) FILTER (has_image_table) AS has_image_table, count(*) FILTER (has_complex_table) AS has_complex_table, count(*) FILTER (has_formula) AS has_formula, count(*) FILTER (has_chart) AS has_chart FROM done")
+def flag_totals(spark, sf):
+    return A.flag_totals(L.annotate(contents(spark, sf)).withColumnRenamed("doc_profile", "profile"))
+
+
+@query(f"WITH {_DONE} SELECT file_path AS file, 'broken; twice' AS error FROM done WHERE n % 23 = 0")
+def failed_report(spark, sf):
+    return I.route(failing(contents(spark, sf)))[1]
+
+
+@query(f"WITH {_DONE} SELECT file_path, CASE WHEN n % 23 = 0 THEN 0 WHEN n % 3 = 0 AND n % 2 = 0 THEN 1 END AS failed_at_step, CASE WHEN n % 23 = 0 THEN 'parse' WHEN n % 3 = 0 AND n % 2 = 0 THEN 'check' END AS failed_stage FROM done")
+def failed_stages(spark, sf):
+    """The first of two stages that could not work on a row."""
+    check = lambda df: df.withColumn("success", ~(F.coalesce("metadata.has_image", F.lit(False)) & (F.length("text") % 2 == 0)))
+    return Pipeline([("parse", failing), ("check", check)]).track(contents(spark, sf)).select("file_path", "failed_at_step", "failed_stage")
+
+
+@query(f"WITH {_DONE} SELECT folder AS backend, count(*) FILTER (n % 23 <> 0) AS n_success, count(*) AS n FROM done GROUP BY 1")
+def success_totals(spark, sf):
+    return I.success_totals(failing(contents(spark, sf)), F.element_at(F.split("file_path", "/"), 3))
+
+
+@query(f"WITH {ANN} SELECT tag, {_TAG_COUNTS} FROM (SELECT * FROM {_TAGS} WHERE folder = 'src3') GROUP BY tag")
+def folder_restricted_tags(spark, sf):
+    return A.tag_distribution(I.in_folder(annotations(spark, sf), "src3"))
+
+
+_DETECTED = "dt AS (SELECT l_orderkey AS file_path, CASE WHEN l_linenumber % 2 = 0 THEN 'image' ELSE 'table' END AS kind, l_discount * 10 AS confidence FROM lineitem)"
+
+
+@query(f"""WITH {_DETECTED}, f AS (SELECT file_path, count(*) FILTER (kind = 'image') AS ni, count(*) FILTER (kind = 'table') AS nt FROM dt WHERE confidence >= 0.5 GROUP BY 1)
+SELECT o_orderkey AS file_path, CAST(CASE WHEN o_orderstatus = 'O' THEN 2 WHEN o_orderstatus = 'F' THEN coalesce(ni, 0) ELSE 0 END AS INT) AS n_image, CAST(CASE WHEN o_orderstatus = 'O' THEN 0 WHEN o_orderstatus = 'F' THEN coalesce(nt, 0) ELSE 0 END AS INT) AS n_table
+FROM orders LEFT JOIN f ON f.file_path = o_orderkey""")
+def routed_elements(spark, sf):
+    """Elements from metadata where a parser gave any, else from detectors (PDF), else none."""
+    li, o = read(spark, sf, "lineitem"), read(spark, sf, "orders")
+    kind = F.when(F.col("l_linenumber") % 2 == 0, "image").otherwise("table")
+    found = li.select(F.col("l_orderkey").alias("file_path"), kind.alias("kind"), F.col("l_linenumber").alias("ord"), F.lit(None).cast("array<double>").alias("bbox"), F.col("l_linenumber").alias("page"), (F.col("l_discount") * 10).alias("confidence"), F.lit(None).cast("int").alias("rows"), F.lit(None).cast("int").alias("cols"))
+    meta = metadata(has_image=F.lit(True), has_table=F.lit(False), image_count=F.lit(2), image_pages=F.expr("array(0, 1, 2)"))
+    rows = o.select(F.col("o_orderkey").alias("file_path"), F.when(F.col("o_orderstatus") == "P", "doc").otherwise("pdf").alias("file_type"), F.when(F.col("o_orderstatus") == "O", meta).alias("metadata"))
+    rows = E.with_elements(rows, found)
+    return rows.select("file_path", *[F.size(E.of_kind(k)).alias(f"n_{k}") for k in ("image", "table")])
+
+
+@query("""SELECT doc_id, CASE WHEN contains(lower(text), 'über') THEN 'über' WHEN contains(lower(text), 'the ') THEN 'the ' ELSE 'über' END AS label,
+  CASE WHEN contains(lower(text), 'über') OR contains(lower(text), 'the ') THEN CAST(0.7 AS DOUBLE) ELSE 0.5 END AS confidence, substr(text, 1, 100) AS reasoning FROM documents""")
+def label_fallback(spark, sf):
+    """Labels from answers that are no JSON."""
+    rows = read(spark, sf, "documents").select("doc_id", P.label_from(F.col("text"), ["über", "the "]).alias("x"))
+    return rows.select("doc_id", "x.label", "x.confidence", "x.reasoning")
+
+
+@query("SELECT event_id, event_type AS label, CAST(0.8 AS DOUBLE) AS confidence FROM events")
+def label_from_json(spark, sf):
+    """Labels from JSON answers without a confidence."""
+    said = F.to_json(F.struct(F.col("event_type").alias("label")))
+    return read(spark, sf, "events").select("event_id", P.label_from(said, ["a", "b"]).alias("x")).select("event_id", "x.label", "x.confidence")
+
+
+_PROV = "CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber + 1 ELSE l_linenumber END"
+
+
+@query(f"""SELECT l_orderkey AS doc_id, 'table' AS kind, {_PROV} AS page, CAST(CASE WHEN l_partkey % 3 = 0 THEN 5 ELSE l_quantity END AS INT) AS rows, CAST(CASE WHEN l_partkey % 3 = 0 THEN 2 ELSE l_linenumber END AS INT) AS cols FROM lineitem WHERE l_returnflag = 'A'
+UNION ALL SELECT l_orderkey, 'image', {_PROV}, NULL, NULL FROM lineitem WHERE l_returnflag = 'N'
+UNION ALL SELECT l_orderkey, 'formula', {_PROV}, NULL, NULL FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL SELECT l_orderkey, 'chart', {_PROV}, NULL, NULL FROM lineitem WHERE l_suppkey % 5 = 0""")
+def model_elements(spark, sf):
+    """Tables, pictures, equations and captioned figures of a layout model's documents."""
+    docs = model_documents(spark, sf)
+    none = F.lit(None).cast("int")
+    parts = [B.model_tables(docs).select("doc_id", F.lit("table").alias("kind"), "page", "rows", "cols")]
+    for kind, fn in (("image", B.model_images), ("formula", B.model_formulas), ("chart", B.model_charts)):
+        parts.append(fn(docs).select("doc_id", F.lit(kind).alias("kind"), "page", none.alias("rows"), none.alias("cols")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("SELECT l_orderkey AS doc_id, CAST(CASE WHEN min(l_linenumber + l_suppkey) % 2 = 0 THEN count(*) WHEN min(l_linenumber + l_suppkey) % 3 = 0 THEN 7 ELSE 1 END AS INT) AS page_count FROM lineitem GROUP BY 1")
+def model_page_counts(spark, sf):
+    return B.model_page_count(model_documents(spark, sf))
+
+
+@query(f"""WITH f AS (SELECT '/d/' || doc_id || '.pdf' AS path, CAST(doc_id AS VARCHAR) AS stem FROM documents WHERE n_chars % 4 = 0 UNION ALL SELECT '/e/' || doc_id || unnest(['.docx', '.txt']), CAST(doc_id AS VARCHAR) FROM documents WHERE n_chars % 3 = 0),
+s AS (SELECT stem, min(path) AS path FROM f GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.n_chars % 2 = 0 AND d.n_chars % 4 = 0 THEN '/d/' || d.doc_id || '.pdf' ELSE s.path END AS found FROM documents d LEFT JOIN s ON s.stem = CAST(d.doc_id AS VARCHAR)""")
+def resolved_files(spark, sf):
+    d = read(spark, sf, "documents")
+    own, n = F.col("doc_id").cast("string"), F.col("n_chars")
+    pdf = F.concat(F.lit("/d/"), own, F.lit(".pdf"))
+    files = d.filter(n % 4 == 0).select(pdf.alias("path")).unionByName(d.filter(n % 3 == 0).select(F.explode(F.array(*[F.concat(F.lit("/e/"), own, F.lit(x)) for x in (".docx", ".txt")])).alias("path")))
+    ann = d.select(own.alias("doc_id"), F.when(n % 2 == 0, pdf).alias("file_path"), F.col("doc_id").alias("number"))
+    return resolve(ann, files).select(F.col("number").alias("doc_id"), "found")
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(least(l_partkey % 50, l_suppkey % 50) AS DOUBLE) AS x0, CAST(least(l_partkey % 7, l_suppkey % 9) AS DOUBLE) AS y0, CAST(greatest(l_partkey % 50, l_suppkey % 50) AS DOUBLE) AS x1, CAST(greatest(l_partkey % 7, l_suppkey % 9) AS DOUBLE) AS y1, l_partkey % 50 + l_quantity AS right_edge FROM lineitem")
+def box_forms(spark, sf):
+    """Boxes from polygons, and from corner and size."""
+    points = F.expr("array(array(cast(l_partkey % 50 as double), cast(l_suppkey % 9 as double)), array(cast(l_suppkey % 50 as double), cast(l_partkey % 7 as double)))")
+    sized = X.sized_box(F.col("l_partkey") % 50, F.lit(0), F.col("l_quantity"), F.lit(1))
+    rows = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", X.polygon_box(points).alias("b"), sized.alias("s"))
+    return rows.select("l_orderkey", "l_linenumber", *[F.col("b")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))], F.col("s")[2].alias("right_edge"))

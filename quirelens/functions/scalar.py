@@ -147,6 +147,11 @@ def json_kind(description: str) -> str:
     return "boolean" if "bool" in d else "integer" if "int" in d else "number" if "float" in d or "num" in d else "string"
 
 
+def json_field(c: Column, path: str, kind: str = "string") -> Column:
+    """Value at a path of a JSON string; null where there is none or it is of another kind."""
+    return F.get_json_object(c, path).try_cast(kind)
+
+
 def complete(response: Column, keys: list[str]) -> Column:
     """A model's JSON object as map with all keys, null where missing or not JSON."""
     got = F.from_json(response, "map<string,string>", {"mode": "PERMISSIVE"})

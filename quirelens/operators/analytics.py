@@ -40,6 +40,14 @@ def tag_distribution(ann: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rows.withColumn("true_rate", F.try_divide(F.col("n_true").cast("double"), (F.col("n_true") + F.col("n_false")).cast("double")))
 
 
+FLAGS = ("has_image", "has_table", "has_image_table", "has_complex_table", "has_formula", "has_chart")
+
+
+def flag_totals(ann: DataFrame) -> DataFrame:
+    """One row: how many documents have each of the six flags."""
+    return ann.agg(*[F.count_if(F.coalesce(F.col(f"profile.{f}"), F.lit(False))).alias(f) for f in FLAGS])
+
+
 def layout_distribution(ann: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     named = ann.withColumn("layout", F.coalesce("profile.layout", F.lit("unknown")))
     return named.groupBy(*by, "layout").agg(_rows(), F.min("ordinal").alias("first_ordinal"))
@@ -71,22 +79,18 @@ def rare_combinations(ann: DataFrame, most: int = 2, k: int = 20) -> DataFrame:
     return combinations(ann).filter(F.col("n") <= most).orderBy("first_ordinal").limit(k)
 
 
-def high_complexity(ann: DataFrame, threshold: int = 3) -> DataFrame:
+def high_complexity(ann: DataFrame, threshold: int = 3, by: Sequence[str] = ()) -> DataFrame:
     """doc_id, file_type (of the first row with that id), stressor_count, stressors, ordinal."""
     first = ann.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min_by("file_type", "ordinal").alias("first_type"))
     rows = with_stressors(ann).filter(F.col("stressor_count") >= threshold)
     kind = F.coalesce("first_type", F.lit("unknown"))
-    named = rows.join(first, "doc_id", "left").select("ordinal", "doc_id", kind.alias("file_type"), "stressor_count", "stressors")
+    named = rows.join(first, "doc_id", "left").select(*by, "ordinal", "doc_id", kind.alias("file_type"), "stressor_count", "stressors")
     return named.orderBy(F.desc("stressor_count"), "ordinal")
 
 
-def _listed() -> Column:
-    """All doc_ids of the group in order of appearance, nulls included."""
-    return F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "doc_id"))), lambda x: x["doc_id"]).alias("doc_ids")
-
-
-def bucket_level1(ann: DataFrame, with_ids: bool = True) -> DataFrame:
-    return ann.groupBy("file_type").agg(_rows(), F.min("ordinal").alias("first_ordinal"), *([_listed()] if with_ids else []))
+def bucket_level1(ann: DataFrame) -> DataFrame:
+    """file_type, n, first_ordinal; who is in it: `bucket_members`."""
+    return ann.groupBy("file_type").agg(_rows(), F.min("ordinal").alias("first_ordinal"))
 
 
 def bucket_key() -> Column:
@@ -96,15 +100,24 @@ def bucket_key() -> Column:
     return F.array_join(F.array_sort(F.filter(F.array(*parts), lambda x: x.isNotNull())), " | ")
 
 
-def bucket_level2(ann: DataFrame, file_type: str = "pdf", with_ids: bool = True) -> DataFrame:
-    rows = ann.filter(F.col("file_type") == file_type).withColumn("bucket", bucket_key())
-    return rows.groupBy("bucket").agg(_rows(), F.min("ordinal").alias("first_ordinal"), *([_listed()] if with_ids else []))
+def _level2(ann: DataFrame, file_type: str) -> DataFrame:
+    return ann.filter(F.col("file_type") == file_type).withColumn("bucket", bucket_key())
+
+
+def bucket_level2(ann: DataFrame, file_type: str = "pdf") -> DataFrame:
+    return _level2(ann, file_type).groupBy("bucket").agg(_rows(), F.min("ordinal").alias("first_ordinal"))
+
+
+def bucket_members(ann: DataFrame, file_type: str = "pdf") -> DataFrame:
+    """level, bucket, ordinal, doc_id: one row per document and bucket, so that no bucket is ever one row's list."""
+    one = ann.select(F.lit(1).alias("level"), F.col("file_type").alias("bucket"), "ordinal", "doc_id")
+    return one.unionByName(_level2(ann, file_type).select(F.lit(2).alias("level"), "bucket", "ordinal", "doc_id"))
 
 
 def sparse_buckets(ann: DataFrame, threshold: int = 3) -> DataFrame:
     """Buckets of both levels with fewer than threshold rows: bucket, n, threshold."""
-    one = bucket_level1(ann, False).select(F.concat(F.lit("file_type="), F.col("file_type")).alias("bucket"), "n")
-    two = bucket_level2(ann, with_ids=False).select(F.concat(F.lit("pdf/"), F.col("bucket")).alias("bucket"), "n")
+    one = bucket_level1(ann).select(F.concat(F.lit("file_type="), F.col("file_type")).alias("bucket"), "n")
+    two = bucket_level2(ann).select(F.concat(F.lit("pdf/"), F.col("bucket")).alias("bucket"), "n")
     return one.unionByName(two).filter(F.col("n") < threshold).withColumn("threshold", F.lit(threshold))
 
 
@@ -164,6 +177,8 @@ def full_analysis(ann: DataFrame, threshold: int = 3, complexity: int = 3) -> di
         "high_complexity": high_complexity(own, complexity),
         "level1": bucket_level1(own),
         "level2": bucket_level2(own),
+        "members1": own.select("file_type", "ordinal", "doc_id"),
+        "members2": _level2(own, "pdf").select("bucket", "ordinal", "doc_id"),
         "gaps": gap_report(own, threshold),
         "advice": sampling_advice(own, threshold, complexity),
     }

@@ -21,6 +21,13 @@ def eligible(files: DataFrame, failed: DataFrame | None = None, outputs: DataFra
     return rows
 
 
+def in_folder(ann: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Annotations of one folder: by `folder`, or with a root those whose source_file is below root/name."""
+    if root is None:
+        return ann.filter(F.col("folder") == name)
+    return ann.filter(F.startswith(F.col("source_file"), F.lit(f"{root.rstrip('/')}/{name.strip('/')}/")))
+
+
 def collisions(files: DataFrame, source: str, target: str) -> DataFrame:
     """Output paths that more than one file maps to, and the file that is kept (last by path)."""
     rows = files.select(output_path(F.col("path"), source, target).alias("out"), "path")

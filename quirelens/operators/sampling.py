@@ -97,7 +97,7 @@ def topics_in(text: Column, topics: list[str]) -> Column:
     return F.filter(own, lambda t: F.contains(text, F.substring_index(t, "/", 1)) | F.contains(text, t))
 
 
-def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_file_type: int = 50, queries_per_doc: int = 2, seed: int = SEED, replacement: bool = False, mix: dict[str, float] | None = None, text: str | None = None, title: str | None = None) -> DataFrame:
+def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_file_type: int = 50, queries_per_doc: int = 2, seed: int = SEED, replacement: bool = False, mix: dict[str, float] | None = None, text: str | None = None, title: str | None = None, domain: str = "hr") -> DataFrame:
     """id, query, domain, expected_behavior, chunk lists, answer_constraints, doc_id, file_type, stressors, generation.
 
     text and title name columns of ann that ground topics and titles; without them titles are doc_ids."""
@@ -121,7 +121,7 @@ def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_fi
     return numbered.select(
         F.format_string("q_%06d", F.col("_n")).alias("id"),
         query.alias("query"),
-        F.lit("hr").alias("domain"),
+        F.lit(domain).alias("domain"),
         "expected_behavior",
         none.alias("required_chunks"),
         none.alias("optional_chunks"),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import WHITE, page_estimate
 from ..operators.layout import is_mixed
+from ..schema import METADATA
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,67 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("doc_id").alias("ordinal"), "doc_id", F.col("source").alias("folder"), kind.alias("file_type"), F.lit("").alias("file_path"), profile.alias("profile"), "text", page_estimate(F.col("text")).alias("page_count"), lines.alias("n_lines"))
 
 
+def metadata(**given: Column) -> Column:
+    """A parser's metadata with the fields given, null elsewhere."""
+    return F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in METADATA])
+
+
+def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """schema.CONTENT of documents, as parsers would give it; fifty stems for all of them, so that only paths tell files apart."""
+    rows, p, n = annotations(spark, sf_dir), "profile.", F.length("text")
+    first = F.struct(F.lit(0).alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.col("n_lines").alias("rows"), F.lit(4).alias("cols"))
+    last = F.struct((F.col("page_count") - 1).alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.lit(2).alias("rows"), F.lit(2).alias("cols"))
+    every = F.expr("sequence(0, page_count - 1)")
+    meta = metadata(
+        has_image=F.col(p + "has_image"), has_table=F.col(p + "has_table"), has_image_table=n % 17 == 0, has_complex_table=n % 19 == 0, has_formula=F.col(p + "has_formula"), has_chart=F.coalesce(p + "has_chart", F.lit(False)),
+        image_count=F.lit(2), table_count=F.lit(3), chart_count=F.lit(2), image_pages=every, table_pages=every, tables_detail=F.when(n % 4 == 0, F.array(first, last)).otherwise(F.array()),
+    )
+    name = F.concat(F.lit("d"), n % 50)
+    path = F.concat_ws("/", F.lit("/corpus"), "folder", "doc_id", name)
+    return rows.select(name.alias("doc_id"), "file_type", path.alias("file_path"), "page_count", "text", meta.alias("metadata"), F.lit(True).alias("success"), F.array().cast("array<string>").alias("errors"))
+
+
+def failing(rows: DataFrame) -> DataFrame:
+    """Contents of which a parser could not read some."""
+    bad = F.length("text") % 23 == 0
+    return rows.withColumn("success", ~bad).withColumn("errors", F.when(bad, F.array(F.lit("broken"), F.lit("twice"))).otherwise(F.array().cast("array<string>")))
+
+
+def model_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a layout model's documents: doc_id, tables, pictures, equations, figures, pages, page_count."""
+    def place(at: str) -> str:
+        return f"named_struct('page', {at}, 'bbox', cast(null as array<double>))"
+
+    prov = f"if(l_linenumber % 2 = 0, array({place('l_linenumber')}, {place('l_linenumber + 1')}), array({place('l_linenumber')}))"
+    grid = "if(l_partkey % 3 = 0, array_repeat(array('a', 'b'), 5), cast(null as array<array<string>>))"
+    table = f"named_struct('prov', {prov}, 'num_rows', if(l_partkey % 3 = 0, null, cast(l_quantity as int)), 'num_cols', if(l_partkey % 3 = 0, null, l_linenumber), 'grid', {grid})"
+    figure = f"named_struct('prov', {prov}, 'caption', if(l_suppkey % 5 = 0, 'A Chart of it', 'A photo'))"
+    li = read(spark, sf_dir, "lineitem")
+
+    def some(flag: str, value: str):
+        return F.collect_list(F.expr(f"case when l_returnflag = '{flag}' then {value} end"))
+
+    rows = li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(
+        some("A", table).alias("tables"), some("N", f"named_struct('prov', {prov})").alias("pictures"), some("R", f"named_struct('prov', {prov}, 'latex', 'x')").alias("equations"),
+        F.collect_list(F.expr(figure)).alias("figures"), F.count("*").cast("int").alias("n"), F.min(F.col("l_linenumber") + F.col("l_suppkey")).alias("k"),
+    )
+    pages = F.when(F.col("k") % 2 == 0, F.array_repeat(F.lit("page"), F.col("n"))).otherwise(F.array().cast("array<string>"))
+    return rows.withColumn("pages", pages).withColumn("page_count", F.when(F.col("k") % 3 == 0, F.lit(7))).drop("n", "k")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for files that a query writes and reads again: below spark.checkpoint.dir, or a local one in local mode."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return f"{base.rstrip('/')}/quirelens-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="quirelens-")
+
+
 _STRIP = "'" + "".join(c for c in WHITE if c in " ") + "' || " + " || ".join(f"chr({ord(c)})" for c in WHITE if c != " ")
 
 ANN = f"""

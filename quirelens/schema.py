@@ -28,16 +28,18 @@ PROFILE = T.StructType(
 ANNOTATION = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("file_type", T.StringType()), T.StructField("file_path", T.StringType()), T.StructField("doc_profile", PROFILE), T.StructField("pdf_profile", PROFILE)])
 
 TABLE_DETAIL = T.StructType([T.StructField("page", T.IntegerType()), T.StructField("bbox", T.ArrayType(T.DoubleType())), T.StructField("rows", T.IntegerType()), T.StructField("cols", T.IntegerType())])
+IMAGE_DETAIL = T.StructType([T.StructField("index", T.IntegerType()), T.StructField("page", T.IntegerType()), T.StructField("bbox", T.ArrayType(T.DoubleType()))])
 METADATA = T.StructType(
     [T.StructField(n, T.BooleanType()) for n in ("has_image", "has_table", "has_image_table", "has_complex_table", "has_formula", "has_chart")]
     + [T.StructField(n, T.IntegerType()) for n in ("table_count", "image_count", "chart_count", "formula_count", "rect_count", "line_count", "curve_count")]
-    + [T.StructField("table_pages", T.ArrayType(T.IntegerType())), T.StructField("image_pages", T.ArrayType(T.IntegerType())), T.StructField("tables_detail", T.ArrayType(TABLE_DETAIL))]
+    + [T.StructField("table_pages", T.ArrayType(T.IntegerType())), T.StructField("image_pages", T.ArrayType(T.IntegerType())), T.StructField("tables_detail", T.ArrayType(TABLE_DETAIL)), T.StructField("images_detail", T.ArrayType(IMAGE_DETAIL))]
 )
 CONTENT = T.StructType(
     [T.StructField("doc_id", T.StringType()), T.StructField("file_type", T.StringType()), T.StructField("file_path", T.StringType()), T.StructField("page_count", T.IntegerType()), T.StructField("text", T.StringType())]
     + [T.StructField("metadata", METADATA), T.StructField("success", T.BooleanType()), T.StructField("errors", T.ArrayType(T.StringType()))]
 )
-ELEMENT = "doc_id string, kind string, ord int, bbox array<double>, page int, confidence double, rows int, cols int"
+#: Columns of an element after its key.
+ELEMENT = "kind string, ord int, bbox array<double>, page int, confidence double, rows int, cols int"
 
 # What answers must and must not mention, by expected behaviour.
 ANSWER_CONSTRAINTS = {
@@ -46,4 +48,5 @@ ANSWER_CONSTRAINTS = {
     "refuse": (["无法提供", "隐私"], ["身份证号", "家庭住址", "联系方式"]),
     "ask_clarification": (["请确认", "具体"], []),
 }
+# Shares of expected behaviours.
 BEHAVIOUR_MIX = {"answer": 0.75, "partial": 0.10, "refuse": 0.10, "ask_clarification": 0.05}

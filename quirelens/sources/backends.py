@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import documents
 
 # What captions of charts say.
-CHART_WORDS = ("chart", "graph", "plot", "diagram", "图表", "柱状图", "折线图")
+CHART_WORDS = ("chart", "graph", "plot", "图表", "柱状图", "饼图", "折线图")
 
 
 def pdf_pages(data: bytes) -> dict:
@@ -57,13 +57,92 @@ def pdf_text(data: bytes) -> dict:
 
 
 def install() -> list[str]:
-    """Registers the PDF parser that is installed; returns the names of what was found."""
+    """Registers the parsers whose libraries are there; returns the names of what was found."""
     found = [m for m in ("pdfplumber", "pypdf") if importlib.util.find_spec(m)]
     if found:
         documents.register("pdf", {"pdfplumber": pdf_pages, "pypdf": pdf_text}[found[0]])
+    if importlib.util.find_spec("docling"):
+        found.append("docling")
+        install_model(converter)
     return found
 
 
+def converter():
+    """The layout model's converter, built on first use in each worker."""
+    from docling.document_converter import DocumentConverter
+
+    return DocumentConverter()
+
+
+#: The layout-model parser for each suffix that it takes.
+MODEL_SUFFIX = {"pdf": ".pdf", "doc": ".docx", "excel": ".xlsx", "ppt": ".pptx"}
+
+
+def install_model(factory) -> None:
+    """Registers `docling:` parsers on a converter's factory (see `model_parser`)."""
+    for kind, suffix in MODEL_SUFFIX.items():
+        documents.register(f"docling:{kind}", model_parser(factory, suffix))
+
+
+def model_parser(factory, suffix: str):
+    """Parser of bytes by a layout model: factory gives a converter, whose convert(path).document is read by `model_content`."""
+
+    def run(data: bytes) -> dict:
+        import os
+        import sys
+        import tempfile
+        import types
+
+        kept = sys.modules.setdefault("_quirelens_worker", types.ModuleType("_quirelens_worker")).__dict__
+        if kept.get("factory") is not factory:
+            kept.update(factory=factory, converter=factory())
+        with tempfile.TemporaryDirectory() as folder:  # the model reads files: a copy for the time of the call
+            path = os.path.join(folder, f"file{suffix}")
+            with open(path, "wb") as f:
+                f.write(data)
+            return model_content(kept["converter"].convert(path).document)
+
+    return run
+
+
+def _place(item) -> tuple[int | None, list[float] | None]:
+    """Page and box of an item: what the last of its provenances says."""
+    page = box = None
+    for p in getattr(item, "prov", None) or ():
+        page = getattr(p, "page_no", getattr(p, "page", page))
+        own = getattr(p, "bbox", None)
+        box = [float(x) for x in own] if own else None
+    return page, box
+
+
+def _size(table) -> tuple[int, int]:
+    if hasattr(table, "num_rows"):
+        return table.num_rows, getattr(table, "num_cols", 0)
+    data = getattr(table, "data", None)
+    grid = getattr(data, "grid", data if isinstance(data, (list, tuple)) else None) or []
+    return len(grid), len(grid[0]) if grid and hasattr(grid[0], "__len__") else 0
+
+
+def model_content(doc) -> dict:
+    """A layout model's document as page_count, text and metadata; what a document lacks counts as none of it."""
+    try:
+        text = doc.export_to_markdown()
+    except Exception:  # noqa: BLE001  elements still count where the text cannot be exported
+        text = ""
+    tables = []
+    for t in getattr(doc, "tables", None) or ():
+        (page, box), (rows, cols) = _place(t), _size(t)
+        tables.append({"page": page, "bbox": box, "rows": rows, "cols": cols})
+    images = [{"index": i, "page": page, "bbox": box} for i, (page, box) in enumerate(map(_place, getattr(doc, "pictures", None) or ()))]
+    formulas = len(list(getattr(doc, "equations", None) or ()))
+    charts = sum(any(w in str(getattr(f, "caption", None) or "").lower() for w in CHART_WORDS) for f in getattr(doc, "figures", None) or ())
+    pages = len(getattr(doc, "pages", None) or ()) or (getattr(doc, "metadata", None) or {}).get("page_count", 1)
+    meta = documents._flags(has_image=bool(images), has_table=bool(tables), has_image_table=bool(images) and not tables, has_complex_table=documents._complex(tables), has_formula=formulas > 0, has_chart=charts > 0)
+    own_pages = lambda v: sorted({x["page"] for x in v if x["page"] is not None})
+    meta |= {"image_count": len(images), "table_count": len(tables), "formula_count": formulas, "chart_count": charts, "table_pages": own_pages(tables), "image_pages": own_pages(images), "tables_detail": tables, "images_detail": images}
+    return {"page_count": pages, "text": text, "metadata": meta}
+
+
 # Layout-model documents as rows: tables, pictures and equations are arrays of structs with
 # provenance arrays (page, bbox); figures have captions.
 
@@ -79,20 +158,20 @@ def model_tables(docs: DataFrame) -> DataFrame:
 
 def model_images(docs: DataFrame) -> DataFrame:
     p = docs.select("doc_id", F.posexplode("pictures").alias("index", "p"))
-    first = F.get("p.prov", F.lit(0))
-    return p.select("doc_id", "index", first["page"].alias("page"), first["bbox"].alias("bbox"))
+    last = F.try_element_at("p.prov", F.lit(-1))
+    return p.select("doc_id", "index", last["page"].alias("page"), last["bbox"].alias("bbox"))
 
 
 def model_formulas(docs: DataFrame) -> DataFrame:
     e = docs.select("doc_id", F.explode("equations").alias("e"))
-    return e.select("doc_id", "e.latex", F.get("e.prov", F.lit(0))["page"].alias("page"))
+    return e.select("doc_id", "e.latex", F.try_element_at("e.prov", F.lit(-1))["page"].alias("page"))
 
 
 def model_charts(docs: DataFrame) -> DataFrame:
     """Figures whose caption speaks of a chart."""
     f = docs.select("doc_id", F.explode("figures").alias("f"))
     words = F.array(*map(F.lit, CHART_WORDS))
-    return f.filter(F.exists(words, lambda w: F.contains(F.lower("f.caption"), w))).select("doc_id", "f.caption", F.get("f.prov", F.lit(0))["page"].alias("page"))
+    return f.filter(F.exists(words, lambda w: F.contains(F.lower("f.caption"), w))).select("doc_id", "f.caption", F.try_element_at("f.prov", F.lit(-1))["page"].alias("page"))
 
 
 def model_page_count(docs: DataFrame) -> DataFrame:

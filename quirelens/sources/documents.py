@@ -187,12 +187,19 @@ def _parse(parsers: dict[str, Callable[[bytes], Parsed]]):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
-            for doc_id, kind, path, content in zip(pdf["doc_id"], pdf["file_type"], pdf["file_path"], pdf["content"], strict=True):
+            for doc_id, kind, path, text, pages, content in zip(*(pdf[c] for c in ("doc_id", "file_type", "file_path", "text", "page_count", "content")), strict=True):
                 row = {"doc_id": doc_id, "file_type": kind, "file_path": path, "page_count": None, "text": None, "metadata": None, "success": True, "errors": []}
                 try:
-                    if kind not in parsers:
+                    if kind in PLAIN:
+                        if content is None:
+                            row |= {"text": text, "page_count": int(pages)}
+                        else:
+                            text = decode_text(bytes(content))
+                            row |= {"text": text, "page_count": max(1, (text.count("\n") + 1) // 50)}
+                    elif kind not in parsers:
                         raise ValueError(f"no parser for {kind}")
-                    row |= parsers[kind](bytes(content))
+                    else:
+                        row |= parsers[kind](bytes(content))
                 except Exception as e:  # noqa: BLE001  one broken file must not stop the others
                     row |= {"success": False, "errors": [f"{type(e).__name__}: {e}"]}
                 if row["metadata"] is not None:
@@ -203,22 +210,46 @@ def _parse(parsers: dict[str, Callable[[bytes], Parsed]]):
     return run
 
 
-def contents(files: DataFrame, backend: str = "auto") -> DataFrame:
-    """files (path, content) to schema.CONTENT.  backend auto takes a registered `docling:` parser where there is one."""
+PLAIN = ("txt", "md", "html")
+OFFICE = ("pdf", "doc", "excel", "ppt")
+BACKENDS = ("auto", "docling", "legacy")
+
+
+def parsers_of(backend: str = "auto", extract_images: bool = True) -> dict[str, Callable[[bytes], Parsed]]:
+    """Type to parser.  auto takes the layout model's parser where one is registered and the plain one elsewhere, docling
+    the model's alone, legacy the plain one alone.  Without extract_images pictures are not reported."""
+    if backend not in BACKENDS:
+        raise ValueError(f"no such backend: {backend}")
+    out = {}
+    for kind in OFFICE:
+        model, plain = _parsers.get(f"docling:{kind}"), _parsers.get(kind)
+        found = model if backend == "docling" else plain if backend == "legacy" else model or plain
+        if found is not None:
+            out[kind] = found if extract_images else _without_images(found)
+    return out
+
+
+def _without_images(parser: Callable[[bytes], Parsed]) -> Callable[[bytes], Parsed]:
+    def run(data: bytes) -> Parsed:
+        got = parser(data)
+        return got | {"metadata": got["metadata"] | {"has_image": False, "has_image_table": False, "image_count": 0, "image_pages": [], "images_detail": []}}
+
+    return run
+
+
+def contents(files: DataFrame, backend: str = "auto", extract_images: bool = True) -> DataFrame:
+    """files (path, content) to schema.CONTENT: one scan, and each file parsed once.
+
+    Text and HTML are read by built-in expressions; only office files and text in other encodings reach Python as bytes."""
     path = F.regexp_replace("path", r"^file:/+", "/")
     rows = files.select(path.alias("file_path"), "content").withColumn("file_type", file_type(F.col("file_path"))).withColumn("doc_id", stem(F.col("file_path")))
-    no_meta = F.lit(None).cast(CONTENT["metadata"].dataType)
-    none = F.array().cast("array<string>")
-    decode = F.udf(decode_text, "string", useArrow=True)
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(decode("content"))
-    plain = rows.filter(F.col("file_type").isin("txt", "md")).withColumn("text", text).withColumn("page_count", page_estimate(F.col("text")))
-    pages = rows.filter("file_type = 'html'").withColumn("text", strip(visible_text(F.expr("make_valid_utf8(cast(content as string))")))).withColumn("page_count", F.lit(1))
-    simple = plain.unionByName(pages).select("doc_id", "file_type", "file_path", F.col("page_count").cast("int").alias("page_count"), "text", no_meta.alias("metadata"), F.lit(True).alias("success"), none.alias("errors"))
-    kinds = ("pdf", "doc", "excel", "ppt")
-    own = {k: _parsers[f"{p}:{k}"] if f"{p}:{k}" in _parsers else _parsers.get(k) for p in ("docling" if backend == "auto" else backend,) for k in kinds}
-    own = {k: v for k, v in own.items() if v is not None}
-    office = rows.filter(F.col("file_type").isin(*kinds)).select("doc_id", "file_type", "file_path", "content").mapInPandas(_parse(own), CONTENT)
-    return simple.unionByName(office)
+    kind, raw = F.col("file_type"), F.col("content").cast("string")
+    plain = kind.isin("txt", "md")
+    text = F.when(plain & F.is_valid_utf8(raw), raw).when(kind == "html", strip(visible_text(F.expr("make_valid_utf8(cast(content as string))"))))
+    rows = rows.withColumn("text", text)
+    pages = F.when(kind == "html", F.lit(1)).when(plain, page_estimate(F.col("text")))
+    content = F.when(kind.isin(*OFFICE) | plain & F.col("text").isNull(), F.col("content"))
+    return rows.select("doc_id", "file_type", "file_path", "text", pages.cast("int").alias("page_count"), content.alias("content")).mapInPandas(_parse(parsers_of(backend, extract_images)), CONTENT)
 
 
 def resolve(ann: DataFrame, files: DataFrame) -> DataFrame:
