@@ -21,7 +21,6 @@ bucket identifiers of later offsets, only where a bucket still holds more than o
    are compared byte by byte.
 
 Contexts count as equal by identifiers of 190 bits at least; everything else is decided on bytes.
-Buckets that very many anchors share are joined as plain exchanges, which Spark splits at run time.
 
 Null and empty texts have no bytes and lose none; texts under `length` bytes lose none.  Very long
 texts: about ten times their bytes in the one task that scans them.  Repeated rows repeat each
@@ -43,12 +42,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, forget, free_names, longs, materialize, record, row_key
+from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key
 from .hashing import mix, prefix_sums, range_hash
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Buckets of more contexts are refined over all partitions before a task takes them.
-TASK_CONTEXTS = 10_000
+TASK_CONTEXTS = 4_000
 #: No name: names have 31 bits and are never negative.
 NO_NAME = -1
 
@@ -147,17 +146,24 @@ def refine(gram: np.ndarray, depth: int, blocks: int = 4) -> np.ndarray:
     pointer[p] is the last place of p's bucket; a bucket is refined by the pointers at p + h, which
     may already have been renewed in this pass."""
     n, q = len(gram), 8
-    order = np.argsort(gram)
+    kind = np.int32 if n + depth < 1 << 31 else np.int64
+    order = np.argsort(gram).astype(kind)
     ranked = gram[order]
     ends = np.flatnonzero(np.concatenate([ranked[1:] != ranked[:-1], [True]]))
-    pointer = np.full(n + depth + q + 1, -1, dtype=np.int64)
+    del ranked
+    pointer = np.full(n + depth + q + 1, -1, dtype=kind)
     pointer[order] = np.repeat(ends, np.diff(np.concatenate([[-1], ends])))
+    place = np.arange(n, dtype=kind)
     h = q
     while h < depth:
-        places = np.flatnonzero((pointer[order] != np.arange(n)) | np.concatenate([[False], pointer[order][1:] == pointer[order][:-1]]))
+        own = pointer[order]
+        open_ = own != place  # in a bucket of two and more: not its last place, or behind another of it
+        open_[1:] |= own[1:] == own[:-1]
+        places = place[open_]
         if not len(places):
             break
-        groups = pointer[order[places]]
+        groups = own[open_]
+        del own, open_
         starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         cuts = np.unique(starts[np.linspace(0, len(starts), blocks + 1)[1:-1].astype(np.int64).clip(0, len(starts) - 1)])
         for part in np.split(places, cuts):
@@ -165,7 +171,7 @@ def refine(gram: np.ndarray, depth: int, blocks: int = 4) -> np.ndarray:
                 continue
             p = order[part]
             own, later = pointer[p], pointer[p + h]
-            inner = np.argsort(own * (n + 1) + later + 1)
+            inner = np.argsort(own.astype(np.int64) * (n + 1) + later + 1)
             p, own, later = p[inner], own[inner], later[inner]
             order[part] = p
             last = np.concatenate([(own[1:] != own[:-1]) | (later[1:] != later[:-1]), [True]])
@@ -312,10 +318,10 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     data = docs.select(F.col("text").cast("binary").alias("data"), *row_key()).filter(F.octet_length("data") >= length)
     fn, kind = _scan(length)
     seen = materialize(data.mapInArrow(fn, kind), "seen")
-    often = seen.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
-    # both sides are plain exchanges, so that a bucket with very many anchors is split at run time
-    found = materialize(seen.join(often, "h", "left_semi"), "anchors")
-    forget(seen)
+    often = materialize(seen.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1"), "often")
+    # in each join, keys that very many rows have are looked up without a shuffle
+    found = materialize(hot_lookup(seen, often, ["h"], "k").filter("k is not null").drop("k"), "anchors")
+    forget(seen, often)
     same = ["h", "ctx", "hl", "hr"]
     rep = [F.first(c).alias(c) for c in ("key0", "key1", "m", "before", "span")]  # all of one row, whichever: its context is the others' too
     classes = materialize(found.groupBy(*same).agg(F.count("*").alias("n"), *rep), "classes")
@@ -324,7 +330,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     halves = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(c).cast("long").alias("sub")) for a, b, c in ((side, length - quarter(length), "hl"), (0, side - 1, "hr"))])
     halves = classes.select("*", F.explode(halves).alias("x")).select("h", "n", "key0", "key1", "m", "before", "span", "x.*").filter(F.col("sub") != NO_NAME)
     open_ = materialize(_open(halves), "open")
-    wanted = halves.join(open_.drop("k"), BUCKET)
+    wanted = hot_lookup(halves, open_, BUCKET, "k").filter("k is not null")
     lists = wanted.groupBy("key0", "key1").agg(F.collect_list(F.struct("m", "before", "span", *BUCKET, "n")).alias("wanted"))
     packed = data.mapInArrow(_pack, "packed binary, key0 long, key1 long")
     contexts = packed.join(lists, ["key0", "key1"]).select("packed", "key0", "key1", "wanted").mapInArrow(_contexts(length), _CONTEXT_KIND)
@@ -349,12 +355,12 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                 break
             rest = split.join(left, BUCKET, "left_semi")
     spans.append(ready.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInArrow(_refined(length), _SPAN_KIND))
-    many = classes.filter("n > 1").select(*same)
+    many = materialize(classes.filter("n > 1").select(*same, "n"), "many")
     first = F.col("m") - F.col("before")
-    spans.append(found.join(many, same, "left_semi").select("key0", "key1", first.cast("int").alias("start"), (first + F.col("span") + length).cast("int").alias("stop")))
+    spans.append(hot_lookup(found, many, same, "n").filter("n is not null").select("key0", "key1", first.cast("int").alias("start"), (first + F.col("span") + length).cast("int").alias("stop")))
     all_spans = reduce(DataFrame.unionByName, spans)
     out = materialize(all_spans.groupBy("key0", "key1").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
-    forget(found, classes, *tables)
+    forget(found, classes, many, *tables)
     return out
 
 

@@ -45,16 +45,21 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic model, intercept last (not penalised)."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), l2)
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25, rows: int = 1000) -> np.ndarray:
+    """Weights of a ridge logistic model, intercept last (not penalised).  Newton's steps, `rows` rows of x at a time."""
+    size = x.shape[1] + 1
+    w = np.zeros(size)
+    penalty = np.full(size, l2)
     penalty[-1] = 1e-6
     for _ in range(steps):
-        p = sigmoid(x @ w)
-        h = (x.T * (p * (1 - p))) @ x + np.diag(penalty) + 1e-9 * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - penalty * w)
+        h, g = np.diag(penalty) + 1e-9 * np.eye(size), -penalty * w
+        for a in range(0, len(y), rows):
+            part = np.ones((len(y[a : a + rows]), size))
+            part[:, :-1] = x[a : a + rows]
+            p = sigmoid(part @ w)
+            h += (part.T * (p * (1 - p))) @ part
+            g += part.T @ (y[a : a + rows] - p)
+        step = np.linalg.solve(h, g)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -118,7 +123,7 @@ class Table:
         place = np.full(len(self.names[kind]) + 1, -1)
         place[columns] = np.arange(len(columns))
         at = place[col]
-        out = np.zeros((len(self.words), len(columns)))
+        out = np.zeros((len(self.words), len(columns)), dtype=np.float32)
         out[row[at >= 0], at[at >= 0]] = 1
         return out, np.bincount(row[at >= 0], weights=k[at >= 0], minlength=len(self.words))
 
@@ -165,16 +170,15 @@ def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
     every = np.ones(len(texts), dtype=bool)
     words, starts = table.choose(0, every, toxic), table.choose(1, every, toxic)
     x, n = table.dense(0, words)
-    x = np.hstack([x, density(n, x, table.words)])
+    x = np.hstack([x, density(n, x, table.words).astype(np.float32)])
     s = table.dense(1, starts)[0]
     y = np.stack([toxic * (n > 0), toxic * (x[:, -2] >= 0.5), toxic], axis=1).astype(float)
     part = np.arange(len(texts)) % folds
-    views = [table.dense(1, table.choose(1, part != f, toxic))[0] for f in range(folds)]
-    held, weights = np.zeros((len(texts), 0)), []
+    held, weights = np.zeros((len(texts), 0), dtype=np.float32), []
     for k in range(2):
-        own = np.zeros(len(texts))
+        own = np.zeros(len(texts), dtype=np.float32)
         for f in range(folds):
-            now = np.hstack([views[f], held])
+            now = np.hstack([table.dense(1, table.choose(1, part != f, toxic))[0], held])
             own[part == f] = predict_one(now[part == f], fit_logistic(now[part != f], y[part != f, k]))
         weights.append(fit_logistic(np.hstack([s, held]), y[:, k]))
         held = np.hstack([held, own[:, None]])
@@ -184,7 +188,9 @@ def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", **bounds) -> Chain:
     rows = sample(docs, labels, label, **bounds)
-    return fit_chain([r[2] for r in rows], np.array([r[3] for r in rows], dtype=int))
+    toxic, texts = np.array([r[3] for r in rows], dtype=int), [r[2] for r in rows]
+    del rows
+    return fit_chain(texts, toxic)
 
 
 def _score(chain: Chain, slice_rows: int = 256):
