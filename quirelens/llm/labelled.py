@@ -1,4 +1,7 @@
-"""Bounded, reproducible samples of labelled texts for fitting classifiers on the driver."""
+"""Bounded, reproducible samples of labelled texts for fitting classifiers.
+
+Only rows are bounded, not texts: features are made of whole texts on the executors, and the driver
+gets numbers alone, so that its memory grows with MAX_ROWS and with nothing else."""
 
 from __future__ import annotations
 
@@ -7,36 +10,20 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Bounds of a sample: rows, and characters of all its texts (all rows are scored, whole).
+#: Most rows of a sample (all rows are scored).
 MAX_ROWS = 6000
-MAX_CHARS = 1 << 25
-
-
-def longest(sizes: list[int], chars: int) -> int:
-    """The most characters a text may have so that all of `sizes`, cut there, have `chars` together; 1 at least."""
-    left = chars
-    for k, n in enumerate(sorted(sizes)):
-        share = left // (len(sizes) - k)
-        if n > share:
-            return max(1, share)
-        left -= n
-    return max(sizes, default=1)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, where: Column | None = None, rows: int = MAX_ROWS, chars: int = MAX_CHARS) -> list:
-    """(order, id, text, label) rows in a fixed pseudo-random order, at most `rows` of them.
+def sample(docs: DataFrame, labels: DataFrame, label: str, where: Column | None = None, rows: int = MAX_ROWS) -> DataFrame:
+    """o (a fixed pseudo-random order), doc_id, text, y: a written table of at most `rows` labelled documents.
 
-    Texts of every length are drawn.  Where all together pass `chars`, the longest ones give their
-    beginnings, of one length.  Labels of one document that disagree, null ids, null labels and null
-    texts are not drawn."""
+    Texts of every length are drawn, whole.  Labels of one document that disagree, null ids, null labels and
+    null texts are not drawn; of texts with one id, the least is taken."""
     own = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     if where is not None:
         own = own.filter(where)
     own = own.groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("y2")).filter("y = y2")
-    drawn = own.select("doc_id", "y", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(rows)
-    texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("_d"), "text")
+    drawn = own.select("doc_id", F.col("y").cast("int").alias("y"), F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(rows)
+    texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("_d"), F.col("text").cast("string").alias("text"))
     found = texts.join(F.broadcast(drawn), F.col("_d") == F.col("doc_id")).groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text"), F.first("o").alias("o"))
-    got = materialize(found, "labelled")
-    most = longest([r[0] for r in got.select(F.length("text")).collect()], chars)
-    cut = got.select("o", "doc_id", F.substring("text", 1, most).alias("text"), "y")
-    return sorted(((r["o"], r["doc_id"], r["text"], int(r["y"])) for r in cut.collect()), key=lambda r: r[:2])
+    return materialize(found.select("o", F.col("doc_id").cast("long").alias("doc_id"), "text", "y"), "labelled")

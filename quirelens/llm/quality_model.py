@@ -4,8 +4,10 @@ Statistics are binned once by quantiles; each tree is grown from histograms of g
 forest is flattened into five arrays and all trees are walked at once in numpy.  Labels, languages,
 sources and ids are no inputs.  Scoring is one pass over whole texts, no shuffle.
 
-Null and empty texts: statistics of an empty text, a score like any other.  Repeated rows: each is
-returned.  Without labels of both classes every score is their mean (0.5 if there are none).
+Null and empty texts: statistics of an empty text, a score like any other.  Very long texts: read
+whole, in memory of their words.  Repeated rows: each is returned.  Ties among splits: the first
+statistic and the least threshold.  Without labels of both classes every score is their mean (0.5 if
+there are none).  An empty table: no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import record
+from .common import forget, record
 from .labelled import sample
 
 STATISTICS = (
@@ -139,11 +141,20 @@ def fit_forest(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, ra
 HELD_OUT = "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"
 
 
+def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """o, doc_id, text, y to o, doc_id, y and the statistics."""
+    schema = pa.schema([("o", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("x", pa.list_(pa.float64()))])
+    for batch in batches:
+        yield record(schema, [batch.column("o"), batch.column("doc_id"), batch.column("y"), [statistics(t.as_py()) for t in batch.column("text")]])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", **bounds) -> Forest:
     """Fits on labelled rows that are not held out."""
-    rows = sample(docs, labels, label, where=~F.expr(HELD_OUT), **bounds)
-    x = np.array([statistics(r[2]) for r in rows], dtype=np.float64).reshape(len(rows), len(STATISTICS))
-    return fit_forest(x, np.array([r[3] for r in rows], dtype=np.float64))
+    got = sample(docs, labels, label, where=~F.expr(HELD_OUT), **bounds)
+    rows = sorted((r["o"], r["doc_id"], r["y"], r["x"]) for r in got.mapInArrow(_statistics, "o long, doc_id long, y int, x array<double>").collect())  # MAX_ROWS at most
+    forget(got)
+    x = np.array([r[3] for r in rows], dtype=np.float64).reshape(len(rows), len(STATISTICS))
+    return fit_forest(x, np.array([r[2] for r in rows], dtype=np.float64))
 
 
 def _score(forest: Forest, slice_rows: int = 512):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import record
+from .common import forget, record
 from .labelled import sample
 
 CATEGORIES = ("abuse", "severe", "toxic")
@@ -79,31 +79,66 @@ def starts_of(words: set[str]) -> set[str]:
     return {w[:k] + "-" for w in words for k in STARTS if len(w) > k}
 
 
+def counts_in(text: str | None, at: list[dict[str, int]]) -> tuple[int, dict[int, int], list[int]]:
+    """Words of a text, listed words with how often they come, listed beginnings."""
+    words = words_of(text)
+    own = {w for w in words if len(w) > STARTS[0]}
+    return len(words), Counter(at[0][w] for w in words if w in at[0]), sorted(at[1][s] for s in starts_of(own) if s in at[1])
+
+
 class Table:
     """Which of some words, and of some beginnings, labelled texts have, and how often they have a word.
 
     Only what LEAST_DOCS toxic texts have can be chosen; nothing else is kept."""
 
-    def __init__(self, texts: list[str], toxic: np.ndarray) -> None:
+    def __init__(self, names: list[list[str]], rows: list[tuple[int, dict[int, int], list[int]]]) -> None:
+        """rows: see counts_in."""
+        self.names, self.words = names, np.array([r[0] for r in rows], dtype=float)
+        self.cells = []
+        for own in ([r[1] for r in rows], [dict.fromkeys(r[2], 1) for r in rows]):
+            n = sum(map(len, own))
+            row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            self.cells.append((row, np.fromiter((c for x in own for c in x), np.int64, n), np.fromiter((k for x in own for k in x.values()), np.int64, n)))
+
+    @staticmethod
+    def of_texts(texts: list[str], toxic: np.ndarray) -> Table:
         often: list[Counter] = [Counter(), Counter()]
         for t, y in zip(texts, toxic, strict=True):
             if y:
                 own = set(words_of(t))
                 often[0].update(own)
                 often[1].update(starts_of(own))
-        self.names = [sorted(k for k, n in c.items() if n >= LEAST_DOCS) for c in often]
-        at = [{t: i for i, t in enumerate(n)} for n in self.names]
-        cells: list[list] = [[], []]
-        self.words = np.zeros(len(texts))
-        for i, t in enumerate(texts):
-            words = words_of(t)
-            self.words[i] = len(words)
-            found = Counter(at[0][w] for w in words if w in at[0])
-            cells[0].append((i, np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found))))
-            own = np.array(sorted(at[1][s] for s in starts_of(set(words)) if s in at[1]), dtype=np.int64)
-            cells[1].append((i, own, np.ones(len(own), np.int64)))
-        join = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
-        self.cells = [(join([np.full(len(c), i) for i, c, _ in v]), join([c for _, c, _ in v]), join([k for _, _, k in v])) for v in cells]
+        names = [sorted(k for k, n in c.items() if n >= LEAST_DOCS) for c in often]
+        at = [{t: i for i, t in enumerate(n)} for n in names]
+        return Table(names, [counts_in(t, at) for t in texts])
+
+    @staticmethod
+    def of_rows(got: DataFrame) -> tuple[Table, np.ndarray]:
+        """The table and labels of rows (o, doc_id, text, y), in order of o; texts stay on the executors."""
+
+        def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = pa.schema([("kind", pa.int32()), ("term", pa.string())])
+            for batch in batches:
+                for text in batch.column("text"):
+                    own = set(words_of(text.as_py()))
+                    both = [sorted(own), sorted(starts_of(own))]
+                    yield record(schema, [[0] * len(both[0]) + [1] * len(both[1]), both[0] + both[1]])
+
+        often = got.filter("y = 1").mapInArrow(terms, "kind int, term string").groupBy("kind", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+        found = often.select("kind", "term").collect()  # grows with the sample's bounded rows alone
+        names = [sorted(r["term"] for r in found if r["kind"] == k) for k in (0, 1)]
+        at = [{t: i for i, t in enumerate(n)} for n in names]
+
+        def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = pa.schema([("o", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("n", pa.int32()), *[(c, pa.list_(pa.int32())) for c in ("words", "times", "starts")]])
+            for batch in batches:
+                rows = [counts_in(t.as_py(), at) for t in batch.column("text")]
+                yield record(schema, [batch.column("o"), batch.column("doc_id"), batch.column("y"), [r[0] for r in rows], [list(r[1]) for r in rows], [list(r[1].values()) for r in rows], [r[2] for r in rows]])
+
+        kind = "o long, doc_id long, y int, n int, words array<int>, times array<int>, starts array<int>"
+        rows = sorted(got.mapInArrow(cells, kind).collect(), key=lambda r: (r["o"], r["doc_id"]))  # MAX_ROWS at most
+        toxic = np.array([r["y"] for r in rows], dtype=int)
+        return Table(names, [(r["n"], dict(zip(r["words"], r["times"], strict=True)), r["starts"]) for r in rows]), toxic
 
     def choose(self, kind: int, rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         """At most MOST columns found far more often in toxic ones of `rows` (a mask), by smoothed log odds over their standard error."""
@@ -164,19 +199,23 @@ class Chain:
 
 def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
     """Texts must come in an order that their labels do not know: folds are taken in turn."""
+    return fit_table(Table.of_texts(texts, toxic), toxic, folds)
+
+
+def fit_table(table: Table, toxic: np.ndarray, folds: int = 5) -> Chain:
     if not len(toxic) or toxic.min() == toxic.max():
         return Chain([], [], [])
-    table = Table(texts, toxic)
-    every = np.ones(len(texts), dtype=bool)
+    size = len(toxic)
+    every = np.ones(size, dtype=bool)
     words, starts = table.choose(0, every, toxic), table.choose(1, every, toxic)
     x, n = table.dense(0, words)
     x = np.hstack([x, density(n, x, table.words).astype(np.float32)])
     s = table.dense(1, starts)[0]
     y = np.stack([toxic * (n > 0), toxic * (x[:, -2] >= 0.5), toxic], axis=1).astype(float)
-    part = np.arange(len(texts)) % folds
-    held, weights = np.zeros((len(texts), 0), dtype=np.float32), []
+    part = np.arange(size) % folds
+    held, weights = np.zeros((size, 0), dtype=np.float32), []
     for k in range(2):
-        own = np.zeros(len(texts), dtype=np.float32)
+        own = np.zeros(size, dtype=np.float32)
         for f in range(folds):
             now = np.hstack([table.dense(1, table.choose(1, part != f, toxic))[0], held])
             own[part == f] = predict_one(now[part == f], fit_logistic(now[part != f], y[part != f, k]))
@@ -187,10 +226,10 @@ def fit_chain(texts: list[str], toxic: np.ndarray, folds: int = 5) -> Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", **bounds) -> Chain:
-    rows = sample(docs, labels, label, **bounds)
-    toxic, texts = np.array([r[3] for r in rows], dtype=int), [r[2] for r in rows]
-    del rows
-    return fit_chain(texts, toxic)
+    got = sample(docs, labels, label, **bounds)
+    table, toxic = Table.of_rows(got)
+    forget(got)
+    return fit_table(table, toxic)
 
 
 def _score(chain: Chain, slice_rows: int = 256):

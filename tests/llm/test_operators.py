@@ -584,7 +584,7 @@ def test_toxicity_lists_come_from_the_other_folds():
     """A word that only one fold's toxic texts have is not chosen for that fold's out-of-fold predictions."""
     toxic = np.array([1, 0] * 100)
     texts = [f"plain words here {'vile' if y else 'kind'} {'onlyhere' if y and i % 10 == 0 else ''}" for i, y in enumerate(toxic)]
-    table = toxicity.Table(texts, toxic)
+    table = toxicity.Table.of_texts(texts, toxic)
     part = np.arange(len(texts)) % 5
     chosen = lambda rows: {table.names[0][i] for i in table.choose(0, rows, toxic)}
     assert chosen(np.ones(len(texts), bool)) == {"vile", "onlyhere"} and chosen(part != 0) == {"vile"}
@@ -629,11 +629,21 @@ def test_forest_splits_and_walk():
 
 
 def test_samples_draw_long_texts(spark):
-    docs = spark.createDataFrame([(i, "ab " * (10_000 if i % 3 == 0 else 5)) for i in range(30)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
-    rows = labelled.sample(docs, labels, "toxic")
-    assert sorted((r[1], len(r[2])) for r in rows) == [(i, 30_000 if i % 3 == 0 else 15) for i in range(30)]
-    rows = labelled.sample(docs, labels, "toxic", chars=20_300)
-    assert sorted((r[1], len(r[2])) for r in rows) == [(i, 2000 if i % 3 == 0 else 15) for i in range(30)]
-    assert labelled.MAX_ROWS == 6000 and labelled.longest([], 5) == 1 and labelled.longest([3, 9], 5) == 2
-    assert labelled.sample(docs.limit(0), labels, "toxic") == []
+    docs = spark.createDataFrame([(i, "ab " * (10_000 if i % 3 == 0 else 5)) for i in range(30)] + [(3, "a"), (None, "x"), (40, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(7, 0), (None, 1), (40, 1), (41, 1), (9, None)], "doc_id long, toxic int")
+    rows = labelled.sample(docs, labels, "toxic").collect()
+    assert sorted((r["doc_id"], len(r["text"]), r["y"]) for r in rows) == [(i, 1 if i == 3 else 30_000 if i % 3 == 0 else 15, i % 2) for i in range(30) if i != 7]
+    assert labelled.MAX_ROWS == 6000 and labelled.sample(docs, labels, "toxic", rows=4).count() == 4
+    assert labelled.sample(docs.limit(0), labels, "toxic").count() == 0
+
+
+def test_toxicity_features_are_the_same_on_executors(spark):
+    texts = ["a bad bad word here", "badly worded, worse", "bad things worse", "bad and worse wordings", "", "kind words"] * 3
+    toxic = np.array([1, 1, 1, 1, 0, 0] * 3)
+    rows = spark.createDataFrame([(k, k, t, int(y)) for k, (t, y) in enumerate(zip(texts, toxic, strict=True))], "o long, doc_id long, text string, y int").repartition(4)
+    table, y = toxicity.Table.of_rows(rows)
+    own = toxicity.Table.of_texts(texts, toxic)
+    assert list(y) == list(toxic) and table.names == own.names and list(table.words) == list(own.words)
+    for kind in (0, 1):
+        cols = np.arange(len(own.names[kind]))
+        assert all(np.array_equal(a, b) for a, b in zip(table.dense(kind, cols), own.dense(kind, cols), strict=True))
