@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quirelens.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from quirelens.llm.common import materialize, table
+from quirelens.llm.common import forget, materialize, table
 from quirelens.llm.queries import tokenizer_path
 
 
@@ -50,11 +50,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, name)
+            if before is not None:
+                forget(before)
+            before = docs
     return docs
 
 
