@@ -9,8 +9,10 @@ points are the text of the example before.  The examples of a conversation thus
 times its replies; they are compressed on disk, and reading back moves only what is new in each.
 A conversation is streamed in turn order by one task, in memory of its formatted text.
 
-Null texts and roles: empty.  Null ids: one conversation.  Rows of one turn number: ordered by role
-and text, each a turn.  Null turns come first.  An empty table: no examples.
+Null texts and roles: empty.  Null ids: one conversation.  Rows of one turn number (ties, repeated
+rows): ordered by role and text, each a turn.  Null turns come first.  Very long texts: like any
+other, in the memory of the task that has their conversation.  An empty table: no examples.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -503,6 +503,8 @@ def test_chat(spark):
             assert (r["n_turns"], r["loss_chars"]) == (len(own), len(loss))
             assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
             assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    other = df.withColumn("example", F.lit("clash")).withColumn("context", F.lit("clash")).withColumn("now", F.lit(1))
+    assert sorted(map(tuple, chat.round_trip(other).collect()), key=str) == sorted(map(tuple, chat.round_trip(df).collect()), key=str)
     full = chat.full_texts(chat.examples(df, 1)).filter("conv_id = 1 and loss_stop > loss_start").orderBy("example").collect()
     assert [chat.unescape(r["text"][r["loss_start"] : r["loss_stop"]]) for r in full] == [hard, "b"]
     assert len(list(chat.turns_in(full[1]["text"]))) == 5

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -66,3 +67,28 @@ def test_run_is_the_stages_and_registered(spark, corpus):
     assert e.queries()["pipeline"] is corpus_pipeline.run
     assert {f"op{n}" for n in range(1, 11)} == {m[1] for k in e.queries() if (m := re.match(r"(op\d+)_", k))}
     assert corpus_pipeline.run(spark, corpus).count() > 100
+
+
+def test_stages_of_nothing_and_of_odd_columns(spark, corpus, tmp_path):
+    """Empty tables give empty ones; columns that stages might use for themselves come through."""
+    odd = ("_0", "_1", "_n", "_q0", "_Q1", "_spans", "key0", "node", "keep", "h", "th", "words", "salt")
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    for c in odd:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}:"), "doc_id"))
+    columns = docs.columns
+    docs.filter("doc_id >= 9990 or doc_id < 20").unionByName(docs.filter("doc_id = 10007")).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{corpus}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, str(tmp_path)).persist()
+        assert rows.columns == columns, name
+        assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows.collect() for c in odd), name
+    assert rows.filter("doc_id = 10007").count() == 1 and corpus_pipeline.STAGES[-1][1](spark, rows, str(tmp_path)).count() >= rows.count()
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{corpus}/{t}.parquet").limit(0).write.mode("overwrite").parquet(f"{tmp_path}/none/{t}.parquet")
+    some = docs.filter("doc_id < 5")
+    assert corpus_pipeline.drop_toxic(spark, some, f"{tmp_path}/none").count() == corpus_pipeline.drop_contaminated(spark, some, f"{tmp_path}/none").count() == some.count()
