@@ -80,14 +80,16 @@ def _hits_by_hash(docs: DataFrame, table: DataFrame, sizes: dict[int, int], hash
 
 
 def hits(docs: DataFrame, items: DataFrame, width: int = 10, table_rows: int = 200_000, hash_rows: int = 4_000_000) -> DataFrame:
-    """One row per document word at which a window occurs: doc_id, th (the text's hash), pos, stop (end of the longest window here), items."""
+    """One row per document word at which a window occurs: doc_id, th (the text's hash), pos, stop (end of the longest window here), items.
+
+    A written table: what reads it twice scans the texts once."""
     table = materialize(window_table(items, width), "windows")
     sizes = {r["len"]: r["n"] for r in table.groupBy("len").agg(F.count("*").alias("n")).collect()}  # width rows at most
     if not sizes:
         return _hits_at_once(docs.limit(0), table, [width])
     if sum(sizes.values()) <= table_rows:
-        return _hits_at_once(docs, table, sorted(sizes, reverse=True))
-    return _hits_by_hash(docs, table, sizes, hash_rows)
+        return materialize(_hits_at_once(docs, table, sorted(sizes, reverse=True)), "hits")
+    return materialize(_hits_by_hash(docs, table, sizes, hash_rows), "hits")
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, **how) -> DataFrame:
