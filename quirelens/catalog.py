@@ -439,7 +439,7 @@ _TIERED = """ti AS (SELECT r.*, CASE WHEN len(t1) > 0 THEN 1 WHEN len(t2) > 0 TH
 
 @query(f"WITH {SAMPLED}, {_TPL}, be AS (SELECT *, {_BEHAVIOUR.format(u='doc_id')} AS eb FROM gs), {_TIERED.format(key='doc_id', fits=_FITS, source='be')} SELECT doc_id, tier, array_to_string(options, ',') AS options FROM ti")
 def template_fallback_tier(spark, sf):
-    rows = _with_behaviour(spark, sf).withColumn("t", Q.template_tiers(templates(spark)))
+    rows = Q.with_library(_with_behaviour(spark, sf), templates(spark)).withColumn("t", Q.template_tiers())
     return rows.select("doc_id", "t.tier", F.array_join(F.transform("t.options", lambda o: o["id"]), ",").alias("options"))
 
 

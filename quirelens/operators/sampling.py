@@ -63,16 +63,19 @@ def _library(templates: DataFrame) -> list:
     return rows
 
 
-def template_tiers(templates: DataFrame) -> Column:
-    """For a row with file_type, stressors, expected_behavior: struct(tier, options), options those of the best
-    tier in file order.  1 specific match, 2 any match, 3 generic of the behaviour, 4 any answer template."""
-    rows = _library(templates)
+LIBRARY = "_templates array<struct<id:string,query:string,b:string,s:array<string>,f:array<string>>>, _topics array<string>"
+
 
-    def lit(r) -> Column:
-        strings = lambda x: F.array(*map(F.lit, x or [])).cast("array<string>")
-        return F.struct(F.lit(r["id"]).alias("id"), F.lit(r["query"]).alias("query"), F.lit(r["expected_behavior"]).alias("b"), strings(r["stressors_any"]).alias("s"), strings(r["file_types_any"]).alias("f"))
+def with_library(rows: DataFrame, templates: DataFrame, topics: list[str] | None = None) -> DataFrame:
+    """rows with `_templates` (in file order) and `_topics`, the same in every row: a broadcast frame of one row, not literals of the plan."""
+    library = [(r["id"], r["query"], r["expected_behavior"], list(r["stressors_any"] or []), list(r["file_types_any"] or [])) for r in _library(templates)]
+    return rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([(library, list(topics or []))], LIBRARY)))
 
-    every = F.array(*map(lit, rows))
+
+def template_tiers() -> Column:
+    """For a row with file_type, stressors, expected_behavior and `_templates`: struct(tier, options), options those of the best
+    tier in file order.  1 specific match, 2 any match, 3 generic of the behaviour, 4 any answer template."""
+    every = F.col("_templates")
 
     def bare(t: Column) -> Column:
         return (F.size(t["s"]) == 0) & (F.size(t["f"]) == 0)
@@ -91,9 +94,9 @@ def template_tiers(templates: DataFrame) -> Column:
     return out
 
 
-def topics_in(text: Column, topics: list[str]) -> Column:
+def topics_in(text: Column, topics: list[str] | Column) -> Column:
     """Topics whose part before the first slash, or the whole, is in the text."""
-    own = F.array(*map(F.lit, topics)).cast("array<string>")
+    own = topics if isinstance(topics, Column) else F.array(*map(F.lit, topics)).cast("array<string>")
     return F.filter(own, lambda t: F.contains(text, F.substring_index(t, "/", 1)) | F.contains(text, t))
 
 
@@ -108,10 +111,11 @@ def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_fi
     items = items.withColumn("_place", (F.col("pick") - 1) * queries_per_doc + F.col("k")).filter(F.col("_place") <= per_file_type)
     key = (F.col("file_type"), F.col("pick"), F.col("k"))
     items = items.withColumn("expected_behavior", weighted(uniform(draw(seed, "behaviour", *key)), mix or BEHAVIOUR_MIX))
-    items = items.withColumn("_t", template_tiers(templates)).withColumn("_c", choose(F.col("_t.options"), draw(seed, "template", *key)))
-    every = F.array(*map(F.lit, topics))
+    items = with_library(items, templates, topics)
+    items = items.withColumn("_t", template_tiers()).withColumn("_c", choose(F.col("_t.options"), draw(seed, "template", *key)))
+    every = F.col("_topics")
     if text:
-        hits = topics_in(F.col(text), topics)
+        hits = topics_in(F.col(text), every)
         every = F.when(F.size(hits) > 0, hits).otherwise(every)
     topic = choose(every, draw(seed, "topic", *key))
     name = F.coalesce(F.col(title), F.col("doc_id").cast("string")) if title else F.col("doc_id").cast("string")
