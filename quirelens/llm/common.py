@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +62,15 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def steady_memory() -> None:
+    """Large arrays of a worker go back to the system as soon as they are freed, so that one long text does not stay in
+    the worker's size.  Where the C library has no such switch, nothing happens."""
+    import ctypes
+
+    try:
+        ctypes.CDLL(None).mallopt(-3, 2 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        return
 
 
 def blobs(column: pa.Array) -> Iterator[np.ndarray]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key
+from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key, steady_memory
 from .components import components
 from .hashing import IS_SPACE, LOWER, mix, window_hashes, word_hashes
 
@@ -84,7 +84,8 @@ def _members(width: int, bits: int):
     schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()), *[(p, pa.int64()) for p in PARITY], ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.int64)
+        steady_memory()
+        counts = np.zeros(1 << bits, dtype=np.int32)
         for batch in batches:
             sizes, nodes, parities = [], [], []
             for data in blobs(batch.column(1)):
@@ -171,6 +172,7 @@ def _postings(width: int, bits: int, shared: frozenset, sketch, num: int, den: i
     schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("level", pa.int16()), ("big", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steady_memory()
         counts = sketch.value
         noise = float(np.median(counts))
         done: set[int] = set()  # copies in one partition are listed once
@@ -284,6 +286,7 @@ def _verify(width: int, num: int, den: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steady_memory()
         centre, mine = None, None
         for batch in batches:
             out_a, out_b = [], []

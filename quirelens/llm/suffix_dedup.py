@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key
+from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key, steady_memory
 from .hashing import mix, prefix_sums, range_hash
 
 CHUNK_BYTES = 1 << 20
@@ -106,12 +106,13 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, ...] | None:
     return m, left, span, grams[m], context, *sides
 
 
-def _scan(length: int):
+def _scan(length: int, rows: int = 2000):
     fields = [("key0", pa.int64()), ("key1", pa.int64()), ("m", pa.int32()), ("before", pa.int16()), ("span", pa.int16()), ("h", pa.int64()), ("ctx", pa.int64()), ("hl", pa.int32()), ("hr", pa.int32())]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        steady_memory()
+        for batch in (b.slice(a, rows) for b in batches for a in range(0, b.num_rows, rows)):
             keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
             cols: list[list] = [[] for _ in fields]
             for i, data in enumerate(blobs(batch.column(0))):
@@ -277,6 +278,7 @@ def _refined(length: int):
         return record(_SPAN, cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steady_memory()
         chunk: dict = {}
         size, bucket = 0, None
         for batch in batches:
