@@ -79,11 +79,16 @@ def starts_of(words: set[str]) -> set[str]:
     return {w[:k] + "-" for w in words for k in STARTS if len(w) > k}
 
 
-def counts_in(text: str | None, at: list[dict[str, int]]) -> tuple[int, dict[int, int], list[int]]:
-    """Words of a text, listed words with how often they come, listed beginnings."""
+def counts_in(text: str | None, at: list[dict[str, int]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a text, listed words, how often each comes, listed beginnings."""
     words = words_of(text)
+    cols, times = np.unique(np.array([at[0][w] for w in words if w in at[0]], dtype=np.int32), return_counts=True)
     own = {w for w in words if len(w) > STARTS[0]}
-    return len(words), Counter(at[0][w] for w in words if w in at[0]), sorted(at[1][s] for s in starts_of(own) if s in at[1])
+    return len(words), cols, times.astype(np.int32), np.array(sorted(at[1][s] for s in starts_of(own) if s in at[1]), dtype=np.int32)
+
+
+def ones_like(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.ones(len(x), np.int32) for x in arrays]
 
 
 class Table:
@@ -91,14 +96,13 @@ class Table:
 
     Only what LEAST_DOCS toxic texts have can be chosen; nothing else is kept."""
 
-    def __init__(self, names: list[list[str]], rows: list[tuple[int, dict[int, int], list[int]]]) -> None:
-        """rows: see counts_in."""
-        self.names, self.words = names, np.array([r[0] for r in rows], dtype=float)
-        self.cells = []
-        for own in ([r[1] for r in rows], [dict.fromkeys(r[2], 1) for r in rows]):
-            n = sum(map(len, own))
-            row = np.repeat(np.arange(len(own)), [len(x) for x in own])
-            self.cells.append((row, np.fromiter((c for x in own for c in x), np.int64, n), np.fromiter((k for x in own for k in x.values()), np.int64, n)))
+    def __init__(self, names: list[list[str]], words: np.ndarray, cells: list[tuple[list[np.ndarray], list[np.ndarray]]]) -> None:
+        """words: how many each text has.  cells: for words and for beginnings, the listed ones of every text and how often they come."""
+        self.names, self.words, self.cells = names, words.astype(float), []
+        none = [np.zeros(0, np.int32)]
+        for cols, times in cells:
+            row = np.repeat(np.arange(len(cols)), [len(x) for x in cols])
+            self.cells.append((row, np.concatenate(cols or none), np.concatenate(times or none)))
 
     @staticmethod
     def of_texts(texts: list[str], toxic: np.ndarray) -> Table:
@@ -110,7 +114,8 @@ class Table:
                 often[1].update(starts_of(own))
         names = [sorted(k for k, n in c.items() if n >= LEAST_DOCS) for c in often]
         at = [{t: i for i, t in enumerate(n)} for n in names]
-        return Table(names, [counts_in(t, at) for t in texts])
+        n, cols, times, starts = (list(c) for c in zip(*(counts_in(t, at) for t in texts), strict=True)) if texts else ([], [], [], [])
+        return Table(names, np.array(n), [(cols, times), (starts, ones_like(starts))])
 
     @staticmethod
     def of_rows(got: DataFrame) -> tuple[Table, np.ndarray]:
@@ -130,15 +135,16 @@ class Table:
         at = [{t: i for i, t in enumerate(n)} for n in names]
 
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            schema = pa.schema([("o", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("n", pa.int32()), *[(c, pa.list_(pa.int32())) for c in ("words", "times", "starts")]])
+            schema = pa.schema([("o", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("n", pa.int32()), *[(c, pa.binary()) for c in ("words", "times", "starts")]])
             for batch in batches:
                 rows = [counts_in(t.as_py(), at) for t in batch.column("text")]
-                yield record(schema, [batch.column("o"), batch.column("doc_id"), batch.column("y"), [r[0] for r in rows], [list(r[1]) for r in rows], [list(r[1].values()) for r in rows], [r[2] for r in rows]])
+                yield record(schema, [batch.column("o"), batch.column("doc_id"), batch.column("y"), [r[0] for r in rows], *[[r[i].tobytes() for r in rows] for i in (1, 2, 3)]])
 
-        kind = "o long, doc_id long, y int, n int, words array<int>, times array<int>, starts array<int>"
+        kind = "o long, doc_id long, y int, n int, words binary, times binary, starts binary"
         rows = sorted(got.mapInArrow(cells, kind).collect(), key=lambda r: (r["o"], r["doc_id"]))  # MAX_ROWS at most
         toxic = np.array([r["y"] for r in rows], dtype=int)
-        return Table(names, [(r["n"], dict(zip(r["words"], r["times"], strict=True)), r["starts"]) for r in rows]), toxic
+        cols, times, starts = ([np.frombuffer(r[c], np.int32) for r in rows] for c in ("words", "times", "starts"))
+        return Table(names, np.array([r["n"] for r in rows]), [(cols, times), (starts, ones_like(starts))]), toxic
 
     def choose(self, kind: int, rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         """At most MOST columns found far more often in toxic ones of `rows` (a mask), by smoothed log odds over their standard error."""
