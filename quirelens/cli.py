@@ -189,8 +189,8 @@ def parser() -> argparse.ArgumentParser:
         return p
 
     p = command(analyze, "reports on annotations")
-    p.add_argument("--input", "-i", default="docs_annotation/output")
-    p.add_argument("--output", "-o", default="analysis/reports")
+    p.add_argument("--input", "-i", default="annotations")
+    p.add_argument("--output", "-o", default="reports")
     p.add_argument("--folder", "-f")
     p.add_argument("--sparse-threshold", type=int, default=3)
     p.add_argument("--complexity-threshold", type=int, default=3)
@@ -199,14 +199,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--quiet", "-q", action="store_true")
 
     p = command(export, "one CSV row per annotation")
-    p.add_argument("--input", "-i", default="docs_annotation/output")
-    p.add_argument("--output", "-o", default="analysis/reports/files.csv")
+    p.add_argument("--input", "-i", default="annotations")
+    p.add_argument("--output", "-o", default="reports/files.csv")
 
     p = command(generate, "a question set")
-    p.add_argument("--annotations_dir", default="docs_annotation/output")
+    p.add_argument("--annotations_dir", default="annotations")
     p.add_argument("--docs_dir", default="")
-    p.add_argument("--out_dir", default="mock_query/queries")
-    p.add_argument("--templates_path", default="mock_query/templates_hr.json")
+    p.add_argument("--out_dir", default="queries")
+    p.add_argument("--templates_path", default="templates.json")
     p.add_argument("--per_file_type", type=int, default=50)
     p.add_argument("--queries_per_doc", type=int, default=2)
     p.add_argument("--seed", type=int, default=sampling.SEED)
@@ -216,8 +216,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--config", help="JSON or YAML whose keys go before the options")
 
     p = command(annotate, "annotations of all documents below a folder")
-    p.add_argument("--input", default="../reference/data/Files")
-    p.add_argument("--output", default="./output")
+    p.add_argument("--input", default="documents")
+    p.add_argument("--output", default="annotations")
     p.add_argument("--use-mock", action="store_true")
     p.add_argument("--no-skip-existing", action="store_true")
     p.add_argument("-v", "--verbose", action="store_true")
