@@ -28,7 +28,7 @@ def analysis_stressors() -> Column:
 def sampling_stressors() -> Column:
     """file_type:x, layout:x and undotted names; sorted and distinct."""
     p = "profile."
-    names = ["has_image", "has_table", "has_formula", "has_chart", "reading_order_sensitive", "table_profile.long_table", "table_profile.cross_page_table", "table_profile.table_dominant", "chart_profile.cross_page_chart"]
+    names = [t for t in STRESSOR_TAGS if t != "image_text_mixed"]
     layout = F.col("profile.layout")
     pairs = [(F.lit(True), F.concat(F.lit("file_type:"), F.lower(F.coalesce("file_type", F.lit("")))))]
     pairs += [(layout != "", F.concat(F.lit("layout:"), layout))] + [(F.col(p + n), F.lit(n.split(".")[-1])) for n in names]
