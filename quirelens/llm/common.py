@@ -50,7 +50,15 @@ def free_names(df: DataFrame, n: int) -> list[str]:
     return out
 
 
+#: Most rows of an Arrow batch: of whole texts, the default of 10,000 is tens of megabytes on both sides of each worker.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a directory.  Also holds the session's Arrow batches to BATCH_ROWS, whatever larger size was set."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
