@@ -20,7 +20,7 @@ bucket identifiers of later offsets, only where a bucket still holds more than o
    already renewed included, so depth at least doubles per pass.  Neighbours in the resulting order
    are compared byte by byte.
 
-Contexts count as equal by identifiers of 190 bits at least; everything else is decided on bytes.
+Contexts count as equal by identifiers of 159 bits at least; everything else is decided on bytes.
 
 Null and empty texts have no bytes and lose none; texts under `length` bytes lose none.  Very long
 texts: about ten times their bytes in the one task that scans them.  Repeated rows repeat each
