@@ -32,6 +32,11 @@ def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None)
     return out
 
 
+def extend(table: DataFrame, df: DataFrame) -> None:
+    """Appends rows to a table of `materialize`; who reads it afterwards reads its folder anew."""
+    df.select(*table.columns).write.mode("append").parquet(table._written)
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes tables of `materialize` that nothing reads any more."""
     for t in tables:

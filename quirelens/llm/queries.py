@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
+from . import chat, conversation_repair, decontaminate, hard_negatives, html_text, neighbours, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,7 +64,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(rows.unionByName(more))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_suffix_dedup, op4_html_text, op5_quality_rules, op6_ngram_join, op7_packing, op8_toxicity, op9_quality_model, op10_chat)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), F.col("embedding").alias("vec"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256.0)
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return neighbours.nearest(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_suffix_dedup, op4_html_text, op5_quality_rules, op6_ngram_join, op7_packing, op8_toxicity, op9_quality_model, op10_chat, op11_hard_negatives, op12_neighbours, op13_conversation_repair)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -104,4 +120,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_warc": WARC_SQL, "op2_decontaminate": decontaminate.CONTAMINATION_SQL, "op6_ngram_join": JOIN_SQL, "op10_chat": CHAT_SQL}
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": WARC_SQL, "op2_decontaminate": decontaminate.CONTAMINATION_SQL, "op6_ngram_join": JOIN_SQL, "op10_chat": CHAT_SQL, "op11_hard_negatives": NEGATIVES_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}
