@@ -148,7 +148,9 @@ def _rest(text: Column) -> Column:
     return F.rtrim(text, F.lit(WHITE))
 
 
-_ORDER = [F.col("conv_id").asc_nulls_first(), F.col("lost").asc(), F.col("turn").asc_nulls_first(), "role", "digest", "copy"]
+def _order(*first: Column) -> list:
+    """conv_id, then `first`, then the order of a conversation's rows."""
+    return [F.col("conv_id").asc_nulls_first(), *first, F.col("turn").asc_nulls_first(), "role", "digest", "copy"]
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -272,14 +274,14 @@ def plans(rows: DataFrame) -> DataFrame:
     first, rest = F.substring("role", 1, 1), _rest(F.col("text"))
     small = _keyed(rows).select("conv_id", "turn", first.alias("initial"), (rest == "").alias("blank"), (~F.right(rest, F.lit(1)).isin(".", "!", "?")).alias("cut"), "lost", "digest", "role", "copy")
     columns = ["conv_id", "turn", "initial", "blank", "cut", "lost", "digest"]
-    return small.repartition("conv_id").sortWithinPartitions(*_ORDER).select(*columns).mapInArrow(_plans, PLAN)
+    return small.repartition("conv_id").sortWithinPartitions(*_order(F.col("lost").asc())).select(*columns).mapInArrow(_plans, PLAN)
 
 
 def repaired(rows: DataFrame) -> DataFrame:
     """rows of `damage` or `as_is`.  One row per conversation: conv_id, COUNTS, audit, repaired_sha256."""
     heads = plans(rows).select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("turn", "long"), ("role", "string"), ("text", "string"), ("copy", "int"), ("digest", "binary"))], F.lit(False).alias("lost"))
     body = _keyed(rows.filter(~F.col("lost"))).select("conv_id", *[F.lit(None).cast("long").alias(c) for c in COUNTS], F.lit(None).cast("string").alias("audit"), "turn", "role", "text", "copy", "digest", "lost")
-    both = heads.unionByName(body).repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("audit").isNull(), *_ORDER[2:])
+    both = heads.unionByName(body).repartition("conv_id").sortWithinPartitions(*_order(F.col("audit").isNull()))
     return both.select("conv_id", *COUNTS, "audit", "role", "text").mapInArrow(_digests, DONE)
 
 
