@@ -19,14 +19,16 @@ from .operators import layout as L
 from .operators import plugins as P
 from .operators import sampling as Q
 from .operators import sinks as K
+from .operators.matching import matches, with_options
 from .operators.stressors import sampling_stressors, signature
+from .operators.topics import numbers_in, topics_in
 from .plans.pipeline import Pipeline
-from .plans.tables import ANN, BOXES, ELEMENTS, SAMPLED, STRESSED, TAG_VALUES, annotations, boxes, contents, failing, metadata, model_documents, read, scratch, table_elements
+from .plans.tables import ANN, BOXES, ELEMENTS, PAGE_BOXES, SAMPLED, STRESSED, TAG_VALUES, annotations, boxes, contents, failing, metadata, model_documents, page_boxes, read, table_elements
 from .schema import ANSWER_CONSTRAINTS, BEHAVIOUR_MIX, EXPECTED_TYPES
 from .sources import backends as B
 from .sources.annotations import scan
 from .sources.documents import resolve
-from .sources.files import qualified
+from .sources.files import qualified, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -284,9 +286,10 @@ def chart_presence(spark, sf):
 _OVER = "(least(i.x1, t.x1) - greatest(i.x0, t.x0)) > 0 AND (least(i.y1, t.y1) - greatest(i.y0, t.y0)) > 0 AND (least(i.x1, t.x1) - greatest(i.x0, t.x0)) * (least(i.y1, t.y1) - greatest(i.y0, t.y0)) / ((i.x1 - i.x0) * (i.y1 - i.y0)) > 0.5"
 
 
-@query(f"WITH {BOXES} SELECT doc_id, page, x0, y0, x1, y1 FROM bx i WHERE status = 'O' AND NOT EXISTS (SELECT 1 FROM bx t WHERE t.status = 'F' AND t.doc_id = i.doc_id AND {_OVER})")
+@query(f"WITH {PAGE_BOXES} SELECT doc_id, page, x0, y0, x1, y1 FROM pb i WHERE status = 'O' AND NOT EXISTS (SELECT 1 FROM pb t WHERE t.status = 'F' AND t.doc_id = i.doc_id AND t.page = i.page AND {_OVER})")
 def image_table_overlap_anti(spark, sf):
-    kept = E.without_overlap(boxes(spark, sf, "O"), boxes(spark, sf, "F"), ["doc_id"])
+    """Images of a page that no table of that page covers by more than a half."""
+    kept = E.without_overlap(page_boxes(spark, sf, "O"), page_boxes(spark, sf, "F"))
     return kept.select("doc_id", "page", *[F.col("bbox")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
 
 
@@ -412,7 +415,26 @@ _HITS = f"list_filter({_list(TOPICS)}, lambda t: contains(text, string_split(t,
 
 @query(f"SELECT doc_id, array_to_string({_HITS}, ',') AS topics FROM documents")
 def topic_hits(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", F.array_join(Q.topics_in(F.col("text"), TOPICS), ",").alias("topics"))
+    return read(spark, sf, "documents").select("doc_id", F.array_join(topics_in(spark, F.col("text"), TOPICS), ",").alias("topics"))
+
+
+_LIBRARY = "(SELECT DISTINCT substr(text, 1 + CAST(n % 40 AS INT), 5 + CAST(n % 11 AS INT)) AS topic FROM (SELECT text, length(text) AS n FROM benchmark))"
+
+
+def _library_topics(spark, sf):
+    """A library of topics from the benchmark's items: a piece of each; those with a slash count by what stands before it."""
+    n = F.length("text")
+    return [r[0] for r in read(spark, sf, "benchmark").select(F.substring(F.col("text"), 1 + n % 40, 5 + n % 11).alias("topic")).distinct().orderBy("topic").collect()]
+
+
+@query(f"WITH t AS {_LIBRARY} SELECT t.topic, count(d.doc_id) AS n_docs, min(d.doc_id) AS first_doc FROM t LEFT JOIN documents d ON d.text <> '' AND (contains(d.text, string_split(t.topic, '/')[1]) OR contains(d.text, t.topic)) GROUP BY t.topic")
+def topic_hits_library(spark, sf):
+    """How many documents each topic of a large library hits, and the first of them."""
+    topics = _library_topics(spark, sf)
+    names = spark.createDataFrame(list(enumerate(topics)), "number int, topic string")
+    hits = read(spark, sf, "documents").select("doc_id", F.explode(numbers_in(spark, F.col("text"), topics)).alias("number"))
+    counts = hits.groupBy("number").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    return names.join(counts, "number", "left").select("topic", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "first_doc")
 
 
 # --- sampling ----------------------------------------------------------------------------------
@@ -429,7 +451,7 @@ def _with_behaviour(spark, sf):
 
 @query(f"WITH {SAMPLED}, {_TPL} SELECT doc_id, id AS template_id FROM (SELECT *, {_BEHAVIOUR.format(u='doc_id')} AS eb FROM gs) JOIN tpl ON b = eb AND {_FITS}")
 def template_match(spark, sf):
-    return Q.matches(_with_behaviour(spark, sf), templates(spark)).select("doc_id", "template_id")
+    return matches(_with_behaviour(spark, sf), templates(spark)).select("doc_id", "template_id")
 
 
 _TIERED = """ti AS (SELECT r.*, CASE WHEN len(t1) > 0 THEN 1 WHEN len(t2) > 0 THEN 2 WHEN len(t3) > 0 THEN 3 ELSE 4 END AS tier, CASE WHEN len(t1) > 0 THEN t1 WHEN len(t2) > 0 THEN t2 WHEN len(t3) > 0 THEN t3 ELSE t4 END AS options
@@ -439,8 +461,7 @@ _TIERED = """ti AS (SELECT r.*, CASE WHEN len(t1) > 0 THEN 1 WHEN len(t2) > 0 TH
 
 @query(f"WITH {SAMPLED}, {_TPL}, be AS (SELECT *, {_BEHAVIOUR.format(u='doc_id')} AS eb FROM gs), {_TIERED.format(key='doc_id', fits=_FITS, source='be')} SELECT doc_id, tier, array_to_string(options, ',') AS options FROM ti")
 def template_fallback_tier(spark, sf):
-    rows = Q.with_library(_with_behaviour(spark, sf), templates(spark)).withColumn("t", Q.template_tiers())
-    return rows.select("doc_id", "t.tier", F.array_join(F.transform("t.options", lambda o: o["id"]), ",").alias("options"))
+    return with_options(_with_behaviour(spark, sf), templates(spark)).select("doc_id", "tier", F.array_join("options", ",").alias("options"))
 
 
 _RANKED = f"""rk AS (SELECT *, row_number() OVER (PARTITION BY file_type, sig ORDER BY hd, ordinal) AS r FROM (SELECT *, {_h('doc', 'file_type', 'CAST(doc_id AS VARCHAR)')} AS hd, {_h('sig', 'file_type', 'sig')} AS hs FROM gs))"""
@@ -653,15 +674,24 @@ def model_page_counts(spark, sf):
     return B.model_page_count(model_documents(spark, sf))
 
 
-@query(f"""WITH f AS (SELECT '/d/' || doc_id || '.pdf' AS path, CAST(doc_id AS VARCHAR) AS stem FROM documents WHERE n_chars % 4 = 0 UNION ALL SELECT '/e/' || doc_id || unnest(['.docx', '.txt']), CAST(doc_id AS VARCHAR) FROM documents WHERE n_chars % 3 = 0),
-s AS (SELECT stem, min(path) AS path FROM f GROUP BY 1)
-SELECT d.doc_id, CASE WHEN d.n_chars % 2 = 0 AND d.n_chars % 4 = 0 THEN '/d/' || d.doc_id || '.pdf' ELSE s.path END AS found FROM documents d LEFT JOIN s ON s.stem = CAST(d.doc_id AS VARCHAR)""")
+_NAMED = "CASE WHEN n_chars % 7 = 0 THEN 'r.' || (doc_id // 2) ELSE 'r.' || doc_id || '.v' || (n_chars % 3) END"
+
+
+@query(f"""WITH f AS (SELECT '/d/' || doc_id || '.pdf' AS path FROM documents WHERE n_chars % 4 = 0 UNION ALL SELECT '/e-1/' || doc_id || unnest(['.docx', '.txt']) FROM documents WHERE n_chars % 3 = 0
+  UNION ALL SELECT CASE WHEN doc_id % 2 = 0 THEN '/e/x/' ELSE '/e/' END || 'r.' || doc_id || '.v' || (n_chars % 3) || '.tar.gz' FROM documents),
+n AS (SELECT path, list_last(string_split(path, '/')) AS name, string_split(path, '/') AS parts FROM f),
+a AS (SELECT doc_id AS number, CASE WHEN n_chars % 5 = 0 THEN {_NAMED} ELSE CAST(doc_id AS VARCHAR) END AS doc_id, CASE WHEN n_chars % 2 = 0 THEN '/d/' || doc_id || '.pdf' END AS file_path FROM documents),
+g AS (SELECT a.doc_id, arg_min(n.path, n.parts) AS path FROM (SELECT DISTINCT doc_id FROM a) a JOIN n ON starts_with(n.name, a.doc_id || '.') GROUP BY a.doc_id)
+SELECT number AS doc_id, coalesce(f.path, g.path) AS found FROM a LEFT JOIN (SELECT DISTINCT path FROM f) f ON f.path = a.file_path LEFT JOIN g ON g.doc_id = a.doc_id""")
 def resolved_files(spark, sf):
+    """The file of each annotation: its own path, else the first `doc_id.*`; names and ids with several dots among them."""
     d = read(spark, sf, "documents")
     own, n = F.col("doc_id").cast("string"), F.col("n_chars")
-    pdf = F.concat(F.lit("/d/"), own, F.lit(".pdf"))
-    files = d.filter(n % 4 == 0).select(pdf.alias("path")).unionByName(d.filter(n % 3 == 0).select(F.explode(F.array(*[F.concat(F.lit("/e/"), own, F.lit(x)) for x in (".docx", ".txt")])).alias("path")))
-    ann = d.select(own.alias("doc_id"), F.when(n % 2 == 0, pdf).alias("file_path"), F.col("doc_id").alias("number"))
+    pdf, version = F.concat(F.lit("/d/"), own, F.lit(".pdf")), F.concat(F.lit("r."), own, F.lit(".v"), (n % 3).cast("string"))
+    files = d.filter(n % 4 == 0).select(pdf.alias("path")).unionByName(d.filter(n % 3 == 0).select(F.explode(F.array(*[F.concat(F.lit("/e-1/"), own, F.lit(x)) for x in (".docx", ".txt")])).alias("path")))
+    files = files.unionByName(d.select(F.concat(F.when(F.col("doc_id") % 2 == 0, "/e/x/").otherwise("/e/"), version, F.lit(".tar.gz")).alias("path")))
+    named = F.when(n % 7 == 0, F.concat(F.lit("r."), F.expr("cast(doc_id div 2 as string)"))).otherwise(version)
+    ann = d.select(F.when(n % 5 == 0, named).otherwise(own).alias("doc_id"), F.when(n % 2 == 0, pdf).alias("file_path"), F.col("doc_id").alias("number"))
     return resolve(ann, files).select(F.col("number").alias("doc_id"), "found")
 
 

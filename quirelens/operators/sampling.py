@@ -1,7 +1,7 @@
 """Balanced, seeded question sets: strata, round robin, quotas, behaviours, templates, topics, numbering.
 
 Every draw is a hash of seed, purpose and key, so that no draw depends on another or on the order
-of work.  Templates: id, query, expected_behavior, stressors_any, file_types_any, ord (file order)."""
+of work."""
 
 from __future__ import annotations
 
@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import choose, constraints, draw, uniform, weighted
 from ..schema import BEHAVIOUR_MIX
+from .matching import with_choice
+from .selection import by_rank
 from .stressors import sampling_stressors, signature
+from .topics import numbers_in
 
 SEED = 20260204
 
@@ -35,69 +38,18 @@ def round_robin(rows: DataFrame, target: int, seed: int = SEED) -> DataFrame:
 
 
 def round_robin_replacement(rows: DataFrame, target: int, seed: int = SEED) -> DataFrame:
-    """As round_robin, but each bucket gives a row in every round: its r-th, then drawn ones again."""
-    own = ranked(rows, seed)
-    sizes = own.groupBy("file_type", "sig", "hs").agg(F.count("*").alias("n"))
+    """As round_robin, but each bucket gives a row in every round: its r-th, then drawn ones again.
+
+    Only the ranks that are picked are looked for (see `selection.by_rank`): no bucket is sorted whole."""
+    own = rows.withColumn("_h", draw(seed, "doc", F.col("file_type"), F.col("doc_id")))
+    sizes = own.groupBy("file_type", "sig").agg(F.count("*").alias("n")).withColumn("hs", draw(seed, "sig", F.col("file_type"), F.col("sig")))
     sizes = sizes.withColumn("rounds", F.expr(f"cast(ceil({target} / count(*) over (partition by file_type)) as int)"))
     turns = sizes.select("file_type", "sig", "hs", "n", F.explode(F.expr("sequence(1, rounds)")).alias("turn"))
     again = F.try_mod(draw(seed, "again", F.col("file_type"), F.col("sig"), F.col("turn")), F.col("n")) + 1
-    turns = turns.withColumn("r", F.when(F.col("turn") <= F.col("n"), F.col("turn")).otherwise(again).cast("int"))
+    turns = turns.withColumn("r", F.when(F.col("turn") <= F.col("n"), F.col("turn")).otherwise(again).cast("long"))
     picked = turns.withColumn("pick", F.expr("row_number() over (partition by file_type order by turn, hs, sig)")).filter(F.col("pick") <= target)
-    return picked.select("file_type", "sig", "r", "turn", "pick").join(own.drop("hs"), ["file_type", "sig", "r"])
-
-
-def matches(items: DataFrame, templates: DataFrame) -> DataFrame:
-    """Pairs of items (file_type, stressors, expected_behavior) and templates that fit; templates are a small, counted table."""
-    t = templates.select(F.col("id").alias("template_id"), F.col("expected_behavior").alias("_b"), "stressors_any", "file_types_any", "query", "ord")
-    fits = (F.size("file_types_any") == 0) | F.array_contains("file_types_any", F.col("file_type"))
-    fits = fits & ((F.size("stressors_any") == 0) | F.arrays_overlap("stressors_any", "stressors"))
-    return items.join(t, (F.col("expected_behavior") == F.col("_b")) & fits).drop("_b")
-
-
-def _library(templates: DataFrame) -> list:
-    rows = templates.orderBy("ord").limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("a template library has at most 10,000 templates")
-    if not any(r["expected_behavior"] == "answer" for r in rows):
-        raise ValueError("the template library has no template with expected_behavior answer to fall back on")
-    return rows
-
-
-LIBRARY = "_templates array<struct<id:string,query:string,b:string,s:array<string>,f:array<string>>>, _topics array<string>"
-
-
-def with_library(rows: DataFrame, templates: DataFrame, topics: list[str] | None = None) -> DataFrame:
-    """rows with `_templates` (in file order) and `_topics`, the same in every row: a broadcast frame of one row, not literals of the plan."""
-    library = [(r["id"], r["query"], r["expected_behavior"], list(r["stressors_any"] or []), list(r["file_types_any"] or [])) for r in _library(templates)]
-    return rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([(library, list(topics or []))], LIBRARY)))
-
-
-def template_tiers() -> Column:
-    """For a row with file_type, stressors, expected_behavior and `_templates`: struct(tier, options), options those of the best
-    tier in file order.  1 specific match, 2 any match, 3 generic of the behaviour, 4 any answer template."""
-    every = F.col("_templates")
-
-    def bare(t: Column) -> Column:
-        return (F.size(t["s"]) == 0) & (F.size(t["f"]) == 0)
-
-    def own(t: Column) -> Column:
-        return t["b"] == F.col("expected_behavior")
-
-    def fits(t: Column) -> Column:
-        return own(t) & ((F.size(t["f"]) == 0) | F.array_contains(t["f"], F.col("file_type"))) & ((F.size(t["s"]) == 0) | F.arrays_overlap(t["s"], F.col("stressors")))
-
-    tiers = [F.filter(every, lambda t: fits(t) & ~bare(t)), F.filter(every, fits), F.filter(every, lambda t: own(t) & bare(t)), F.filter(every, lambda t: t["b"] == "answer")]
-    out = None
-    for i, options in enumerate(tiers, 1):
-        value = F.struct(F.lit(i).alias("tier"), options.alias("options"))
-        out = F.when(F.size(options) > 0, value) if out is None else out.when(F.size(options) > 0, value)
-    return out
-
-
-def topics_in(text: Column, topics: list[str] | Column) -> Column:
-    """Topics whose part before the first slash, or the whole, is in the text."""
-    own = topics if isinstance(topics, Column) else F.array(*map(F.lit, topics)).cast("array<string>")
-    return F.filter(own, lambda t: F.contains(text, F.substring_index(t, "/", 1)) | F.contains(text, t))
+    picked = picked.select("file_type", "sig", "r", "turn", "pick")
+    return picked.join(by_rank(own, picked, ["file_type", "sig"], "_h", ["ordinal"]).drop("_h"), ["file_type", "sig", "r"])
 
 
 def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_file_type: int = 50, queries_per_doc: int = 2, seed: int = SEED, replacement: bool = False, mix: dict[str, float] | None = None, text: str | None = None, title: str | None = None, domain: str = "hr") -> DataFrame:
@@ -111,15 +63,17 @@ def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_fi
     items = items.withColumn("_place", (F.col("pick") - 1) * queries_per_doc + F.col("k")).filter(F.col("_place") <= per_file_type)
     key = (F.col("file_type"), F.col("pick"), F.col("k"))
     items = items.withColumn("expected_behavior", weighted(uniform(draw(seed, "behaviour", *key)), mix or BEHAVIOUR_MIX))
-    items = with_library(items, templates, topics)
-    items = items.withColumn("_t", template_tiers()).withColumn("_c", choose(F.col("_t.options"), draw(seed, "template", *key)))
-    every = F.col("_topics")
+    items = with_choice(items, templates, draw(seed, "template", *key))
+    every = rows.sparkSession.createDataFrame(list(enumerate(topics)), "_topic long, topic string")
+    own = draw(seed, "topic", *key)
     if text:
-        hits = topics_in(F.col(text), every)
-        every = F.when(F.size(hits) > 0, hits).otherwise(every)
-    topic = choose(every, draw(seed, "topic", *key))
+        hits = numbers_in(rows.sparkSession, F.col(text), topics)
+        items = items.withColumn("_hits", hits).withColumn("_topic", F.coalesce(choose(F.col("_hits"), own).cast("long"), F.try_mod(own, F.lit(len(topics)))))
+    else:
+        items = items.withColumn("_topic", F.try_mod(own, F.lit(len(topics))))
+    items = items.join(every, "_topic", "left")
     name = F.coalesce(F.col(title), F.col("doc_id").cast("string")) if title else F.col("doc_id").cast("string")
-    query = F.replace(F.replace(F.replace(F.col("_c.query"), F.lit("{topic}"), topic), F.lit("{doc_title}"), name), F.lit("{doc_id}"), F.col("doc_id").cast("string"))
+    query = F.replace(F.replace(F.replace(F.col("query"), F.lit("{topic}"), F.col("topic")), F.lit("{doc_title}"), name), F.lit("{doc_id}"), F.col("doc_id").cast("string"))
     none = F.array().cast("array<string>")
     numbered = items.withColumn("_n", F.expr("row_number() over (order by file_type, pick, k)"))  # bounded: types x per_file_type rows
     return numbered.select(
@@ -133,8 +87,8 @@ def question_set(ann: DataFrame, templates: DataFrame, topics: list[str], per_fi
         constraints(F.col("expected_behavior")).alias("answer_constraints"),
         F.struct("doc_id", "file_type", "profile").alias("doc_annotation"),
         "stressors",
-        F.struct(F.col("_c.id").alias("template_id"), F.col("file_type").alias("category_key"), F.col("sig").alias("stressor_signature"), F.lit(seed).cast("bigint").alias("seed"), F.lit(bool(text)).alias("ground_with_content")).alias("generation"),
-        F.col("_t.tier").alias("tier"),
+        F.struct("template_id", F.col("file_type").alias("category_key"), F.col("sig").alias("stressor_signature"), F.lit(seed).cast("bigint").alias("seed"), F.lit(bool(text)).alias("ground_with_content")).alias("generation"),
+        "tier",
     )
 
 

@@ -89,19 +89,6 @@ def model_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("pages", pages).withColumn("page_count", F.when(F.col("k") % 3 == 0, F.lit(7))).drop("n", "k")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder for files that a query writes and reads again: below spark.checkpoint.dir, or a local one in local mode."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return f"{base.rstrip('/')}/quirelens-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="quirelens-")
-
-
 _STRIP = "'" + "".join(c for c in WHITE if c in " ") + "' || " + " || ".join(f"chr({ord(c)})" for c in WHITE if c != " ")
 
 ANN = f"""
@@ -141,5 +128,15 @@ def boxes(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), box.alias("bbox"))
 
 
+def page_boxes(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """doc_id, page, bbox: many boxes a page, four pages a supplier."""
+    li = read(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
+    x, y = (F.col("l_orderkey") * 7 % 400).cast("double"), (F.col("l_partkey") * 13 % 500).cast("double")
+    w, h = 10 + F.col("l_quantity").cast("double") * (1 + F.col("l_linenumber") % 3), 20.0 + 11 * (F.col("l_orderkey") % 9)
+    return li.select(F.col("l_suppkey").alias("doc_id"), (F.col("l_partkey") % 4).alias("page"), F.array(x, y, x + w, y + h).alias("bbox"))
+
+
+PAGE_BOXES = """pb AS (SELECT doc_id, page, status, x0, y0, x0 + w AS x1, y0 + h AS y1 FROM (SELECT l_suppkey AS doc_id, l_partkey % 4 AS page, l_linestatus AS status, CAST(l_orderkey * 7 % 400 AS DOUBLE) AS x0, CAST(l_partkey * 13 % 500 AS DOUBLE) AS y0,
+  10 + CAST(l_quantity AS DOUBLE) * (1 + l_linenumber % 3) AS w, CAST(20 + 11 * (l_orderkey % 9) AS DOUBLE) AS h FROM lineitem))"""
 ELEMENTS = "el AS (SELECT l_orderkey AS doc_id, l_linenumber AS page, 4 * CAST(l_quantity AS INT) AS rows, 1 + l_partkey % 12 AS cols FROM lineitem WHERE l_returnflag <> 'A')"
 BOXES = "bx AS (SELECT l_orderkey AS doc_id, l_linenumber AS page, l_linestatus AS status, CAST(l_partkey % 60 AS DOUBLE) AS x0, CAST(l_suppkey % 60 AS DOUBLE) AS y0, l_partkey % 60 + 10 + l_quantity AS x1, CAST(l_suppkey % 60 + 20 AS DOUBLE) AS y1 FROM lineitem)"

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import file_type, page_estimate, stem, strip, visible_text
@@ -252,10 +252,20 @@ def contents(files: DataFrame, backend: str = "auto", extract_images: bool = Tru
     return rows.select("doc_id", "file_type", "file_path", "text", pages.cast("int").alias("page_count"), content.alias("content")).mapInPandas(_parse(parsers_of(backend, extract_images)), CONTENT)
 
 
+def dot_prefixes(name: Column) -> Column:
+    """The beginnings of a file name that end before a dot, without the empty one."""
+    pieces = F.split(name, r"\.")
+    return F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1))), lambda k: F.when(F.size(pieces) > 1, F.array_join(F.slice(pieces, 1, k), "."))), lambda x: F.coalesce(x, F.lit("")) != "")
+
+
 def resolve(ann: DataFrame, files: DataFrame) -> DataFrame:
-    """ann (doc_id, file_path) with `found`: its own path if a file stands there, else the first file of that stem."""
+    """ann (doc_id, file_path) with `found`: its own path if a file stands there, else the first file named `doc_id.*`.
+
+    Files are indexed by every beginning of their names that ends before a dot; the first is that of the least path, folder by folder."""
     paths = files.select("path").distinct()
     own = paths.select(F.col("path").alias("own_path"))
-    by_stem = paths.groupBy(stem(F.col("path")).alias("_stem")).agg(F.min("path").alias("stem_path"))
-    rows = ann.join(own, ann["file_path"] == own["own_path"], "left").join(by_stem, ann["doc_id"] == by_stem["_stem"], "left")
-    return rows.withColumn("found", F.coalesce("own_path", "stem_path")).drop("own_path", "stem_path", "_stem")
+    parts = F.split("path", "/")
+    index = paths.select(parts.alias("_parts"), F.explode(dot_prefixes(F.element_at(parts, -1))).alias("_prefix"))
+    index = index.groupBy("_prefix").agg(F.array_join(F.min("_parts"), "/").alias("prefix_path"))
+    rows = ann.join(own, ann["file_path"] == own["own_path"], "left").join(index, ann["doc_id"] == index["_prefix"], "left")
+    return rows.withColumn("found", F.coalesce("own_path", "prefix_path")).drop("own_path", "prefix_path", "_prefix")
