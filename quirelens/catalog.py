@@ -6,11 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalar as X
+from .functions.markup import visible_text
 from .operators import analytics as A
 from .operators import elements as E
 from .operators import features as S
@@ -29,6 +31,7 @@ from .sources import backends as B
 from .sources.annotations import scan
 from .sources.documents import resolve
 from .sources.files import qualified, scratch
+from .streaming.incremental import annotate_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -389,17 +392,20 @@ def ext_type_lookup(spark, sf):
 
 
 _WHITE = "' ' || " + " || ".join(f"chr({ord(c)})" for c in X.WHITE if c != " ")
-_VISIBLE = "html"
-for _p in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->"):
-    _VISIBLE = f"regexp_replace({_VISIBLE}, '{_p}', '', 'g')"
-_VISIBLE = f"regexp_replace({_VISIBLE}, '<[^>]*>', chr(10), 'g')"
-for _e, _c in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
-    _VISIBLE = f"replace({_VISIBLE}, '{_e}', {_c})"
-
-
-@query(f"SELECT page_id, array_to_string(list_filter(list_transform(string_split({_VISIBLE}, chr(10)), lambda x: trim(x, {_WHITE})), lambda x: x <> ''), chr(10)) AS text FROM pages")
+_RUNS_OF_TEXT = "html"
+for _p in (r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>", r"(?s)<!--.*?-->", "<[a-zA-Z/!?](?:[^>\"\'\']|\"[^\"]*\"|\'\'[^\'\']*\'\')*>"):
+    _RUNS_OF_TEXT = f"regexp_replace({_RUNS_OF_TEXT}, '{_p}', chr(1), 'g')"
+_NAMES = "MAP {" + ", ".join(f"'&{k}': {' || '.join(f'chr({ord(c)})' for c in v)}" for k, v in html5.items()) + "}"
+_BARE_NAMES = _list(sorted((f"&{k}" for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+_DECODED = """list_aggregate(list_transform(regexp_extract_all(run, '&#[0-9]+;|&#[xX][0-9a-fA-F]+;|&[a-zA-Z0-9]+;?|[^&]+|&'), lambda r: CASE WHEN r[:3] IN ('&#x', '&#X') THEN chr(CAST('0x' || r[4:-2] AS INT)) WHEN r[:2] = '&#' THEN chr(CAST(r[3:-2] AS INT))
+  WHEN r[:1] = '&' THEN coalesce(names[r], names[list_filter(bare, lambda b: starts_with(r, b))[1]] || r[1 + length(list_filter(bare, lambda b: starts_with(r, b))[1]):], r) ELSE r END), 'string_agg', '')"""
+
+
+@query(f"""WITH r AS (SELECT page_id, unnest(string_split({_RUNS_OF_TEXT}, chr(1))) AS run, generate_subscripts(string_split({_RUNS_OF_TEXT}, chr(1)), 1) AS i FROM pages),
+t AS (SELECT page_id, i, trim({_DECODED}, {_WHITE}) AS run FROM r, (SELECT {_NAMES} AS names, {_BARE_NAMES} AS bare) WHERE run <> '')
+SELECT p.page_id, coalesce(x.text, CASE WHEN p.html IS NOT NULL THEN '' END) AS text FROM pages p LEFT JOIN (SELECT page_id, string_agg(run, chr(10) ORDER BY i) AS text FROM t WHERE run <> '' GROUP BY page_id) x USING (page_id)""")
 def html_text(spark, sf):
-    return read(spark, sf, "pages").select("page_id", X.visible_text(F.col("html")).alias("text"))
+    return read(spark, sf, "pages").select("page_id", visible_text(F.col("html")).alias("text"))
 
 
 _TITLE_LINES = "list_filter(list_transform(string_split_regex(text, '\\r\\n|[\\n\\r]'), lambda x: substr(trim(ltrim(trim(x), '#')), 1, 60)), lambda x: x <> '')"
@@ -586,6 +592,14 @@ def annotation_files(spark, sf):
     return _flat_profile(scan(spark, at.removeprefix("file:").replace("///", "/"), "strict"), "profile")
 
 
+@query(f"WITH {_DONE} SELECT {_DONE_COLUMNS} FROM done")
+def annotate_stream(spark, sf):
+    """Documents annotated as a stream, file by file, into committed batches."""
+    at = qualified(spark, scratch(spark))
+    rows = annotate_rows(spark, f"{sf}/documents.parquet", lambda df: L.annotate(contents(spark, sf, df)), L.annotate(contents(spark, sf)).schema, f"{at}/batches", f"{at}/checkpoint")
+    return _flat_profile(rows)
+
+
 @query(f"WITH {_DONE} SELECT file_path, CASE WHEN file_type = 'pdf' THEN 'single' ELSE layout END AS layout, CAST(NULL AS BOOLEAN) AS reading_order_sensitive, table_dominant FROM done")
 def annotate_with_model(spark, sf):
     """A model without opinion: its first option is the layout of PDF files, and rules stand elsewhere."""

@@ -146,14 +146,14 @@ def annotate(spark: SparkSession, args: argparse.Namespace) -> None:
         outputs = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target).select(F.regexp_replace("path", r"^file:/+", "/").alias("path"))
     good, bad = service.batch(source, failed, outputs, target, not args.no_skip_existing)
     service.save(good, source, target)
-    errors = bad.collect() if (n_bad := bad.count()) <= sinks.LISTED else []
+    n_bad = bad.count()
     n_good = good.count()
     if n_bad:
         # beside the annotations, not among them
         report = target.rstrip("/") + "_failed_files"
         sinks.write_failures(bad, report)
         print(f"failures: {report}")
-    for r in errors if args.verbose else ():
+    for r in bad.toLocalIterator() if args.verbose else ():  # a partition at a time
         print(f"failed: {r['file']}: {r['error']}")
     print(f"processed {n_good + n_bad}, success {n_good}, failed {n_bad}, {time.time() - began:.2f} s, output {qualified(spark, target)}")
 

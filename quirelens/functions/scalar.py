@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schema import ANSWER_CONSTRAINTS, EXTENSION_TYPES
 
 #: What str.strip() takes off, as far as texts have it.
-WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0  　"
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(c: Column) -> Column:
@@ -64,16 +64,6 @@ def page_estimate(text: Column, lines_per_page: int = 50) -> Column:
     return F.greatest(F.lit(1), F.floor(F.size(F.split(text, "\n")) / lines_per_page).cast("int"))
 
 
-def visible_text(html: Column) -> Column:
-    """Text of a page without scripts, styles and comments, one line per text run, stripped."""
-    out = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", "")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, r"<[^>]*>", "\n")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.array_join(F.filter(F.transform(F.split(out, "\n"), strip), lambda x: x != ""), "\n")
-
-
 def overlap(a: Column, b: Column) -> Column:
     """Share of box a (x0, y0, x1, y1) under box b; 0 when apart or a is empty."""
     w = F.least(a[2], b[2]) - F.greatest(a[0], b[0])
@@ -131,11 +121,6 @@ def constraints(behaviour: Column) -> Column:
     return out.otherwise(F.struct(lists([]).alias("must_mention"), lists([]).alias("must_not_mention")))
 
 
-def label_of(response: Column, options: Column) -> Column:
-    """First option that a model's response contains, else the first option, else unknown."""
-    return F.coalesce(F.get(F.filter(options, lambda o: F.contains(F.lower(response), F.lower(o))), F.lit(0)), F.get(options, F.lit(0)), F.lit("unknown"))
-
-
 def percent(x: float) -> str:
     """For reports: rendered on the driver, where rounding is the reports' own."""
     return f"{x * 100:.1f}%"
@@ -150,9 +135,3 @@ def json_kind(description: str) -> str:
 def json_field(c: Column, path: str, kind: str = "string") -> Column:
     """Value at a path of a JSON string; null where there is none or it is of another kind."""
     return F.get_json_object(c, path).try_cast(kind)
-
-
-def complete(response: Column, keys: list[str]) -> Column:
-    """A model's JSON object as map with all keys, null where missing or not JSON."""
-    got = F.from_json(response, "map<string,string>", {"mode": "PERMISSIVE"})
-    return F.create_map(*[x for k in keys for x in (F.lit(k), F.try_element_at(got, F.lit(k)))])

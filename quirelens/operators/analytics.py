@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import EXPECTED_TYPES, STRESSOR_TAGS, TAGS
+from ..schema import EXPECTED_TYPES, TAGS
 from .stressors import analysis_stressors, tag
 
 
@@ -183,6 +183,3 @@ def full_analysis(ann: DataFrame, threshold: int = 3, complexity: int = 3) -> di
         "advice": sampling_advice(own, threshold, complexity),
     }
 
-
-#: For configurations: the tags that balanced sampling looks at.
-BALANCE_TAGS = STRESSOR_TAGS

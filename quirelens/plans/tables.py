@@ -14,9 +14,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ordinal, doc_id, folder, file_type, file_path, profile, text, page_count, n_lines of documents with their labels."""
-    d = read(spark, sf_dir, "documents")
+def annotations(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+    """ordinal, doc_id, folder, file_type, file_path, profile, text, page_count, n_lines of documents (all, or those given) with their labels."""
+    d = read(spark, sf_dir, "documents") if documents is None else documents
     labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("_l"), "quality", "toxic")
     rows = d.join(labels, d["doc_id"] == labels["_l"], "left").drop("_l")
     m = F.col("doc_id") % 10
@@ -46,9 +46,9 @@ def metadata(**given: Column) -> Column:
     return F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in METADATA])
 
 
-def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contents(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
     """schema.CONTENT of documents, as parsers would give it; fifty stems for all of them, so that only paths tell files apart."""
-    rows, p, n = annotations(spark, sf_dir), "profile.", F.length("text")
+    rows, p, n = annotations(spark, sf_dir, documents), "profile.", F.length("text")
     first = F.struct(F.lit(0).alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.col("n_lines").alias("rows"), F.lit(4).alias("cols"))
     last = F.struct((F.col("page_count") - 1).alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.lit(2).alias("rows"), F.lit(2).alias("cols"))
     every = F.expr("sequence(0, page_count - 1)")

@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import file_type, page_estimate, stem, strip, visible_text
+from ..functions.markup import visible_text
+from ..functions.scalar import file_type, page_estimate, stem, strip
 from ..schema import CONTENT
 
 # Fixed by the formats: XML names.

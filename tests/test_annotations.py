@@ -72,18 +72,25 @@ def test_reports(spark, folder, tmp_path):
     assert (tmp_path / "out" / "tag_distribution.csv").read_bytes().startswith(b"\xef\xbb\xbf")
 
 
-def test_reports_name_a_bounded_number_of_documents(spark, folder, tmp_path):
+def test_files_name_all_documents_and_values_the_first(spark, folder, tmp_path):
     ann = S.scan(spark, str(folder))
-    full = sinks.all_reports(ann, str(tmp_path / "out"), str(folder), listed=1)
+    out = tmp_path / "out"
+    full = sinks.all_reports(ann, str(out), str(folder), named=1)
     level1 = full["buckets"]["level1_buckets"]
     assert {k: (v["count"], len(v["doc_ids"])) for k, v in level1.items()} == {"pdf": (2, 1), "excel": (1, 1)}
     assert full["stressor_combinations"]["high_complexity_count"] == 1 and full["metadata"]["sparse_threshold"] == 3
-    assert spark.read.json(str(tmp_path / "out" / "bucket_members")).count() == 5 and spark.read.json(str(tmp_path / "out" / "high_complexity")).first()["doc_id"] == "p2"
-    by_folder = json.loads((tmp_path / "out" / "by_folder.json").read_text())["_root"]
+    saved = {n: json.loads((out / f"{n}.json").read_text()) for n in ("summary", "buckets", "stressor_combos", "gaps", "sampling_advice", "by_folder")}
+    whole = sinks.summary(ann, str(folder), named=100)
+    assert saved["buckets"] == whole["buckets"] == saved["summary"]["buckets"] and saved["buckets"]["level1_buckets"]["pdf"]["doc_ids"] == ["p1", "p2"]
+    assert saved["stressor_combos"] == json.loads(json.dumps(whole["stressor_combinations"])) == saved["summary"]["stressor_combinations"]
+    text = (out / "buckets.json").read_text()
+    assert text == json.dumps(whole["buckets"], ensure_ascii=False, indent=2)
+    by_folder = saved["by_folder"]["_root"]
     assert by_folder["basic_stats"]["file_type_rates"] == {"pdf": "66.7%", "excel": "33.3%"} and by_folder["tag_distribution"]["layout_distribution"] == {"single": 1, "mixed": 1, "unknown": 1}
     combos = by_folder["stressor_combinations"]
     assert combos["total_unique_combinations"] == 2 and combos["high_complexity_count"] == 1 and combos["high_complexity_docs"][0]["doc_id"] == "p2" and len(combos["rare_combinations"]) == 2
-    assert full["gaps"]["missing_features"][0]["message"] and "**has_formula**" in (tmp_path / "out" / "report.md").read_text()
+    assert full["gaps"]["missing_features"][0]["message"] and "**has_formula**" in (out / "report.md").read_text()
+    assert not [p for p in out.iterdir() if p.suffix in (".parts", ".whole")]
 
 
 def test_template_library_and_questions(spark, folder, tmp_path):
@@ -332,13 +339,11 @@ def test_scalars_and_plugins(spark):
         X.title(F.lit(" \n#"), F.lit("f")).alias("none"),
         X.output_path(F.lit("/in/a/b.c.docx"), "/in", "/out").alias("out"),
         X.overlap(F.expr("array(0D,0D,10D,10D)"), F.expr("array(0D,0D,10D,6D)")).alias("o"),
-        X.label_of(F.lit("I think DOUBLE"), F.expr("array('single','double')")).alias("label"),
         X.weighted(F.lit(0.8), {"a": 0.75, "b": 0.25}).alias("w"),
         X.polygon_box(F.expr("array(array(1D,2D),array(5D,1D))")).alias("box"),
-        X.complete(F.lit('{"a": 1}'), ["a", "b"]).alias("m"),
     ).first()
-    assert (row["title"], row["none"], row["out"], row["o"], row["label"], row["w"]) == ("Head", "f", "/out/a/b.c.json", 0.6, "double", "b")
-    assert row["box"] == [1, 1, 5, 2] and row["m"] == {"a": "1", "b": None}
+    assert (row["title"], row["none"], row["out"], row["o"], row["w"]) == ("Head", "f", "/out/a/b.c.json", 0.6, "b")
+    assert row["box"] == [1, 1, 5, 2]
     pages = spark.createDataFrame([("d", 0, b"x"), ("d", 1, b"bad")], "doc_id string, page int, image binary")
 
     def factory():
@@ -416,15 +421,44 @@ def test_pipeline_builder(spark):
 
 
 def test_stream_takes_new_files_once(spark, tmp_path):
-    from quirelens.streaming.incremental import annotate_new
+    from quirelens.streaming import incremental as N
 
     (tmp_path / "in").mkdir()
-    run = lambda: annotate_new(spark, str(tmp_path / "in"), lambda df: L.annotate(D.contents(df)), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    run = lambda: N.annotate_new(spark, str(tmp_path / "in"), lambda df: L.annotate(D.contents(df)), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    done = lambda: sorted(r["doc_id"] for r in N.committed(spark, str(tmp_path / "out"), "doc_id string").collect())
+    assert done() == []
     (tmp_path / "in" / "a.txt").write_text("a")
     run()
     (tmp_path / "in" / "b.txt").write_text("b")
     run()
-    assert sorted(r["doc_id"] for r in spark.read.json(str(tmp_path / "out")).collect()) == ["a", "b"]
+    assert done() == ["a", "b"] and len(N.batches(spark, str(tmp_path / "out"))) == 2
+
+
+def test_a_batch_that_dies_after_its_write_counts_once(spark, tmp_path, monkeypatch):
+    from quirelens.streaming import incremental as N
+
+    (tmp_path / "in").mkdir()
+    run = lambda: N.annotate_new(spark, str(tmp_path / "in"), lambda df: L.annotate(D.contents(df)), str(tmp_path / "out"), str(tmp_path / "cp"), 1).awaitTermination()
+    done = lambda: sorted(r["doc_id"] for r in N.committed(spark, str(tmp_path / "out"), "doc_id string").collect())
+    for name in "abc":
+        (tmp_path / "in" / f"{name}.txt").write_text(name)
+    real, calls = N.commit, []
+
+    def die(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("killed between the write and the commit")
+        real(*args)
+
+    monkeypatch.setattr(N, "commit", die)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    assert len(done()) == 1 and len(list((tmp_path / "out").glob("stream=*/batch=*"))) == 2  # written, but no one sees it
+    run()
+    assert done() == ["a", "b", "c"]
+    real(spark, str(tmp_path / "out"), N.batches(spark, str(tmp_path / "out"))[0])  # a commit that is repeated
+    run()
+    assert done() == ["a", "b", "c"]
 
 
 def test_duplicate_ids_take_first_type(spark):
