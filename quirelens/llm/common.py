@@ -76,12 +76,15 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 
 
 def steady_memory() -> None:
-    """Large arrays of a worker go back to the system as soon as they are freed, so that one long text does not stay in
-    the worker's size.  Where the C library has no such switch, nothing happens."""
+    """Large arrays of a worker, Arrow's own included, go back to the system as soon as they are freed, so that neither one
+    long text nor what an earlier stage held stays in the worker's size.  Where the C library has no such switch, nothing happens."""
     import ctypes
 
     try:
-        ctypes.CDLL(None).mallopt(-3, 2 << 20)  # M_MMAP_THRESHOLD
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 2 << 20)  # M_MMAP_THRESHOLD
+        pa.set_memory_pool(pa.system_memory_pool())
+        libc.malloc_trim(0)
     except (OSError, AttributeError):
         return
 

@@ -2,14 +2,21 @@
 
 Every function works on one UTF-8 buffer at a time; memory is a small multiple of the
 text's own bytes.  Hashes are 64-bit: polynomial over a random byte table, finished with
-an avalanche mix.  They name buckets and shingles; what is decided on names alone, and on how
-many bits of them, each operator says.
+an avalanche mix.  A polynomial modulo 2^64 has equal values for some texts of 1,024 bytes and more that were
+made to (Thue-Morse words), so words of over LONG_WORD bytes are named by blake2b instead, and `range_hash` is for
+ranges under 1,024 bytes.  Hashes name buckets and shingles; what is decided on names alone, and on how many bits of
+them, each operator says.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+#: Longer words are hashed by blake2b.
+LONG_WORD = 256
+
 _MULT = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MULT, -1, 1 << 64)
 _BYTE_TABLES = np.random.RandomState(20240229).randint(1, 2**63 - 1, size=(2, 256)).astype(np.uint64)
@@ -54,10 +61,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def as_bytes(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-
-
 def prefix_sums(data: np.ndarray, table: int = 0) -> np.ndarray:
     """Prefix polynomial sums; range_hash turns two of them into the hash of a byte range."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -83,7 +86,10 @@ def word_spans(data: np.ndarray, outside: np.ndarray = IS_SPACE) -> tuple[np.nda
 
 def word_hashes(data: np.ndarray, outside: np.ndarray = IS_SPACE) -> np.ndarray:
     starts, ends = word_spans(data, outside)
-    return range_hash(prefix_sums(data), starts, ends)
+    out = range_hash(prefix_sums(data), starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -96,14 +102,3 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
         for k in range(width):
             total += words[k : k + n] * _WORD_SALTS[k]
         return mix(total)
-
-
-def shingle_set(text: str | None, width: int, lower: bool = True) -> np.ndarray:
-    """Sorted distinct shingle hashes; with fewer words the whole sequence is one shingle."""
-    data = as_bytes(text)
-    if lower:
-        data = LOWER[data]
-    words = word_hashes(data)
-    if len(words) == 0:
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(window_hashes(words, min(width, len(words))))

@@ -18,8 +18,8 @@ which never counts too little, doesn't clear).  They are never gathered: their p
 aggregate, and only where two components meet in one is it split into pairs of blocks, nodes of
 the component that has most of it against the others and the others among themselves.
 
-Sets are of 64-bit shingle names; two given shingles share one by chance once in 2^64.  Nodes have
-128-bit names: 64 bits stand for them, and names that two sets share are replaced by the other half.
+Sets are of 64-bit shingle names; two given shingles share one by chance once in 2^64 (words of over 256 bytes, of
+which a polynomial could be made to collide, are named by blake2b).  Nodes have 128-bit names: 64 bits stand for them, and names that two sets share are replaced by the other half.
 
 Null and empty texts: an empty set, linked with nothing, alone in their component.
 Repeated rows: one node; each row is returned.  Ties (equal counts, equal sizes): by shingle and node
@@ -427,8 +427,8 @@ def blocks_of(rows: DataFrame, block: int) -> DataFrame:
     The nodes of the component that has most of a list are in one block each; all others are copied to each of
     these, and to pairs of blocks among themselves.  Pairs count across blocks (1 and 2), in blocks of 0 all of them."""
     per = rows.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("roots"))
-    per = per.filter("roots > 1").select("bucket", F.col("top.root").alias("most"), F.ceil(F.col("top.c") / block).alias("rb"), F.ceil((F.col("all") - F.col("top.c")) / block).alias("ob"))
-    own = rows.join(per, "bucket")
+    per = per.filter("roots > 1").select("bucket", "all", F.col("top.root").alias("most"), F.ceil(F.col("top.c") / block).alias("rb"), F.ceil((F.col("all") - F.col("top.c")) / block).alias("ob"))
+    own = hot_lookup(rows, per.withColumn("entries", F.col("all")).drop("all"), ["bucket"], "entries").filter("most is not null").drop("entries")
     mine = F.expr("pmod(xxhash64(node), if(root = most, rb, ob))")
     single = F.expr("array(named_struct('name', xxhash64(bucket, 1, mine), 'block', 1))")
     toward = F.expr("transform(sequence(0L, rb - 1), x -> named_struct('name', xxhash64(bucket, 1, x), 'block', 2))")
@@ -499,8 +499,9 @@ def component_rows(docs: DataFrame, width: int = 4, num: int = 85, den: int = 10
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("key1").alias("key1"))).alias("first")
     groups = members.filter("n > 0").groupBy("node").agg(first, F.count("*").alias("k"))
     linked = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    named = materialize(linked.join(least, "root").select("node", "k", F.col("least.doc_id").alias("component_id"), F.col("least.key1").alias("keep")), "component")
+    least = linked.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("nodes"))
+    # a root that very many nodes have is looked up without a shuffle
+    named = materialize(hot_lookup(linked, least, ["root"], "nodes").select("node", "k", F.col("least.doc_id").alias("component_id"), F.col("least.key1").alias("keep")), "component")
     full = hot_lookup(members.filter("n > 0"), named, ["node"], "k").select("doc_id", "key1", F.col("n").alias("n_shingles"), "component_id", "keep")
     bare = members.filter("n = 0").select("doc_id", "key1", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("key1").alias("keep"))
     return full.unionByName(bare)

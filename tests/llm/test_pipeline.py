@@ -65,7 +65,7 @@ def test_run_is_the_stages_and_registered(spark, corpus):
     import __spark_entry__ as e
 
     assert e.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} == {m[1] for k in e.queries() if (m := re.match(r"(op\d+)_", k))}
+    assert {f"op{n}" for n in range(1, 14)} == {m[1] for k in e.queries() if (m := re.match(r"(op\d+)_", k))}
     assert corpus_pipeline.run(spark, corpus).count() > 100
 
 

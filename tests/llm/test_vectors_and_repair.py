@@ -316,3 +316,27 @@ def test_conversations_that_lose_all_rows(spark):
     conv = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
     df = spark.createDataFrame([(conv, 0, "user", "Hi.")], "conv_id long, turn long, role string, text string")
     assert rows_of(R.repaired(R.damage(df))) == [(conv, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+# --- names of long words, hot nodes ----------------------------------------------------------------
+
+
+def thue_morse(n, swap):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+def test_words_made_to_collide_are_not_linked(spark):
+    from quirelens.llm import ngram_join
+
+    rows = [(1, thue_morse(1024, 0)), (2, thue_morse(1024, 1)), (3, thue_morse(4096, 0)), (4, thue_morse(4096, 1)), (5, thue_morse(4096, 1))]
+    got = ngram_join.component_table(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got) == [(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 1, 4), (5, 1, 4)]
+
+
+def test_centre_of_a_large_star(spark, monkeypatch):
+    from quirelens.llm import components
+
+    monkeypatch.setattr(components, "MANY", 10)
+    edges = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(5000, 5020)] + [(7, 7), (None, 4)]
+    got = dict(rows_of(components.components(spark.createDataFrame(edges, "a long, b long"))))
+    assert got == {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5021)}
