@@ -1,17 +1,25 @@
 """Main text of web pages by tag-path ratios.
 
 Every text node has a root-to-leaf tag path.  Text length and punctuation are summed per path and
-divided by the path's nodes; both ratios are smoothed along the page and fused.  What the path says
-of itself is a factor of the fused ratio: 0 where it is marked as something else (menus, page
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, by element,
-role or class words), `IN_ARTICLE` inside an article or main element, 1 elsewhere.  Nodes whose score
-reaches a threshold from the spread of the ratios are content.  The container is the smallest element
-with all content and the titles before it.  The result is the container's nodes of a score above 0;
-on pages with an article or main, what stands beside them must be content or a heading, too.  Short
-titles and paragraphs thus come with the container that the scores choose, though their own paths
-have low ratios.  Blocks of links are no content unless an article is around them.
-
-Null and empty pages: the empty text.  Pages without markup: their text.  Broken markup (tags left
+divided by the path's nodes; both ratios are smoothed along the page and fused.  The threshold is the
+spread of the page's fused ratios (0.8 of the unmarked nodes' mean, if less).  A path's score is its fused ratio
+times `IN_ARTICLE` inside an article or main element, and times the level of its marks: 0 under
+elements and roles for something else (menus, page headers, footers, sidebars, forms), `STRONG` under
+class or id words for adverts, notices, comments and the like, `WEAK` under words that articles use of
+themselves too.  Nodes that reach the threshold are content; marked nodes must reach it alone, without
+their neighbours.
+
+Marks are evidence, not verdicts: `no-sidebar` or `comments-open` is no mark; nor is an element marked
+that holds most of the page's article or, on pages without article or main, most of its text (of
+adverts, notices, comments and elements for something else: only if it holds all of the article).
+
+The container is the smallest element with all content and the titles before it.  The result is the
+container's content and its unmarked nodes; on pages with an article or main, what stands beside them
+must be content or a heading, too.  Short titles and paragraphs thus come with the container that the
+scores choose, though their own paths have low ratios.  Blocks of links are no content unless an
+article is around them.  Text that a page hides is text.
+
+Null and empty pages, and those with marked text alone: the empty text.  Pages without markup: their text.  Broken markup (tags left
 open, closed twice, cut off) is read to its end.  Very long or deeply nested pages: time and memory
 grow with the page's length alone.  Ties of scores need no rule.  Repeated rows: each is returned.
 An empty table: no rows.  Extra columns are ignored.
@@ -36,7 +44,7 @@ _TOKEN = re.compile(
     r"|<[/a-zA-Z][^<>]*+\Z|[^<]++|<",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""(class|id|role)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、！？…»«\"]")
 
@@ -49,64 +57,124 @@ BLOCKS = set(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = {"table", "ul", "ol", "dl", "div", "section", "article", "main", "aside", "nav", "header", "footer", "body", "html", "form", "td", "th", "blockquote", "figure", "select"}
 CLOSE_P = BLOCKS - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "title"}
-OUT = {"nav", "footer", "aside", "form", "head", "title", "menu", "button", "select", "option", "dialog", "svg", "object", "canvas", "audio", "video", "map", "search", "label", "legend"}
+# No text of a page: its head, parts of forms, embedded things.
+NO_TEXT = {"head", "title", "button", "select", "option", "label", "legend", "svg", "object", "canvas", "audio", "video", "map"}
+OUT = {"nav", "footer", "aside", "form", "menu", "dialog", "search"}
 OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar", "status"}
 OUT_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation navigations breadcrumb breadcrumbs sidebar sidebars aside rail footer foot footers comment comments commentlist reply replies disqus discussion share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright disclaimer paywall skip".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promoted cookie cookies consent gdpr notice notices popup newsletter subscribe subscription signup login menu menus nav navbar navigation navigations breadcrumb breadcrumbs sidebar sidebars aside footer foot footers comment comments commentlist reply replies disqus related recommended recommendations pagination pager copyright paywall".split()
 )
+MAYBE_WORDS = set("banner discussion disclaimer modal overlay promotion rail share sharing skip social toolbar widget widgets".split())
+# In one name with them, a word says how the page is laid out.
+LAYOUT_WORDS = set("closed disabled enabled has have hide no not off on open show with without".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # No containers: their siblings belong with them.
 PIECES = HEADINGS | {"p", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "figcaption"}
 HEADERS = {"header", "masthead", "topbar"}
 REPLIES = {"comment", "comments", "reply", "replies"}
-#: Factor of scores inside an article or main element.
-IN_ARTICLE = 20.0
+#: Factor of scores inside an article or main element, and of paths under marked names.
+IN_ARTICLE, STRONG, WEAK = 20.0, 0.0001, 0.05
 
 
 class Node:
-    """An element.  path: number of its root-to-leaf path, the same for all nodes of that path."""
+    """An element.  path: number of its root-to-leaf path, the same for all nodes of that path.
 
-    __slots__ = ("tag", "parent", "out", "path", "number", "key", "depth", "linked", "heading", "top")
+    own: level of its own mark (1: none); level: the least of its own and those around it; by_word: marked by a name."""
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, number: int, paths: dict, names: tuple[str, ...] = ()) -> None:
-        self.tag, self.parent, self.out, self.number = tag, parent, out, number
+    __slots__ = ("tag", "parent", "own", "level", "by_word", "path", "number", "key", "depth", "linked", "heading", "top", "article")
+
+    def __init__(self, tag: str, parent: Node | None, number: int, paths: dict, names: tuple[str, ...] = (), own: float = 1.0, by_word: bool = False) -> None:
+        self.tag, self.parent, self.own, self.by_word, self.number = tag, parent, own, by_word, number
         self.key = tag + ("." + names[0] if names else "")
         self.path = paths.setdefault((parent.path if parent else -1, self.key), len(paths))
         self.depth = parent.depth + 1 if parent else 0
         self.linked = tag == "a" or bool(parent and parent.linked)
         self.heading = tag if tag in HEADINGS else parent.heading if parent else ""
-        # the outermost article or main around it
-        self.top: Node | None = (parent.top if parent else None) or (self if tag in ("article", "main") and not out else None)
+        self.article = bool(parent and parent.article) or tag in ("article", "main") and own == 1
+        self.settle()
+
+    def settle(self) -> None:
+        """Takes the level from the parent's; top: the outermost article or main around it that nothing marked is around."""
+        up = self.parent
+        self.level = min(self.own, up.level) if up else self.own
+        self.top: Node | None = (up.top if up else None) or (self if self.tag in ("article", "main") and self.level == 1 else None)
 
     @property
     def factor(self) -> float:
-        return 0.0 if self.out else IN_ARTICLE if self.top is not None else 1.0
+        return self.level * (IN_ARTICLE if self.top is not None else 1.0)
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw and "=" in raw or "hidden" in raw else {}
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw and "=" in raw else {}
 
 
-def _is_out(tag: str, at: dict[str, str], inside: bool) -> tuple[bool, tuple[str, ...]]:
-    names = tuple(w.lower() for k in ("class", "id") for w in _NAME_WORDS.findall(at.get(k, ""))) if at else ()
-    if tag in OUT or tag == "header" and not inside:
-        return True, names
+def _mark(tag: str, at: dict[str, str], inside: bool) -> tuple[float, bool, tuple[str, ...]]:
+    """Level of an element's own mark, whether a name gives it, and the words of its names."""
+    each = [[w.lower() for w in _NAME_WORDS.findall(name)] for k in ("class", "id") for name in at.get(k, "").split()] if at else []
+    names = tuple(w for words in each for w in words)
+    if tag in NO_TEXT or tag in OUT or tag == "header" and not inside:
+        return 0.0, False, names
     if not at:
-        return False, names
-    if at.get("role", "").lower() in OUT_ROLES and not (inside and at.get("role", "").lower() == "banner"):
-        return True, names
-    if "hidden" in at and at.get("hidden", "").lower() != "until-found" or at.get("aria-hidden", "").lower() == "true" or "display:none" in at.get("style", "").replace(" ", "").lower():
-        return True, names
-    found = set(names)
+        return 1.0, False, names
+    role = at.get("role", "").lower()
+    if role in OUT_ROLES and not (inside and role == "banner"):
+        return 0.0, False, names
+    found = {w for words in each if LAYOUT_WORDS.isdisjoint(words) for w in words}
     if tag in ("article", "main", "body", "html"):
-        return tag == "article" and bool(found & REPLIES), names
-    return bool(found & OUT_WORDS) or not inside and bool(found & HEADERS), names
+        return STRONG if tag == "article" and found & REPLIES else 1.0, True, names
+    if found & OUT_WORDS or not inside and found & HEADERS:
+        return STRONG, True, names
+    return WEAK if found & MAYBE_WORDS else 1.0, True, names
+
+
+def relieve(nodes: list[Node], texts: list[tuple[Node, str, int]]) -> None:
+    """Takes back the marks of elements that hold most of the page's article, or of its text where it has no article.
+
+    Text counts without headings, a fifth of links.  Elements are judged by what they hold, most first, against all
+    unmarked text outside of them; an element in a marked one stays marked."""
+    held = [[0.0, 0.0] for _ in nodes]  # of an article, of all
+    near = [[0.0, 0.0] for _ in nodes]  # the same, of the text whose nearest marked element this is
+    nearest: list[Node | None] = [None] * len(nodes)
+    barred = [False] * len(nodes)
+    for x in nodes:
+        nearest[x.number] = x if x.own < 1 else nearest[x.parent.number] if x.parent else None
+        barred[x.number] = x.tag in NO_TEXT or x.parent is not None and barred[x.parent.number]
+    free = [0.0, 0.0]
+    for node, text, _ in texts:
+        n = len(text.strip()) * (0.2 if node.linked else 1.0)
+        if not n or node.heading or barred[node.number]:
+            continue
+        mark = nearest[node.number]
+        for sums in (held[node.number], free if mark is None else near[mark.number]):
+            sums[0] += n * node.article
+            sums[1] += n
+    for x in reversed(nodes):
+        if x.parent is not None:
+            for k in (0, 1):
+                held[x.parent.number][k] += held[x.number][k]
+    no_article = not any(x.article for x in nodes)
+    for x in sorted((x for x in nodes if x.own < 1 and x.tag not in NO_TEXT), key=lambda x: (-held[x.number][0], -held[x.number][1], x.number)):
+        around = nearest[x.parent.number] if x.parent is not None else None
+        if around is not None and around.own < 1:
+            continue
+        article, text = held[x.number]
+        # what it holds may be counted as free only once marks around it are gone, so nothing of it is in `free` yet
+        if x.own == WEAK or x.tag == "form":
+            goes = article > free[0] or no_article and text > free[1]
+        else:
+            goes = article > 0 and free[0] == 0
+        if goes:
+            x.own = 1.0
+            free[0] += near[x.number][0]
+            free[1] += near[x.number][1]
+    for x in nodes:
+        x.settle()
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     """Elements, and text nodes as (element, decoded text, block number) in page order."""
     paths: dict = {}
-    root = Node("", None, False, 0, paths)
+    root = Node("", None, 0, paths)
     nodes, texts, stack = [root], [], [root]
     open_: dict[str, int] = {}  # elements on the stack, so that it is searched only for what is there
     block, inside, at = 0, 0, 0
@@ -165,13 +233,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             at = end + 1 if end >= 0 else size
             continue
         parent = stack[-1]
-        out, names = _is_out(tag, _attributes(attributes), inside > 0)
-        node = Node(tag, parent, out or parent.out, len(nodes), paths, names)
+        own, by_word, names = _mark(tag, _attributes(attributes), inside > 0)
+        node = Node(tag, parent, len(nodes), paths, names, own, by_word)
         nodes.append(node)
         if not attributes.endswith("/") or tag in BLOCKS:
             stack.append(node)
             open_[tag] = open_.get(tag, 0) + 1
             inside += tag in ("article", "main")
+    relieve(nodes, texts)
     return nodes, texts
 
 
@@ -191,20 +260,33 @@ def path_ratios(texts: list[tuple[Node, str, int]]) -> list[tuple[float, float]]
 
 
 def path_scores(texts: list[tuple[Node, str, int]], raw: list[tuple[float, float]], radius: int = 2) -> list[tuple[float, float]]:
-    """Fused path ratios of each text node times its path's factor: smoothed along the page, and of the path alone."""
+    """Fused path ratios of each text node times its path's factor: smoothed along the page, and of the path alone.
+
+    Nodes weigh in the smoothing what their levels leave of them."""
     weights = [2.0 ** -abs(k) for k in range(-radius, radius + 1)]
-    factors = [node.factor for node, _, _ in texts]
-    own = [r if f else (0.0, 0.0) for r, f in zip(raw, factors, strict=True)]
+    levels = [node.level for node, _, _ in texts]
     out = []
-    for i, f in enumerate(factors):
+    for i, (node, _, _) in enumerate(texts):
         t = p = w = 0.0
-        for k in range(max(0, i - radius), min(len(own), i + radius + 1)):
-            x = weights[k - i + radius]
-            t, p, w = t + x * own[k][0], p + x * own[k][1], w + x
-        out.append((f * (t / w) * (1 + p / w), f * own[i][0] * (1 + own[i][1])))
+        for k in range(max(0, i - radius), min(len(raw), i + radius + 1)):
+            x = weights[k - i + radius] * levels[k]
+            t, p, w = t + x * raw[k][0], p + x * raw[k][1], w + x
+        out.append((node.factor * (t / w) * (1 + p / w) if w else 0.0, node.factor * raw[i][0] * (1 + raw[i][1])))
     return out
 
 
+def threshold(texts: list[tuple[Node, str, int]], raw: list[tuple[float, float]]) -> float:
+    """Spread of the fused ratios of all text nodes, at most 0.8 of the mean of unmarked nodes without links (with links, if there are no others)."""
+    fused = [(node, t * (1 + p)) for (node, text, _), (t, p) in zip(texts, raw, strict=True) if text.strip()]
+    plain = [(node.linked, x) for node, x in fused if node.level == 1]
+    if not plain:
+        return float("inf")
+    own = [x for linked, x in plain if not linked] or [x for _, x in plain]
+    mean = sum(x for _, x in fused) / len(fused)
+    spread = (sum((x - mean) ** 2 for _, x in fused) / len(fused)) ** 0.5
+    return min(spread, 0.8 * sum(own) / len(own))
+
+
 def _common(found: list[Node]) -> Node:
     """The lowest element that all of `found` are or are in: that of the first and the last, as nodes are numbered in page order."""
     a, b = min(found, key=lambda x: x.number), max(found, key=lambda x: x.number)
@@ -222,14 +304,8 @@ def main_text(page: str | None) -> str:
     nodes, texts = parse(page)
     raw = path_ratios(texts)
     scores = path_scores(texts, raw)
-    # the threshold comes from the ratios themselves
-    live = [s / (node.factor or 1.0) for (s, _), (node, _, _) in zip(scores, texts, strict=True) if s > 0]
-    if not live:
-        return ""
-    mean = sum(live) / len(live)
-    spread = (sum((s - mean) ** 2 for s in live) / len(live)) ** 0.5
-    least = max(0.0, min(spread, 0.8 * mean))
-    shown = [bool(text.strip()) and s > 0 for (_, text, _), (s, _) in zip(texts, scores, strict=True)]
+    least = threshold(texts, raw)
+    shown = [bool(text.strip()) and node.level > 0 for node, text, _ in texts]
     marked = any(node.top is not None for (node, _, _), x in zip(texts, shown, strict=True) if x)
     links: dict[int, list[int]] = {}
     for node, text, block in texts:
@@ -240,16 +316,20 @@ def main_text(page: str | None) -> str:
 
     anchors: list[Node] = []
     content: set[int] = set()  # blocks
+    chosen = [False] * len(texts)
     follows = False  # content comes next
-    for (node, _, block), (score, alone), x in reversed(list(zip(texts, scores, shown, strict=True))):
-        if not x or node.top is None and block in menu:
+    for i in range(len(texts) - 1, -1, -1):
+        (node, _, block), (score, alone) = texts[i], scores[i]
+        if not shown[i] or node.top is None and block in menu:
             continue
-        # beside an article the path's own ratios count too, not its neighbours' alone
-        own = score >= least and (not marked or alone >= least)
-        if own or node.heading == "h1" or node.heading and follows:
+        # of marked nodes, and beside an article, the path's own ratios count too, not its neighbours' alone
+        chosen[i] = score >= least and (node.level == 1 and not (marked and node.top is None) or alone >= least)
+        title = node.level == 1 and bool(node.heading) and (follows or node.heading == "h1" and bool(anchors))
+        if chosen[i] or title:
             anchors.append(node.top or node)
             content.add(block)
-        follows = own or bool(node.heading) and follows
+        if node.level == 1:
+            follows = chosen[i] or title
     if not anchors:
         return ""
     box = _common(anchors)
@@ -261,8 +341,8 @@ def main_text(page: str | None) -> str:
         inside[x.number] = x is box or x.parent is not None and inside[x.parent.number]
     parts: list[list[str]] = []
     last = None
-    for (node, text, block), (score, _) in zip(texts, scores, strict=True):
-        if score <= 0 or not inside[node.number]:
+    for (node, text, block), own in zip(texts, chosen, strict=True):
+        if not inside[node.number] or not node.level or node.level < 1 and text.strip() and not own:
             continue
         if node.top is None and (block in menu or marked and block not in content and not node.heading):
             continue

@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small fixtures: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
 import hashlib
+import html
 import random
 import re
 import tracemalloc
@@ -9,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -396,6 +398,9 @@ def test_html_text_ratios_by_brute_force():
         def whole(n):
             return (whole(n.parent) if n.parent else ()) + (n.key,)
 
+        def level(n):
+            return 0 if {"nav", "footer"} & set(whole(n)) else 1e-4 if "div.ad" in whole(n) else 1
+
         per = defaultdict(list)
         for n, t, _ in texts:
             if t.strip():
@@ -404,21 +409,61 @@ def test_html_text_ratios_by_brute_force():
         assert np.allclose(html_text.path_ratios(texts), raw)
         want = []
         for i, (n, _, _) in enumerate(texts):
-            near = [(2.0 ** -abs(i - k), raw[k] if not texts[k][0].out else (0, 0)) for k in range(len(texts)) if abs(i - k) <= 2]
-            size, marks = (sum(w * r[j] for w, r in near) / sum(w for w, _ in near) for j in (0, 1))
-            factor = 0 if n.out else 20 if {"article", "main"} & {x.split(".")[0] for x in whole(n)} else 1
+            near = [(2.0 ** -abs(i - k) * level(texts[k][0]), raw[k]) for k in range(len(texts)) if abs(i - k) <= 2]
+            size, marks = (sum(w * r[j] for w, r in near) / (sum(w for w, _ in near) or 1) for j in (0, 1))
+            factor = level(n) * (20 if {"article", "main"} & {x.split(".")[0] for x in whole(n)} else 1)
             want.append((factor * size * (1 + marks), factor * raw[i][0] * (1 + raw[i][1])))
         assert np.allclose(html_text.path_scores(texts, raw), want)
 
 
-def test_html_text_is_decided_by_scores(monkeypatch):
-    """Constant scores change the text of pages with and without an article; so does turning them round."""
+def test_html_text_is_decided_by_ratios(monkeypatch):
+    """With all marks kept, constant ratios change the text of pages with and without an article; ratios turned round change it where no article is marked."""
     want = [html_text.main_text(p) for p in PAGES]
     assert want[0] == f"T {' '.join([LONG] * 3)} Short." and "Site" not in want[1] and "Tiny" not in want[1] and want[1].startswith("Part") and "Two" in want[1]
-    true = html_text.path_scores
-    for other in (lambda t, r: [(1.0, 1.0)] * len(t), lambda t, r: [(1 / (1 + a), 1 / (1 + b)) for a, b in true(t, r)]):
-        monkeypatch.setattr(html_text, "path_scores", other)
-        assert [html_text.main_text(p) != w for p, w in zip(PAGES[:2], want, strict=False)] == [True, True]
+    true = html_text.path_ratios
+    for other, changed in ((lambda t: [(1.0, 1.0)] * len(t), [True, True]), (lambda t: [(1 / (1 + a), 1 / (1 + b)) for a, b in true(t)], [False, True])):
+        monkeypatch.setattr(html_text, "path_ratios", other)
+        assert [html_text.main_text(p) != w for p, w in zip(PAGES[:2], want, strict=False)] == changed
+
+
+BODY = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+ARTICLE, TEXT = f"<article>{BODY}</article>", f"T {LONG} {LONG}"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<body><form id="aspnetForm"><nav><a>m</a></nav>{ARTICLE}</form></body>', TEXT),
+        (f'<body><form id="aspnetForm">{BODY}</form></body>', TEXT),
+        (f'<body><div class="has-sidebar">{BODY}</div></body>', TEXT),
+        (f'<div class="no-sidebar">{ARTICLE}</div>', TEXT),
+        (f'<div class="post comments-open">{BODY}</div>', TEXT),
+        (f'<div class="sidebar">{ARTICLE}</div>', TEXT),
+        (f"<nav><ul><li><a>x</a>{ARTICLE}", TEXT),
+        (f'<article><h1>T</h1><section id="discussion"><p>{LONG}</p><p>{LONG}</p></section></article>', TEXT),
+        (f'<article><h1>T</h1><div class="social-history"><p>{LONG}</p><p>{LONG}</p></div></article>', TEXT),
+        (f'<article>{BODY}<div class="social-history"><p>{LONG}</p></div><p>{LONG}</p></article>', f"{TEXT} {LONG} {LONG}"),
+        (f'<article>{BODY}<p hidden>Hidden.</p><p style="display:none" aria-hidden=true>Too.</p></article>', f"{TEXT} Hidden. Too."),
+        (f"<article>{BODY}<div class=comments>{f'<p>{LONG}</p>' * 8}</div></article>", TEXT),
+        (f'<article>{BODY}</article><section class="comments"><article class="comment"><p>{LONG}</p></article></section>', TEXT),
+        (f'<article>{BODY}<div class="share"><a>Tweet</a> now</div></article>', TEXT),
+        (f"<main>{BODY}</main><aside><article><p>{LONG}</p></article></aside>", TEXT),
+        (f"<div class=ad>{LONG}</div><article><p>Is.</p></article><footer>{LONG}</footer>", "Is."),
+        ("<div class=ad>Is, it.</div><article><h1>Is, it.</h1><p>Is, it.</p></article><footer>Made here</footer>", "Is, it. Is, it."),
+        ("<div class=ad>Buy, this now.</div><article><h1></h1></article><footer>x</footer>", ""),
+    ],
+)
+def test_html_text_marks_are_evidence(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_html_text_of_a_table_by_brute_force():
+    """Every page of the small table: what patterns cut out of its article."""
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    for page in pages:
+        body = re.sub(r"<!--.*?-->|<(script|style)[^>]*>.*?</\1>", "", re.search(r"<article>(.*?)</article>", page, re.S)[1], flags=re.S)
+        body = re.sub(r"</?[a-z]+\b[^>]*>", "", re.sub(r"</?(?:p|h[1-6]|br|div|li|ul|ol|table|tr|td|th|figure|figcaption|blockquote|section)\b[^>]*>", " ", body))
+        assert html_text.main_text(page) == " ".join(html.unescape(body).split())
 
 
 @pytest.mark.parametrize("page", ["<div>" * 40_000 + "deep text, here." + "</div>" * 20_000 + "<p>x", "<b>" * 40_000 + "<p>word, more." * 5000, "<p>" + "<i>a" * 50_000, "<table>" + "<tr><td>x, y" * 20_000, "<p>" + "word, and more; " * 60_000])
