@@ -1,11 +1,12 @@
 """Benchmark decontamination with DataFrame functions alone.
 
-The benchmark's distinct windows of `width` words (an item with fewer words is one window) are written
-once as a table.  Each document's words are scanned once, in one codegen span: explode with position,
+The benchmark's distinct windows of `width` words (an item with fewer words is one window) get ids and
+are written once as a table, and so are (window id, item) as rows: which items have a window is joined
+to hits only, and a window of very many items is dealt to several tasks, never one row.  Each document's words are scanned once, in one codegen span: explode with position,
 hash the next words, probe a broadcast hash table, and verify a hit on the words themselves.
 
-While there are at most `table_rows` windows, the broadcast table holds their words and decides at
-once.  Beyond that it holds their 64-bit hashes alone, `hash_rows` of them at a time (each such pass is
+While there are at most `table_rows` windows of at most `table_bytes` of words, the broadcast table
+holds their words and decides at once.  Beyond that it holds their 64-bit hashes alone, `hash_rows` of them at a time (each such pass is
 a job of its own, whose hits are written before the next table is sent), and the few positions that it
 lets through are joined with the windows by a shuffle.  Memory is bounded whatever the benchmark's size.
 
@@ -23,7 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, free_names, materialize
+from ..operators.skew import spread_join
+from .common import ascii_lower, forget, free_names, hot_lookup, materialize
 
 #: Fixed: what separates words, as a Java pattern.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -34,12 +36,18 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(ascii_lower(text), SEPARATORS), ""), F.array().cast("array<string>"))
 
 
-def window_table(items: DataFrame, width: int) -> DataFrame:
-    """Distinct windows: len, window (words), h, items (ids as sorted strings)."""
+def window_tables(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Written tables of the distinct windows (wid, len, window, h, n_items) and of who has them (wid, item)."""
     words = items.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words")).filter("size(words) > 0")
     starts = F.expr(f"sequence(0, greatest(size(words) - {width}, 0))")
     windows = words.select("item", F.explode(starts).alias("at"), "words").select("item", F.expr(f"slice(words, at + 1, {width})").alias("window"))
-    return windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).select(F.size("window").alias("len"), "window", F.xxhash64(*[F.get("window", F.lit(i)) for i in range(width)]).alias("h"), "items")
+    held = materialize(windows.distinct(), "held")
+    h = F.xxhash64(*[F.get("window", F.lit(i)) for i in range(width)]).alias("h")
+    # the table is written, so that its numbers are drawn once
+    own = materialize(held.groupBy("window").agg(F.count("*").alias("n_items")).select(F.monotonically_increasing_id().alias("wid"), F.size("window").alias("len"), "window", h, "n_items"), "windows")
+    who = materialize(hot_lookup(held, own.select("window", "wid", "n_items"), ["window"], "n_items").select("wid", "item"), "items")
+    forget(held)
+    return own, who
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
@@ -57,12 +65,12 @@ def _words_at(length: int) -> Column:
 def _hits_at_once(docs: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
     rows, stops, found = _scanned(docs), [], []
     for n in lengths:
-        part = table.filter(F.col("len") == n).select(F.col("h").alias(f"h{n}"), F.col("window").alias(f"w{n}"), F.col("items").alias(f"i{n}"))
+        part = table.filter(F.col("len") == n).select(F.col("h").alias(f"h{n}"), F.col("window").alias(f"w{n}"), F.col("wid").alias(f"i{n}"))
         rows = rows.join(F.broadcast(part), (_key(n) == F.col(f"h{n}")) & F.coalesce(_words_at(n) == F.col(f"w{n}"), F.lit(False)), "left")
         stops.append(F.when(F.col(f"h{n}").isNotNull(), F.col("pos") + n))
-        found.append(F.coalesce(f"i{n}", F.array().cast("array<string>")))
+        found.append(F.col(f"i{n}"))
     rows = rows.withColumn("stop", F.greatest(*stops, F.lit(None)).cast("int")).filter(F.col("stop").isNotNull())
-    return rows.select("doc_id", "th", "pos", "stop", F.array_distinct(F.concat(*found)).alias("items"))
+    return rows.select("doc_id", "th", "pos", "stop", F.array_compact(F.array(*found)).alias("wids"))
 
 
 def _hits_by_hash(docs: DataFrame, table: DataFrame, sizes: dict[int, int], hash_rows: int) -> DataFrame:
@@ -75,31 +83,39 @@ def _hits_by_hash(docs: DataFrame, table: DataFrame, sizes: dict[int, int], hash
             out.append(materialize(near.select("doc_id", "th", "pos", F.col("wh").alias("h"), _words_at(n).alias("window"), F.lit(n).alias("n")).filter(F.size("window") == n), "near"))
     near = reduce(DataFrame.unionByName, out)
     # plain exchanges on both sides: a window that very many documents hold is split at run time
-    found = near.join(table.select("h", F.col("window").alias("own"), "items"), "h").filter("window = own")
-    return found.select("doc_id", "th", "pos", (F.col("pos") + F.col("n")).alias("stop"), "items")
+    found = near.join(table.select("h", F.col("window").alias("own"), "wid"), "h").filter("window = own")
+    return found.select("doc_id", "th", "pos", (F.col("pos") + F.col("n")).alias("stop"), F.array("wid").alias("wids"))
 
 
-def hits(docs: DataFrame, items: DataFrame, width: int = 10, table_rows: int = 200_000, hash_rows: int = 4_000_000) -> DataFrame:
-    """One row per document word at which a window occurs: doc_id, th (the text's hash), pos, stop (end of the longest window here), items.
+def hits(docs: DataFrame, table: DataFrame, width: int = 10, table_rows: int = 200_000, hash_rows: int = 4_000_000, table_bytes: int = 64 << 20) -> DataFrame:
+    """One row per document word at which a window of `table` occurs: doc_id, th (the text's hash), pos, stop (end of the longest window here), wids (at most `width`).
 
     A written table: what reads it twice scans the texts once."""
-    table = materialize(window_table(items, width), "windows")
-    sizes = {r["len"]: r["n"] for r in table.groupBy("len").agg(F.count("*").alias("n")).collect()}  # width rows at most
+    size = F.aggregate("window", F.lit(0).cast("long"), lambda a, w: a + F.octet_length(w) + 16)
+    sizes = {r["len"]: (r["n"], r["b"]) for r in table.groupBy("len").agg(F.count("*").alias("n"), F.sum(size).alias("b")).collect()}  # width rows at most
     if not sizes:
         return _hits_at_once(docs.limit(0), table, [width])
-    if sum(sizes.values()) <= table_rows:
+    if sum(n for n, _ in sizes.values()) <= table_rows and sum(b for _, b in sizes.values()) <= table_bytes:
         return materialize(_hits_at_once(docs, table, sorted(sizes, reverse=True)), "hits")
-    return materialize(_hits_by_hash(docs, table, sizes, hash_rows), "hits")
+    return materialize(_hits_by_hash(docs, table, {k: n for k, (n, _) in sizes.items()}, hash_rows), "hits")
+
+
+def _items_of(found: DataFrame, who: DataFrame) -> DataFrame:
+    """doc_id, th, item of all hits, once each; windows with a large share of all (hit, window) rows are dealt to several tasks."""
+    seen = materialize(found.select("doc_id", "th", F.explode("wids").alias("wid")).distinct(), "seen")
+    counts = materialize(seen.groupBy("wid").agg(F.count("*").alias("n_seen")), "seen-counts")
+    return spread_join(seen, who, ["wid"], counts, "n_seen").select("doc_id", "th", "item").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, **how) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (and th, the text's hash)."""
-    found = hits(docs, items, width, **how)
+    table, who = window_tables(items, width)
+    found = hits(docs, table, width, **how)
     # equal hits of repeated rows and of rows without id become one, in each task before the shuffle
     spots = found.groupBy("doc_id", "th", "pos").agg(F.max("stop").alias("stop"))
     reach = F.expr("coalesce(max(stop) over (partition by doc_id, th order by pos rows between unbounded preceding and 1 preceding), 0)")
     covered = spots.withColumn("covered", F.greatest(F.col("stop") - F.greatest("pos", reach), F.lit(0))).groupBy("doc_id", "th").agg(F.sum("covered").alias("n_hit"))
-    named = found.select("doc_id", "th", F.explode("items").alias("item")).distinct().groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    named = _items_of(found, who).groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("item")).alias("items"))
     a, b = covered.alias("a"), named.alias("b")
     per = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.th") == F.col("b.th"))).select(F.col("a.doc_id").alias("_d"), F.col("a.th").alias("_t"), "n_hit", "items")
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
@@ -111,7 +127,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, **how) ->
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, **how) -> DataFrame:
     """Rows of docs whose text holds no window of an item; all columns."""
     d, t = free_names(docs, 2)
-    bad = hits(docs, items, width, **how).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    table, who = window_tables(items, width)
+    forget(who)
+    bad = hits(docs, table, width, **how).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad[d]) & (F.xxhash64(docs["text"]) == bad[t]), "left_anti")
 
 

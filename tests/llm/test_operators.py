@@ -88,6 +88,9 @@ def test_decontamination(spark, docs, none, texts, table_rows, hash_rows):
         want[(r["doc_id"], len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit))] += 1
     got = decontaminate.contamination(docs, bench, table_rows=table_rows, hash_rows=hash_rows).drop("th")
     assert Counter(tuple(r) for r in got.collect()) == want
+    if table_rows == 3 and hash_rows > 20:
+        by_bytes = decontaminate.contamination(docs, bench, table_bytes=1).drop("th")
+        assert Counter(tuple(r) for r in by_bytes.collect()) == want
     clash = clashing(docs)
     kept = decontaminate.drop_contaminated(clash, bench, table_rows=table_rows, hash_rows=hash_rows)
     assert kept.columns == clash.columns and same_extras(kept, clash) and kept.count() == sum(n for k, n in want.items() if not k[-1])
