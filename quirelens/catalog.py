@@ -22,6 +22,7 @@ from .operators import plugins as P
 from .operators import sampling as Q
 from .operators import sinks as K
 from .operators.matching import matches, with_options
+from .operators.partials import Partials
 from .operators.stressors import sampling_stressors, signature
 from .operators.topics import numbers_in, topics_in
 from .plans.pipeline import Pipeline
@@ -183,6 +184,25 @@ def bucket_members(spark, sf):
     return A.bucket_members(annotations(spark, sf))
 
 
+@query(f"""WITH {STRESSED}, f AS (
+  SELECT 'file_type' AS section, folder, file_type AS key, ordinal FROM st
+  UNION ALL SELECT 'layout', folder, coalesce(layout, 'unknown'), ordinal FROM st
+  UNION ALL SELECT 'stressor_count', folder, CAST(k AS VARCHAR), ordinal FROM st
+  UNION ALL SELECT 'tag', folder, tag || '=' || CASE WHEN v THEN 'true' WHEN NOT v THEN 'false' ELSE 'na' END, ordinal FROM {_TAGS}
+  UNION ALL SELECT 'combo', folder, array_to_string(list_sort(st), '|'), ordinal FROM st WHERE k > 0
+  UNION ALL SELECT 'level2', folder, {_BUCKET}, ordinal FROM ann WHERE file_type = 'pdf'
+  UNION ALL SELECT 'stressor', folder, unnest(st), ordinal FROM st)
+SELECT section, folder, key, count(*) AS n, min(ordinal) AS first_ordinal FROM f GROUP BY 1, 2, 3""")
+def incremental_counts(spark, sf):
+    """Counts of all annotations from merged states: two batches hold them all, every ninth in an older form, and a third annotates these again."""
+    rows, again, first = annotations(spark, sf), F.col("doc_id") % 9 == 0, F.col("doc_id").bitwiseAND(1).eqNullSafe(0)
+    older = rows.withColumn("file_type", F.when(again, "txt").otherwise(F.col("file_type"))).withColumn("profile", F.when(~again | again.isNull(), F.col("profile")))
+    store = Partials(spark, scratch(spark), source="bigint")
+    for name, batch in (("first", older.filter(first)), ("second", older.filter(~first)), ("again", rows.filter(again))):
+        store.add(batch, name, source="doc_id")
+    return store.merged()
+
+
 @query(f"WITH {ANN}, {_SPARSE} SELECT bucket, n, 3 AS threshold FROM sp")
 def sparse_buckets(spark, sf):
     return A.sparse_buckets(annotations(spark, sf))
