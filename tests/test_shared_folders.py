@@ -29,6 +29,10 @@ def test_annotate_stream(cluster):
     assert bag(catalog.QUERIES["annotate_stream"](cluster, SF)) == bag(catalog.QUERIES["annotate_documents"](cluster, SF))
 
 
+def test_annotation_files(cluster):
+    assert bag(catalog.QUERIES["annotation_files"](cluster, SF)) == bag(catalog.QUERIES["annotate_documents"](cluster, SF))
+
+
 def test_folders_of_one_machine_stay_refused(cluster, tmp_path):
     own = files.scratch(cluster)
     base = re.sub("^file:/+", "/", own.rpartition("/")[0])
