@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 from quirelens import catalog
+from quirelens.operators import partials
+from quirelens.plans.tables import annotations
 from quirelens.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -33,6 +35,11 @@ def test_annotation_files(cluster):
     assert bag(catalog.QUERIES["annotation_files"](cluster, SF)) == bag(catalog.QUERIES["annotate_documents"](cluster, SF))
 
 
+def test_incremental_counts(cluster):
+    whole = partials.state(partials.facts(annotations(cluster, SF), "doc_id"))
+    assert bag(catalog.QUERIES["incremental_counts"](cluster, SF)) == bag(whole)
+
+
 def test_folders_of_one_machine_stay_refused(cluster, tmp_path):
     own = files.scratch(cluster)
     base = re.sub("^file:/+", "/", own.rpartition("/")[0])
