@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, hot_lookup, materialize
+from .common import forget, hot_lookup, materialize, release
 
 #: With fewer edges than this no node has enough of them to matter.
 MANY = 100_000
@@ -34,6 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         before, now = now, materialize(_star(_star(now, True, n), False, n), "stars")
         forget(before)
+        release(now.sparkSession)
         # it ends when all edges are stars whose centres are no one's leaf
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == last:

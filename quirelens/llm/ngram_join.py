@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, row_key, steady_memory
+from .common import blobs, forget, free_names, hot_lookup, longs, materialize, record, release, row_key, steady_memory
 from .components import components
 from .hashing import IS_SPACE, LOWER, mix, window_hashes, word_hashes
 
@@ -464,6 +464,7 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
         texts = materialize(texts_of(docs, own), "texts")
         links = materialize(verify(pairs, texts, width, num, den), "links")
         forget(own, texts)
+        release(spark)
         return links
 
     # first each node against the pivot it shares most postings with, if sizes and parities let them link
@@ -490,6 +491,7 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     others = linked(more)
     roots = materialize(components(links.unionByName(others)), "roots")
     forget(*tables, pairs, more, links, others, nodes)
+    release(spark)
     return members.select("doc_id", "key1", "n", "node"), roots
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, record
+from .common import forget, record, release
 from .labelled import sample
 
 CATEGORIES = ("abuse", "severe", "toxic")
@@ -235,7 +235,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", **bounds) ->
     got = sample(docs, labels, label, **bounds)
     table, toxic = Table.of_rows(got)
     forget(got)
-    return fit_table(table, toxic)
+    chain = fit_table(table, toxic)
+    del table
+    release(docs.sparkSession)
+    return chain
 
 
 def _score(chain: Chain, slice_rows: int = 256):
