@@ -97,7 +97,7 @@ class Partials:
                 have[batch] = {"facts": kept, "state": self._put(state(self._read([kept], self._facts)), "state")}
                 again.append(batch)
         have[name] = {"facts": at, "state": self._put(state(own), "state")}
-        write_bytes(f"{self.root}/_versions/{version + 1:09d}.json", json.dumps({"version": version + 1, "batches": have}).encode())
+        write_bytes(f"{self.root}/_versions/{version + 1:09d}.json", json.dumps({"version": version + 1, "batches": have}).encode(), self.spark)
         return again
 
     def merged(self) -> DataFrame:

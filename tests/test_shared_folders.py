@@ -1,6 +1,7 @@
 """Queries that write files of their own on a cluster whose checkpoint folder is mounted on all machines, without a scheme of its own."""
 
 import re
+import uuid
 from collections import Counter
 
 import pytest
@@ -23,6 +24,17 @@ def cluster(spark, tmp_path, monkeypatch):
     return spark
 
 
+@pytest.fixture
+def mounted(spark, tmp_path, monkeypatch):
+    """The session with a checkpoint folder behind a mount table, which only Spark's file systems know."""
+    at = tmp_path / "behind"
+    at.mkdir()
+    table = f"t{uuid.uuid4().hex}"
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{table}.link./shared", f"file://{at}")
+    monkeypatch.setattr(files, "_checkpoint_dir", lambda _: f"viewfs://{table}/shared")
+    return spark
+
+
 def bag(df):
     return Counter(tuple(str(x) for x in r) for r in df.collect())
 
@@ -40,6 +52,11 @@ def test_incremental_counts(cluster):
     assert bag(catalog.QUERIES["incremental_counts"](cluster, SF)) == bag(whole)
 
 
+def test_incremental_counts_behind_a_mount_table(mounted):
+    whole = partials.state(partials.facts(annotations(mounted, SF), "doc_id"))
+    assert bag(catalog.QUERIES["incremental_counts"](mounted, SF)) == bag(whole)
+
+
 def test_folders_of_one_machine_stay_refused(cluster, tmp_path):
     own = files.scratch(cluster)
     base = re.sub("^file:/+", "/", own.rpartition("/")[0])
