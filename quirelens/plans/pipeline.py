@@ -18,7 +18,7 @@ from ..operators.layout import annotate
 from ..operators.plugins import detect
 from ..operators.sinks import canonical, write_one_per_document
 from ..sources import annotations, documents
-from ..sources.files import qualified
+from ..sources.files import for_tasks
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -174,7 +174,7 @@ class AnnotationService:
 
     def save(self, annotated: DataFrame, root: str, target: str, form: str = "json") -> None:
         """One file per annotation below target, in the folders that its document has below root."""
-        base = qualified(self.spark, target)
+        base = for_tasks(self.spark, target)
         rows = canonical(annotated).withColumn("out_path", output_path(F.col("file_path"), root, base))
         write_one_per_document(rows if form == "json" else rows.withColumn("out_path", F.regexp_replace("out_path", r"\.json$", f".{form}")), form)
 

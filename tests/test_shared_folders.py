@@ -52,6 +52,10 @@ def test_incremental_counts(cluster):
     assert bag(catalog.QUERIES["incremental_counts"](cluster, SF)) == bag(whole)
 
 
+def test_annotation_files_behind_a_mount_table(mounted):
+    assert bag(catalog.QUERIES["annotation_files"](mounted, SF)) == bag(catalog.QUERIES["annotate_documents"](mounted, SF))
+
+
 def test_incremental_counts_behind_a_mount_table(mounted):
     whole = partials.state(partials.facts(annotations(mounted, SF), "doc_id"))
     assert bag(catalog.QUERIES["incremental_counts"](mounted, SF)) == bag(whole)
